@@ -48,17 +48,20 @@ def language_filter(df: DataFrame, col: str = "language",
     return df.where(F.col(col).isin(list(accepted)) | (F.col(col) == F.lit("")))
 
 
-def clean_news(raw: DataFrame, accepted_languages: Sequence[str] = ENGLISH_SPELLINGS) -> DataFrame:
-    """raw_news -> clean_news, in the reference order:
-    fill '' -> parse timestamps -> drop unparsed -> dedup (title, url,
-    published_at) keeping the earliest ``seen_date`` -> language filter ->
-    clean text, month, title length.
-    """
+def parse_and_dedup(raw: DataFrame) -> DataFrame:
+    """fill '' -> parse timestamps -> drop unparsed -> dedup (title, url,
+    published_at) keeping the earliest ``seen_date``."""
     df = raw.fillna("", subset=["title", "source", "language"])
     df = df.withColumn("published_at", parse_timestamps("seen_date"))
     df = df.dropna(subset=["published_at"])
-    df = keep_first(df, ARTICLE_DEDUP_KEYS, ["seen_date"])
-    df = language_filter(df, accepted=accepted_languages)
+    return keep_first(df, ARTICLE_DEDUP_KEYS, ["seen_date"])
+
+
+def clean_news(raw: DataFrame, accepted_languages: Sequence[str] = ENGLISH_SPELLINGS) -> DataFrame:
+    """raw_news -> clean_news, in the reference order: ``parse_and_dedup``
+    -> language filter (after the dedup) -> clean text, month, title length.
+    """
+    df = language_filter(parse_and_dedup(raw), accepted=accepted_languages)
     return df.withColumns({
         "clean_text": clean_text("title"),
         "month": F.trunc(F.col("published_at"), "month"),

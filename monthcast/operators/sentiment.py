@@ -66,16 +66,21 @@ def token_contexts(df: DataFrame, text_col: str, id_col: str,
     contrast word or -1. Only the small ``carry`` columns travel with tokens.
     """
     toks = F.split(F.col(text_col), " ")
-    ctx = F.transform(toks, lambda t, i: F.struct(
-        i.alias("pos"), t.alias("tok"),
-        F.get(toks, i - 1).alias("p1"),
-        F.get(toks, i - 2).alias("p2"),
-        F.get(toks, i - 3).alias("p3"),
-    ))
-    return (df.select(F.col(id_col), *carry,
-                      (F.array_position(toks, contrast_word) - 1).cast("int").alias("contrast_pos"),
-                      F.explode(ctx).alias("c"))
-              .select(id_col, *carry, "contrast_pos", "c.*"))
+    staged = df.select(F.col(id_col), *carry, toks.alias("tok"))
+    n = F.size(F.col("tok"))
+
+    def shifted(k: int):
+        pad = F.array_repeat(F.lit(None).cast("string"), k)
+        body = F.slice(F.col("tok"), 1, F.greatest(n - k, F.lit(0)))
+        return F.slice(F.concat(pad, body), 1, n).alias(f"p{k}")
+
+    staged = staged.select(
+        F.col(id_col), *carry,
+        (F.array_position(F.col("tok"), contrast_word) - 1).cast("int").alias("contrast_pos"),
+        F.col("tok"), shifted(1), shifted(2), shifted(3))
+    return (staged.select(F.col(id_col), *carry, "contrast_pos",
+                          F.posexplode(F.arrays_zip("tok", "p1", "p2", "p3")).alias("pos", "c"))
+                  .select(id_col, *carry, "contrast_pos", "pos", "c.*"))
 
 
 def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],

@@ -190,8 +190,7 @@ def _feature_table_sql() -> str:
                and not c.startswith("kw_")]
     doubles = [f"round({c}, 6) AS {c}" if c in ENGINE_DEPENDENT else c for c in doubles]
     ints = ["article_count", "unique_sources"] + [f"kw_{k}" for k in SI.STANDIN_KEYWORDS]
-    return f"""
-WITH {Q.PPI},{Q.INDICATORS},{Q.RAW_NEWS},{Q.CLEAN_NEWS},{Q.monthly_news_ctes()},
+    return f"""{Q.PPI},{Q.INDICATORS},{Q.RAW_NEWS},{Q.CLEAN_NEWS},{Q.monthly_news_ctes()},
 base AS (
   SELECT DISTINCT month, ppi_value FROM ppi
 ),
@@ -216,15 +215,19 @@ cuts AS (
             quantile_cont(target_pct_change_next_month, 0.67) OVER () AS high_cut
   FROM ind2
 ),
-labelled AS (SELECT *, {Q.class_expr()} AS target_class FROM cuts)
+labelled AS (SELECT *, {Q.class_expr()} AS target_class FROM cuts),
+model_table AS (
 SELECT month, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ints)}, {", ".join(doubles)}, target_class
 FROM labelled
 WHERE ppi_lag_1 IS NOT NULL AND ppi_pct_change_lag_1 IS NOT NULL AND ppi_ma_3 IS NOT NULL
   AND ppi_std_3 IS NOT NULL AND target_class IS NOT NULL AND gscpi IS NOT NULL
   AND wti_oil_price IS NOT NULL
-"""
+)"""
+
+
+MODEL_TABLE_CTES = _feature_table_sql()
 
 
-@register("feature_table", _feature_table_sql())
+@register("feature_table", f"WITH {MODEL_TABLE_CTES}\nSELECT * FROM model_table")
 def q_feature_table(spark, sf_dir):
     return rounded(feature_table(spark, sf_dir).select(*FEATURE_TABLE_COLUMNS))
