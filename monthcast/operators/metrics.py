@@ -58,12 +58,13 @@ def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
     return df.agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
 
 
-def per_label_counts(df: DataFrame, y: str, p: str) -> DataFrame:
-    """(label, support, predicted, tp) for every label seen in y or p."""
-    truth = df.select(F.col(y).alias("label"), F.lit(1).alias("s"), F.lit(0).alias("q"),
-                      (F.col(y) == F.col(p)).cast("int").alias("tp"))
-    pred = df.select(F.col(p).alias("label"), F.lit(0).alias("s"), F.lit(1).alias("q"), F.lit(0).alias("tp"))
-    return (truth.unionByName(pred).where(F.col("label").isNotNull()).groupBy("label")
+def per_label_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., label, support, predicted, tp) for every label seen in y or p."""
+    by = list(by)
+    truth = df.select(*by, F.col(y).alias("label"), F.lit(1).alias("s"), F.lit(0).alias("q"),
+                      F.coalesce((F.col(y) == F.col(p)).cast("int"), F.lit(0)).alias("tp"))
+    pred = df.select(*by, F.col(p).alias("label"), F.lit(0).alias("s"), F.lit(1).alias("q"), F.lit(0).alias("tp"))
+    return (truth.unionByName(pred).where(F.col("label").isNotNull()).groupBy(*by, "label")
             .agg(F.sum("s").cast("long").alias("support"), F.sum("q").cast("long").alias("predicted"),
                  F.sum("tp").cast("long").alias("tp")))
 
@@ -76,9 +77,10 @@ def _prf(df: DataFrame) -> DataFrame:
     return df.withColumns({"precision": precision, "recall": recall, "f1": f1})
 
 
-def macro_f1(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Mean per-label F1 over labels present in truth or prediction."""
-    return _prf(per_label_counts(df, y, p)).agg(F.avg("f1").alias("macro_f1"))
+def macro_f1(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
+    """Mean per-label F1 over labels present in truth or prediction
+    (per ``by`` group, e.g. per model)."""
+    return _prf(per_label_counts(df, y, p, by)).groupBy(*by).agg(F.avg("f1").alias("macro_f1"))
 
 
 def classification_report(df: DataFrame, y: str, p: str, labels: Sequence[str] = CLASS_LABELS) -> DataFrame:

@@ -24,7 +24,7 @@ def assign_month_windows(articles: DataFrame, windows: DataFrame, ts_col: str =
     """Article -> its month window. Monthly windows do not overlap, so the
     range condition ``start <= ts < end + 1 day`` equals an equi-join on
     ``trunc(ts, 'month')``: a hash join that needs no broadcast."""
-    a = articles.withColumn("__m", F.trunc(F.col(ts_col), "month"))
+    a = articles.drop("window_start", "window_end").withColumn("__m", F.trunc(F.col(ts_col), "month"))
     return a.join(windows, a["__m"] == windows["window_start"], "inner").drop("__m")
 
 
@@ -34,7 +34,7 @@ def assign_windows_range(articles: DataFrame, windows: DataFrame, ts_col: str =
     w = broadcast_checked(windows, MAX_WINDOWS, "windows")
     cond = (F.col(ts_col) >= F.col("window_start").cast("timestamp_ntz")) & (
         F.col(ts_col) < F.date_add(F.col("window_end"), 1).cast("timestamp_ntz"))
-    return articles.join(w, cond, "inner")
+    return articles.drop("window_start", "window_end").join(w, cond, "inner")
 
 
 def per_window_cap(max_records: int, max_pages: int, page_cap: int = GUARDIAN_PAGE_SIZE_CAP) -> int:

@@ -101,4 +101,5 @@ def provider_union(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
-    return out.select(*RAW_NEWS_COLUMNS, *[c for c in out.columns if c not in RAW_NEWS_COLUMNS])
+    first = [c for c in RAW_NEWS_COLUMNS if c in out.columns]
+    return out.select(*first, *[c for c in out.columns if c not in RAW_NEWS_COLUMNS])
