@@ -49,7 +49,9 @@ def stream_window_counts(stream: DataFrame, ts_col: str, group_cols: Sequence[st
     """Tumbling-window (count, sum) per group; state is bounded by the
     watermark; results are merged into a versioned table keyed by
     (window_start, groups...)."""
-    agg = (stream.withWatermark(ts_col, watermark)
+    # event time must be TIMESTAMP (session zone UTC keeps NTZ wall clock)
+    timed = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    agg = (timed.withWatermark(ts_col, watermark)
            .groupBy(F.window(ts_col, window).alias("w"), *group_cols)
            .agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")))
     flat = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
@@ -69,4 +71,5 @@ def stream_window_counts(stream: DataFrame, ts_col: str, group_cols: Sequence[st
 
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: str) -> DataFrame:
     """Append-only first-seen de-duplication; state expires with the watermark."""
-    return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    return timed.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
