@@ -17,12 +17,13 @@ def clean_text(c: str | Column) -> Column:
     """Lower-case, drop ``http...`` tokens, keep ``[a-z0-9 whitespace -]``,
     collapse whitespace and trim. Null input gives ``''``.
 
-    ``(?U)`` makes ``\\s``/``\\S`` Unicode-aware, as in Python's ``re``.
+    One regex pass: every maximal run of URLs, disallowed characters and
+    whitespace becomes a single space, which is what replacing URLs, then
+    disallowed characters, then whitespace runs yields. ``(?U)`` makes
+    ``\\s``/``\\S`` Unicode-aware, as in Python's ``re``.
     """
     text = F.lower(F.coalesce(_col(c), F.lit("")))
-    text = F.regexp_replace(text, r"(?U)http\S+", " ")
-    text = F.regexp_replace(text, r"(?U)[^a-z0-9\s\-]", " ")
-    text = F.regexp_replace(text, r"(?U)\s+", " ")
+    text = F.regexp_replace(text, r"(?U)(?:[^a-z0-9\s\-]|\s|http\S+)+", " ")
     return F.trim(text)
 
 
@@ -53,25 +54,25 @@ def boolean_text_filter(c: str | Column, any_of: Iterable[str], and_any_of: Iter
     """``(t1 OR t2 ...) AND (u1 OR u2 ...)`` over a text column, case-insensitive.
 
     With ``whole_word`` each term must sit between word boundaries (phrases
-    allowed); otherwise a plain substring test.
+    allowed) and the whole test is ONE regex (a lookahead per group), so the
+    text expression is referenced once even after Catalyst substitutes it
+    into a pushed-down filter. Otherwise plain substring tests.
     """
+    a = [t.lower() for t in any_of]
+    b = [t.lower() for t in and_any_of]
+    if not a:
+        raise ValueError("boolean_text_filter needs at least one term")
     lowered = F.lower(_col(c))
+    if whole_word:
+        def group(ts):
+            return r"(?=.*?\b(?:" + "|".join(re.escape(t) for t in ts) + r")\b)"
+        pattern = "(?s)^" + group(a) + (group(b) if b else "")
+        return F.coalesce(lowered.rlike(pattern), F.lit(False))
 
-    def term(t: str) -> Column:
-        t = t.lower()
-        if whole_word:
-            return lowered.rlike(r"\b" + re.escape(t) + r"\b")
-        return lowered.contains(t)
-
-    def any_term(terms: Iterable[str]) -> Column | None:
+    def any_sub(ts):
         out = None
-        for t in terms:
-            out = term(t) if out is None else (out | term(t))
+        for t in ts:
+            out = lowered.contains(t) if out is None else (out | lowered.contains(t))
         return out
-
-    left = any_term(any_of)
-    right = any_term(and_any_of)
-    if left is None:
-        raise ValueError("boolean_text_filter needs at least one term")
-    cond = left if right is None else (left & right)
+    cond = any_sub(a) if not b else (any_sub(a) & any_sub(b))
     return F.coalesce(cond, F.lit(False))

@@ -97,20 +97,28 @@ def monthly_sentiment(clean: DataFrame, lexicon: DataFrame, id_col: str = "__row
 
 
 def monthly_news_features(clean: DataFrame, lexicon: DataFrame,
-                          keywords: Sequence[str] = DEFAULT_KEYWORDS, **rules) -> DataFrame:
+                          keywords: Sequence[str] = DEFAULT_KEYWORDS, id_col: str = "__row_id",
+                          **rules) -> DataFrame:
     """One row per month: article_count, avg_sentiment, negative_share,
     avg_title_len, unique_sources, kw_*.
 
-    Two aggregates over the article table (counts/flags, and per-article
-    sentiment) each shuffle only partially aggregated month rows; they meet
-    in a join of two month-sized tables.
+    One pass over the article text: keyword flags and length are computed
+    per article and carried (as small columns) through the per-article
+    sentiment aggregate, whose map-side partial aggregation leaves one row
+    per article; a month aggregate finishes. No long text is shuffled and the
+    cleaned text is produced once.
     """
-    stats = monthly_article_stats(clean, keywords)
-    senti = monthly_sentiment(clean, lexicon, **rules)
-    out = stats.join(senti, "month", "left")
-    return out.select(
-        "month", "article_count",
-        (F.coalesce(F.col("sentiment_sum"), F.lit(0.0)) / F.col("n_rows")).alias("avg_sentiment"),
-        (F.coalesce(F.col("negative_count"), F.lit(0)) / F.col("n_rows")).alias("negative_share"),
-        "avg_title_len", "unique_sources",
-        *[keyword_column_name(k) for k in keywords])
+    src = clean if id_col in clean.columns else clean.withColumn(id_col, F.monotonically_increasing_id())
+    src = src.where(F.col("month").isNotNull()).withColumns(keyword_flags("clean_text", keywords))
+    kw_cols = [keyword_column_name(k) for k in keywords]
+    per_doc = S.score_all(src, "clean_text", id_col, lexicon,
+                          carry=["month", "title_len", "source", *kw_cols], **rules)
+    n = F.count(F.lit(1))
+    return per_doc.groupBy("month").agg(
+        n.alias("article_count"),
+        # exact: scores carry 4 decimals, so a DECIMAL sum is order-independent
+        (F.sum(F.col("sentiment").cast("decimal(38,4)")).cast("double") / n).alias("avg_sentiment"),
+        (F.sum((F.col("sentiment") < 0).cast("long")) / n).alias("negative_share"),
+        F.avg("title_len").alias("avg_title_len"),
+        F.count_distinct("source").alias("unique_sources"),
+        *[F.sum(c).cast("long").alias(c) for c in kw_cols])

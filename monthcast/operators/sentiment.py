@@ -51,36 +51,41 @@ DEFAULT_NEGATORS = ["not", "no", "never", "none", "nothing", "neither", "nor", "
                     "cannot", "isn", "aren", "wasn", "don", "doesn", "didn", "won"]
 
 LEXICON_MAX_ROWS = 1_000_000
+WORDSET_MAX = 200_000  # membership as an in-plan hash set up to this size
 
 
 def lexicon_frame(spark, entries: Sequence[tuple[str, float]] = DEFAULT_LEXICON) -> DataFrame:
     return spark.createDataFrame(list(entries), "token string, valence double")
 
 
-def token_contexts(df: DataFrame, text_col: str, id_col: str,
-                   contrast_word: str = DEFAULT_CONTRAST_WORD,
-                   carry: Sequence[str] = ()) -> DataFrame:
-    """One row per token: (id, carry..., pos, tok, p1, p2, p3, contrast_pos).
+def lexicon_words(lexicon: DataFrame) -> list[str] | None:
+    """The lexicon's words when there are at most ``WORDSET_MAX`` of them
+    (used as an ``InSet`` hash-set test inside the plan), else None."""
+    words = [r[0] for r in lexicon.select("token").distinct().limit(WORDSET_MAX + 1).collect()]
+    return None if len(words) > WORDSET_MAX else sorted(w for w in words if w is not None)
 
-    ``pos`` is 0-based; ``contrast_pos`` is the 0-based index of the first
-    contrast word or -1. Only the small ``carry`` columns travel with tokens.
-    """
-    toks = F.split(F.col(text_col), " ")
-    staged = df.select(F.col(id_col), *carry, toks.alias("tok"))
-    n = F.size(F.col("tok"))
 
-    def shifted(k: int):
-        pad = F.array_repeat(F.lit(None).cast("string"), k)
-        body = F.slice(F.col("tok"), 1, F.greatest(n - k, F.lit(0)))
-        return F.slice(F.concat(pad, body), 1, n).alias(f"p{k}")
+def hit_contexts(df: DataFrame, text_col: str, id_col: str, words: list[str] | None,
+                 contrast_word: str = DEFAULT_CONTRAST_WORD, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per lexicon hit: (id, carry..., contrast_pos, pos, tok, p1, p2, p3),
+    plus the position-0 token of every text as an anchor (so texts without
+    hits keep a row). ``words=None`` keeps every token.
 
-    staged = staged.select(
-        F.col(id_col), *carry,
-        (F.array_position(F.col("tok"), contrast_word) - 1).cast("int").alias("contrast_pos"),
-        F.col("tok"), shifted(1), shifted(2), shifted(3))
-    return (staged.select(F.col(id_col), *carry, "contrast_pos",
-                          F.posexplode(F.arrays_zip("tok", "p1", "p2", "p3")).alias("pos", "c"))
-                  .select(id_col, *carry, "contrast_pos", "pos", "c.*"))
+    The token array is built once per row and exploded; the hash-set filter
+    and the predecessor lookups run in the same generated code right after
+    the explode, so the array is never copied per token.
+    ``pos``/``contrast_pos`` are 0-based (-1: no contrast word).
+    """
+    staged = df.select(F.col(id_col), *carry, F.split(F.col(text_col), " ").alias("__tok"))
+    toks = F.col("__tok")
+    exploded = staged.select(F.col(id_col), *carry, "__tok",
+                             (F.array_position(toks, contrast_word) - 1).cast("int").alias("contrast_pos"),
+                             F.posexplode_outer(toks).alias("pos", "tok"))
+    if words is not None:
+        exploded = exploded.where(F.col("tok").isin(words) | (F.col("pos") == 0))
+    pos = F.col("pos")
+    return exploded.select(id_col, *carry, "contrast_pos", "pos", "tok",
+                           *[F.when(pos >= k, F.get(toks, pos - k)).alias(f"p{k}") for k in (1, 2, 3)])
 
 
 def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],
@@ -103,6 +108,27 @@ def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],
     return v * contrast
 
 
+def _scored_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame, carry: Sequence[str],
+                 boosters_up, boosters_down, negators, contrast_word) -> DataFrame:
+    """(id, carry..., pos, score); texts without hits give one NULL-score row."""
+    words = lexicon_words(lexicon)
+    lex = broadcast_checked(lexicon.select("token", "valence"), LEXICON_MAX_ROWS, "lexicon")
+    if words is not None:
+        t = hit_contexts(df, text_col, id_col, words, contrast_word, carry)
+        t = t.withColumns({f"p{k}_in_lex": F.col(f"p{k}").isin(words) for k in (1, 2, 3)})
+        # the anchor token is not a hit unless it is a lexicon word
+        t = t.withColumn("tok", F.when(F.col("tok").isin(words), F.col("tok")))
+    else:  # very large lexicon: every token goes on, membership by joins
+        t = hit_contexts(df, text_col, id_col, None, contrast_word, carry)
+        vocab = lexicon.select(F.col("token").alias("__w")).distinct()
+        for k in (1, 2, 3):
+            flag = vocab.select(F.col("__w").alias(f"p{k}_w"), F.lit(True).alias(f"p{k}_in_lex"))
+            t = t.join(flag, F.col(f"p{k}") == F.col(f"p{k}_w"), "left").drop(f"p{k}_w")
+    t = t.join(lex, F.col("tok") == F.col("token"), "left")
+    t = t.withColumns({f"p{k}_in_lex": F.coalesce(F.col(f"p{k}_in_lex"), F.lit(False)) for k in (1, 2, 3)})
+    return t.select(id_col, *carry, "pos", _adjusted_valence(boosters_up, boosters_down, negators).alias("score"))
+
+
 def valence_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,
                  boosters_up: Iterable[str] = DEFAULT_BOOSTERS_UP,
                  boosters_down: Iterable[str] = DEFAULT_BOOSTERS_DOWN,
@@ -110,18 +136,26 @@ def valence_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,
                  contrast_word: str = DEFAULT_CONTRAST_WORD,
                  carry: Sequence[str] = ()) -> DataFrame:
     """Adjusted valence per lexicon hit: (id, carry..., pos, score)."""
-    lex = broadcast_checked(lexicon.select("token", "valence"), LEXICON_MAX_ROWS, "lexicon")
-    words = broadcast_checked(lexicon.select(F.col("token").alias("w")).distinct(),
-                              LEXICON_MAX_ROWS, "lexicon words")
-    hits = token_contexts(df, text_col, id_col, contrast_word, carry).join(
-        lex, F.col("tok") == F.col("token"), "inner")
-    for k in (1, 2, 3):
-        flag = words.select(F.col("w").alias(f"p{k}_w"), F.lit(True).alias(f"p{k}_in_lex"))
-        hits = hits.join(flag, F.col(f"p{k}") == F.col(f"p{k}_w"), "left")
-    hits = hits.withColumns({f"p{k}_in_lex": F.coalesce(F.col(f"p{k}_in_lex"), F.lit(False))
-                             for k in (1, 2, 3)})
-    return hits.select(id_col, *carry, "pos",
-                       _adjusted_valence(boosters_up, boosters_down, negators).alias("score"))
+    return _scored_hits(df, text_col, id_col, lexicon, carry, boosters_up, boosters_down, negators,
+                        contrast_word).where(F.col("score").isNotNull())
+
+
+def score_all(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,
+              carry: Sequence[str] = (),
+              boosters_up: Iterable[str] = DEFAULT_BOOSTERS_UP,
+              boosters_down: Iterable[str] = DEFAULT_BOOSTERS_DOWN,
+              negators: Iterable[str] = DEFAULT_NEGATORS,
+              contrast_word: str = DEFAULT_CONTRAST_WORD) -> DataFrame:
+    """One row per input row: (id, carry..., sentiment), 0.0 without hits.
+
+    A per-text aggregate (partial on the map side, so each text is one row
+    before the shuffle) restores one row per text, carrying the small
+    ``carry`` columns instead of re-joining the text table.
+    """
+    t = _scored_hits(df, text_col, id_col, lexicon, carry, boosters_up, boosters_down, negators, contrast_word)
+    per = t.groupBy(id_col, *carry).agg(F.sum("score").alias("__s"), F.count("score").alias("__hits"))
+    return per.select(id_col, *carry, F.when(F.col("__hits") > 0, compound(F.col("__s")))
+                      .otherwise(F.lit(0.0)).alias("sentiment"))
 
 
 def compound(total: Column) -> Column:

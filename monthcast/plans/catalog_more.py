@@ -97,8 +97,7 @@ FROM dclean LEFT JOIN doc_sent ON dclean.doc_id = doc_sent.doc_id
 """)
 def q_lexicon_sentiment(spark, sf):
     d = _docs(spark, sf).select("doc_id", clean_text("text").alias("clean_text"))
-    return SE.score_texts(d, "clean_text", "doc_id", SI.lexicon(spark), **SI.sentiment_rules()).select(
-        "doc_id", "sentiment")
+    return SE.score_all(d, "clean_text", "doc_id", SI.lexicon(spark), **SI.sentiment_rules())
 
 
 @register("fillna_string", """

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import series as S
+from .sizing import spread
 
 # Fixed stand-in values (shared with the SQL oracle).
 STANDIN_KEYWORDS = ["the", "her", "ram", "est"]
@@ -33,8 +34,14 @@ QUARTER_MONTHS = [1, 4, 7, 10]
 NEWS_URL_PREFIX = "https://news.example/c/"
 
 
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; long-text tables are spread over the cluster's cores
+    when their scan yields fewer tasks (regex work is CPU-bound)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def sentiment_rules() -> dict:

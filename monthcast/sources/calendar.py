@@ -23,9 +23,12 @@ def month_windows(bounds: DataFrame, start_col: str = "start", end_col: str = "e
 def assign_month_windows(articles: DataFrame, windows: DataFrame, ts_col: str = "published_at") -> DataFrame:
     """Article -> its month window. Monthly windows do not overlap, so the
     range condition ``start <= ts < end + 1 day`` equals an equi-join on
-    ``trunc(ts, 'month')``: a hash join that needs no broadcast."""
+    ``trunc(ts, 'month')``. The window table is calendar-sized (checked) and
+    broadcast, so a month holding a third of all articles is not shuffled
+    into one task."""
     a = articles.drop("window_start", "window_end").withColumn("__m", F.trunc(F.col(ts_col), "month"))
-    return a.join(windows, a["__m"] == windows["window_start"], "inner").drop("__m")
+    w = broadcast_checked(windows, MAX_WINDOWS, "windows")
+    return a.join(w, a["__m"] == w["window_start"], "inner").drop("__m")
 
 
 def assign_windows_range(articles: DataFrame, windows: DataFrame, ts_col: str = "published_at") -> DataFrame:
