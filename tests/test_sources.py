@@ -80,3 +80,25 @@ def test_table_guard(spark):
     df = spark.range(5)
     g = table_guard(df, "t", min_rows=19).first()
     assert g["rows"] == 5 and g["ok"] is False
+
+
+def test_read_or_empty_and_exports(spark, tmp_path):
+    from monthcast import schemas
+    from monthcast.sinks.tables import export_csv, export_json
+    from monthcast.sources.tables import read_feature_table, read_metrics_json, read_or_empty
+    missing = read_or_empty(spark, str(tmp_path / "nope"), schemas.SERIES)
+    assert missing.count() == 0 and missing.columns == ["date", "ppi_value"]
+    df = spark.createDataFrame([("2020-02-01", 2.0), ("2020-01-01", 1.0)], "month string, v double")
+    export_csv(df, str(tmp_path / "mt"))
+    back = read_feature_table(spark, str(tmp_path / "mt"), fmt="csv").collect()
+    assert [r["month"] for r in back] == [dt.date(2020, 1, 1), dt.date(2020, 2, 1)]
+    export_json(df, str(tmp_path / "js"))
+    assert read_metrics_json(spark, str(tmp_path / "js")).count() == 2
+
+
+def test_named_series_layout(spark, tmp_path):
+    from monthcast.sources.series import read_named_series
+    p = tmp_path / "g.csv"
+    p.write_text("Date,GSCPI,Other\n2020-01-31,0.5,x\n2020-02-29,-1.2,y\nbad,1,z\n")
+    out = read_named_series(spark, str(p), "Date", "GSCPI", "gscpi").orderBy("date").collect()
+    assert [(r["date"], r["gscpi"]) for r in out] == [(dt.date(2020, 1, 31), 0.5), (dt.date(2020, 2, 29), -1.2)]
