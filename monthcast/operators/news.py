@@ -69,6 +69,14 @@ def clean_news(raw: DataFrame, accepted_languages: Sequence[str] = ENGLISH_SPELL
     })
 
 
+def article_id(keys: Sequence[str] = ARTICLE_DEDUP_KEYS):
+    """Deterministic 128-bit id of an article from its dedup key (two xxhash64
+    orders), so a recomputed task after an executor loss produces the same
+    ids; collisions need 2^64-scale article counts."""
+    cols = [F.col(k) for k in keys]
+    return F.struct(F.xxhash64(*cols).alias("h1"), F.xxhash64(*reversed(cols)).alias("h2"))
+
+
 def monthly_article_stats(clean: DataFrame, keywords: Sequence[str] = DEFAULT_KEYWORDS) -> DataFrame:
     """Per month: article count, mean title length, distinct sources
     (``''`` counts as a source) and one keyword-hit sum per keyword."""
@@ -87,7 +95,7 @@ def monthly_sentiment(clean: DataFrame, lexicon: DataFrame, id_col: str = "__row
                       **rules) -> DataFrame:
     """Per month: sum of compound scores and number of negative articles,
     over articles with at least one lexicon hit (the others score 0.0)."""
-    src = clean if id_col in clean.columns else clean.withColumn(id_col, F.monotonically_increasing_id())
+    src = clean if id_col in clean.columns else clean.withColumn(id_col, article_id())
     src = src.where(F.col("month").isNotNull())
     per_text = S.text_sentiment(src, "clean_text", id_col, lexicon, carry=["month"], **rules)
     return per_text.groupBy("month").agg(
@@ -108,7 +116,7 @@ def monthly_news_features(clean: DataFrame, lexicon: DataFrame,
     per article; a month aggregate finishes. No long text is shuffled and the
     cleaned text is produced once.
     """
-    src = clean if id_col in clean.columns else clean.withColumn(id_col, F.monotonically_increasing_id())
+    src = clean if id_col in clean.columns else clean.withColumn(id_col, article_id())
     src = src.where(F.col("month").isNotNull()).withColumns(keyword_flags("clean_text", keywords))
     kw_cols = [keyword_column_name(k) for k in keywords]
     per_doc = S.score_all(src, "clean_text", id_col, lexicon,

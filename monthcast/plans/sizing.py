@@ -21,15 +21,19 @@ def broadcast_checked(df: DataFrame, max_rows: int, what: str = "table") -> Data
     return F.broadcast(df) if ok else df
 
 
-def spread(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_tasks`` partitions (default: the
+def spread(df: DataFrame, min_tasks: int | None = None, keys=None) -> DataFrame:
+    """Spread ``df`` over at least ``min_tasks`` partitions (default: the
     cluster's parallelism) when its scan yields fewer tasks.
 
     For CPU-heavy narrow work (regex, tokenising) on inputs stored as a few
     large row groups. At scale the scan already yields many more tasks than
     cores and this is a no-op; no shuffle is added then.
+
+    Hash partitioning on ``keys`` (default: all columns) keeps the result
+    deterministic under task retries without the per-partition sort that a
+    round-robin repartition needs for that.
     """
     target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *(keys or df.columns))

@@ -34,14 +34,14 @@ QUARTER_MONTHS = [1, 4, 7, 10]
 NEWS_URL_PREFIX = "https://news.example/c/"
 
 
-TEXT_TABLES = {"documents", "pages", "conversations"}
+TEXT_TABLES = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table; long-text tables are spread over the cluster's cores
     when their scan yields fewer tasks (regex work is CPU-bound)."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spread(df, keys=TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def sentiment_rules() -> dict:
