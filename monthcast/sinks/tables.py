@@ -61,7 +61,10 @@ class VersionedTable:
 
     def read(self) -> DataFrame | None:
         h = self.head()
-        return None if h is None else self.spark.read.parquet(h["path"])
+        if h is None:
+            return None
+        df = self.spark.read.parquet(h["path"])
+        return df.drop("__change") if "__change" in df.columns else df
 
     def commit(self, df: DataFrame, batch_id: str) -> str:
         h = self.head()
@@ -83,11 +86,9 @@ class VersionedTable:
             tagged = incoming.withColumn("__change", F.lit(U.INSERTED))
         else:
             tagged = U.merge_with_changes(current, batch, keys, seq_col)
-        tagged = tagged.persist()
-        try:
-            counts = U.change_counts(tagged).first().asDict()
-            self.commit(tagged.drop("__change"), batch_id)
-        finally:
-            tagged.unpersist()
+        # write once (the change tag travels with the snapshot), then count
+        # from the written files: nothing large is cached on executors
+        path = self.commit(tagged, batch_id)
+        counts = U.change_counts(self.spark.read.parquet(path).select("__change")).first().asDict()
         counts["skipped"] = False
         return counts
