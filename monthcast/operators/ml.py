@@ -79,6 +79,20 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "target_clas
     return pipe.fit(train)
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    """Persist a fitted pipeline (stages, label order and feature list)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def model_features(model: PipelineModel) -> list[str]:
+    """The feature list the model was trained on (VectorAssembler inputs)."""
+    return list(model.stages[1].getInputCols())
+
+
 def class_names(model: PipelineModel) -> list[str]:
     return list(model.stages[0].labels)
 

@@ -34,3 +34,9 @@ def read_feature_table(spark: SparkSession, path: str, fmt: str = "parquet") ->
 
 def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
+
+
+def read_prediction(spark: SparkSession, path: str) -> DataFrame:
+    """Prediction artifact (CSV with header) with the declared schema."""
+    from ..schemas import PREDICTION
+    return spark.read.schema(PREDICTION).option("header", True).csv(path)

@@ -61,3 +61,62 @@ def test_stream_upsert_equals_batch(spark):
     got = VersionedTable(spark, root).read()
     assert got.count() == 5
     assert got.groupBy("url").count().where(F.col("count") > 1).count() == 0
+
+
+def test_model_save_load_roundtrip(spark):
+    rows = [(float(i), ["low", "medium", "high"][i % 3]) for i in range(24)]
+    df = spark.createDataFrame(rows, "f1 double, target_class string")
+    model = ML.fit_logistic(df, ["f1"], max_iter=50)
+    path = scratch_path(spark, "model-test")
+    ML.save_model(model, path)
+    back = ML.load_model(path)
+    assert ML.model_features(back) == ["f1"] and ML.class_names(back) == ML.class_names(model)
+    a = [r["predicted"] for r in ML.score(model, df).orderBy("f1").collect()]
+    b = [r["predicted"] for r in ML.score(back, df).orderBy("f1").collect()]
+    assert a == b
+
+
+def test_prediction_artifact_scan(spark):
+    from monthcast.sinks.tables import export_csv
+    from monthcast.sources.tables import read_prediction
+    df = spark.createDataFrame([(dt.date(2026, 3, 1), "medium", 0.05, 0.56, 0.39)],
+                               "month date, predicted_next_month_pressure string, proba_low double, "
+                               "proba_medium double, proba_high double")
+    path = scratch_path(spark, "pred-test")
+    export_csv(df, path)
+    r = read_prediction(spark, path).first()
+    assert r["month"] == dt.date(2026, 3, 1) and r["predicted_next_month_pressure"] == "medium"
+
+
+def test_dedup_within_watermark_stream(spark):
+    from monthcast.streaming.news_stream import dedup_within_watermark
+    rows = [("u1", dt.datetime(2024, 1, 1, 0, 0)), ("u1", dt.datetime(2024, 1, 1, 0, 5)),
+            ("u2", dt.datetime(2024, 1, 1, 0, 6))]
+    df = spark.createDataFrame(rows, "url string, ts timestamp_ntz")
+    landing = scratch_path(spark, "dedup-landing")
+    df.coalesce(1).write.parquet(landing)
+    out_path = scratch_path(spark, "dedup-out")
+    stream = dedup_within_watermark(file_stream(spark, landing, df.schema), ["url"], "ts", "1 hour")
+    q = (stream.writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", scratch_path(spark, "dedup-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r["url"] for r in spark.read.parquet(out_path).collect())
+    assert got == ["u1", "u2"]
+
+
+def test_stream_window_counts_match_batch(spark):
+    from monthcast.streaming.news_stream import stream_window_counts
+    rows = [(i, dt.datetime(2024, 1, 1 + (i % 3), i % 24), "click" if i % 2 else "view", float(i))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double")
+    landing = scratch_path(spark, "wc-landing")
+    df.repartitionByRange(3, "ts").write.parquet(landing)
+    table = stream_window_counts(file_stream(spark, landing, df.schema), "ts", ["event_type"], "value",
+                                 scratch_path(spark, "wc-table"), scratch_path(spark, "wc-ckpt"),
+                                 window="1 day", watermark="7 days")
+    got = {(r["window_start"].day, r["event_type"]): (r["n"], r["total"]) for r in table.read().collect()}
+    expect = {}
+    for i, ts, e, v in rows:
+        n, t = expect.get((ts.day, e), (0, 0.0))
+        expect[(ts.day, e)] = (n + 1, t + v)
+    assert got == expect
