@@ -326,14 +326,14 @@ def q_latest_row(spark, sf):
     return R.latest_row(feature_table(spark, sf)).select("month", "ppi_value", "article_count", "target_class")
 
 
-@register("pipeline_summary", f"""
+@register("stage_row_counts", f"""
 WITH {MODEL_TABLE_CTES}
 SELECT 'fred_series' AS stage, COUNT(*) AS rows FROM ppi
 UNION ALL SELECT 'raw_news', COUNT(*) FROM raw_news
 UNION ALL SELECT 'clean_news', COUNT(*) FROM clean
 UNION ALL SELECT 'model_table', COUNT(*) FROM model_table
 """)
-def q_pipeline_summary(spark, sf):
+def q_stage_row_counts(spark, sf):
     return R.stage_counts({
         "fred_series": SI.price_series(spark, sf),
         "raw_news": SI.raw_news(spark, sf),
