@@ -74,7 +74,7 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "target_clas
             max_iter: int = 100, max_depth: int = 3, step: float = 0.1) -> PipelineModel:
     """One-vs-rest gradient-boosted trees (100 trees, depth 3, rate 0.1)."""
     gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=RANDOM_STATE)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx")
+    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx", parallelism=len(CLASS_LABELS))
     pipe = Pipeline(stages=[_indexer(label), VectorAssembler(inputCols=list(features), outputCol="features"), ovr])
     return pipe.fit(train)
 
