@@ -9,7 +9,9 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..session import scratch_path
 from ..sinks.tables import VersionedTable
-from ..streaming.news_stream import file_stream, stream_upsert, stream_window_counts
+from .. import schemas
+from ..sources import payloads as P
+from ..streaming.news_stream import file_stream, stream_payload_upsert, stream_upsert, stream_window_counts
 from . import standins as SI
 from .catalog import register
 from .catalog_sources import TEST_SIZE_MONTHS, ppi_model_table
@@ -63,7 +65,11 @@ def q_stream_news_upsert(spark, sf):
     return VersionedTable(spark, root).read().select("url", "doc_id", "seen_date")
 
 
-@register("stream_window_counts")
+@register("stream_window_counts", """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       event_type, COUNT(*) AS n, round(SUM(value), 6) AS total
+FROM events GROUP BY ALL
+""")
 def q_stream_window_counts(spark, sf):
     """Daily event counts per type from a file stream (update mode, merged
     per touched window). The watermark spans the landed month so no file
@@ -75,4 +81,26 @@ def q_stream_window_counts(spark, sf):
     table = stream_window_counts(file_stream(spark, landing, ev.schema), "ts", ["event_type"], "value", root,
                                  checkpoint=scratch_path(spark, "events-ckpt"), window="1 day",
                                  watermark="31 days", query_name="event_counts")
-    return table.read().select("window_start", "window_end", "event_type", "n", "total")
+    out = table.read()
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "event_type", "n", F.round("total", 6).alias("total"))
+
+
+@register("stream_payload_upsert", """
+SELECT 'https://events.example/' || CAST(event_id AS VARCHAR) AS url, event_type AS title,
+       'user' || CAST(user_id AS VARCHAR) AS source, strftime(ts, '%Y%m%dT%H%M%SZ') AS seen_date,
+       coalesce(json_extract_string(props, '$.k'), '') AS social_image
+FROM events
+""")
+def q_stream_payload_upsert(spark, sf):
+    """GDELT-layout JSON payloads (built from ``events``) landed as text
+    files, streamed with the declared schema, flattened and upserted by url."""
+    from .catalog_sources import _gdelt_payloads
+    landing = scratch_path(spark, "payload-landing")
+    _gdelt_payloads(spark, sf).repartition(4, "payload").write.text(landing)
+    root = scratch_path(spark, "payload-table")
+    stream_payload_upsert(spark, landing, schemas.GDELT_PAYLOAD, P.flatten_gdelt, root,
+                          checkpoint=scratch_path(spark, "payload-ckpt"), seq_cols=["seen_date", "title"],
+                          query_name="gdelt_payload_upsert")
+    return VersionedTable(spark, root).read().select("url", "title", "source", "seen_date", "social_image")

@@ -43,6 +43,22 @@ def stream_upsert(stream: DataFrame, table_root: str, keys: Sequence[str], seq_c
     return log
 
 
+def payload_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
+    """Landed provider payloads (one JSON document per line) as a stream."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+            .json(path))
+
+
+def stream_payload_upsert(spark: SparkSession, landing: str, schema: T.StructType, flatten,
+                          table_root: str, checkpoint: str, keys: Sequence[str] = ("url",),
+                          seq_cols: Sequence[str] = ("seen_date",), query_name: str = "payload_upsert") -> list[dict]:
+    """Payload files -> provider flattener (explode, nested fields) -> keyed
+    upsert per micro-batch. ``flatten`` is one of ``sources.payloads.flatten_*``
+    and runs on the parsed struct columns of each batch."""
+    return stream_upsert(flatten(payload_stream(spark, landing, schema)), table_root, list(keys), list(seq_cols),
+                         checkpoint, query_name=query_name)
+
+
 def stream_window_counts(stream: DataFrame, ts_col: str, group_cols: Sequence[str], value_col: str,
                          table_root: str, checkpoint: str, window: str = "1 day",
                          watermark: str = "1 day", query_name: str = "window_counts") -> VersionedTable:
