@@ -59,10 +59,12 @@ def lexicon_frame(spark, entries: Sequence[tuple[str, float]] = DEFAULT_LEXICON)
 
 
 def lexicon_words(lexicon: DataFrame) -> list[str] | None:
-    """The lexicon's words when there are at most ``WORDSET_MAX`` of them
-    (used as an ``InSet`` hash-set test inside the plan), else None."""
-    words = [r[0] for r in lexicon.select("token").distinct().limit(WORDSET_MAX + 1).collect()]
-    return None if len(words) > WORDSET_MAX else sorted(w for w in words if w is not None)
+    """The lexicon's words when it has at most ``WORDSET_MAX`` rows (used as
+    an ``InSet`` hash-set test inside the plan), else None. One small job."""
+    rows = lexicon.select("token").limit(WORDSET_MAX + 1).collect()
+    if len(rows) > WORDSET_MAX:
+        return None
+    return sorted({r[0] for r in rows if r[0] is not None})
 
 
 def hit_contexts(df: DataFrame, text_col: str, id_col: str, words: list[str] | None,
@@ -112,7 +114,10 @@ def _scored_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,
                  boosters_up, boosters_down, negators, contrast_word) -> DataFrame:
     """(id, carry..., pos, score); texts without hits give one NULL-score row."""
     words = lexicon_words(lexicon)
-    lex = broadcast_checked(lexicon.select("token", "valence"), LEXICON_MAX_ROWS, "lexicon")
+    lex = lexicon.select("token", "valence")
+    # a word list exists only when the lexicon has <= WORDSET_MAX rows: that
+    # already proves the size bound, so broadcast without a second count
+    lex = F.broadcast(lex) if words is not None else broadcast_checked(lex, LEXICON_MAX_ROWS, "lexicon")
     if words is not None:
         t = hit_contexts(df, text_col, id_col, words, contrast_word, carry)
         t = t.withColumns({f"p{k}_in_lex": F.col(f"p{k}").isin(words) for k in (1, 2, 3)})
