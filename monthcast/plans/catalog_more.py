@@ -17,7 +17,6 @@ from .catalog import (
     PANEL_PPI,
     clean_news,
     feature_table,
-    ppi_monthly,
     register,
 )
 from .feature_table import monthly_series

@@ -47,8 +47,12 @@ def test_matches_brute_force(spark):
     lex = spark.createDataFrame(list(LEX.items()), "token string, valence double")
     out = S.score_texts(df, "t", "id", lex, boosters_up=UP, boosters_down=DOWN, negators=NEG)
     got = {r["id"]: r["sentiment"] for r in out.collect()}
+    single_pass = S.score_all(df, "t", "id", lex, boosters_up=UP, boosters_down=DOWN, negators=NEG)
+    got_all = {r["id"]: r["sentiment"] for r in single_pass.collect()}
+    assert len(got_all) == len(TEXTS)
     for i, t in enumerate(TEXTS):
         assert got[i] == pytest.approx(brute(t), abs=1e-4), t
+        assert got_all[i] == got[i], t
         assert -1.0 <= got[i] <= 1.0
 
 
