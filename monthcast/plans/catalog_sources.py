@@ -201,7 +201,7 @@ IMPUTE_COLS = ["ppi_lag_1", "ppi_pct_change_lag_1", "ppi_ma_3", "ppi_std_3"]
 WITH {PMT},
 sp AS (SELECT *, row_number() OVER (ORDER BY month DESC) <= {TEST_SIZE_MONTHS} AS is_test FROM pall),
 med AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in IMPUTE_COLS)} FROM sp WHERE NOT is_test)
-SELECT month, {", ".join(f"CASE WHEN {c} IS NULL THEN round(m_{c}, 6) ELSE {c} END AS {c}" for c in IMPUTE_COLS)}
+SELECT month, {", ".join(f"round(coalesce({c}, m_{c}), 6) AS {c}" if c in ("ppi_ma_3", "ppi_std_3") else f"CASE WHEN {c} IS NULL THEN round(m_{c}, 6) ELSE {c} END AS {c}" for c in IMPUTE_COLS)}
 FROM sp, med
 """)
 def q_median_impute(spark, sf):
@@ -210,7 +210,9 @@ def q_median_impute(spark, sf):
     imputed = median_impute(full, full.where(~F.col("is_test")), IMPUTE_COLS)
     orig = full.select("month", *[F.col(c).alias(f"o_{c}") for c in IMPUTE_COLS])
     j = imputed.join(orig, "month")
-    return j.select("month", *[F.when(F.col(f"o_{c}").isNull(), F.round(F.col(c), 6)).otherwise(F.col(c)).alias(c)
+    # window mean/std values differ by engine in the last bits: always rounded
+    return j.select("month", *[(F.round(F.col(c), 6) if c in ("ppi_ma_3", "ppi_std_3") else
+                                F.when(F.col(f"o_{c}").isNull(), F.round(F.col(c), 6)).otherwise(F.col(c))).alias(c)
                                for c in IMPUTE_COLS])
 
 
