@@ -61,3 +61,12 @@ def test_keep_first_is_deterministic_under_ties(spark):
     df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 2, "0")], "k string, o int, p string")
     out = N.keep_first(df, ["k"], ["o"]).collect()
     assert [(r["k"], r["o"], r["p"]) for r in out] == [("k", 1, "a")]
+
+
+def test_approx_sources_option(spark):
+    rows = [dict(title=f"t{i}", url=f"u{i}", seen_date="2024-01-05T00:00:00Z", language="en", source=f"s{i % 7}")
+            for i in range(50)]
+    clean = N.clean_news(raw_rows(spark, rows))
+    exact = N.monthly_news_features(clean, lexicon_frame(spark), ["t"]).first()["unique_sources"]
+    approx = N.monthly_news_features(clean, lexicon_frame(spark), ["t"], approx_sources=True).first()["unique_sources"]
+    assert exact == 7 and abs(approx - 7) <= 1
