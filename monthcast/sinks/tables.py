@@ -9,6 +9,7 @@ re-applied batch id is skipped, so retries cannot double count.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,7 +70,9 @@ class VersionedTable:
     def commit(self, df: DataFrame, batch_id: str) -> str:
         h = self.head()
         version = 1 if h is None else h["version"] + 1
-        path = f"{self.root}/v{version:08d}"
+        # unique per attempt: a retry after a crash between the snapshot write
+        # and the manifest append writes a fresh directory (the orphan is ignored)
+        path = f"{self.root}/v{version:08d}-{uuid.uuid4().hex[:12]}"
         df.write.mode("errorifexists").parquet(path)
         row = self.spark.createDataFrame([(version, str(batch_id), path)], "version long, batch_id string, path string")
         row.coalesce(1).write.mode("append").parquet(self.manifest_path)

@@ -58,3 +58,13 @@ def test_duplicate_audit_and_cleanup_ignore_empty_and_null_keys(spark):
     assert [(r["url"], r["n"], r["keep"], r["n_extra"]) for r in audit] == [("a", 3, 1, 2)]
     kept = sorted(r["id"] for r in U.dedup_keep_first_by_key(df, ["url"], "id").collect())
     assert kept == [1, 4, 5, 6, 7, 8]
+
+
+def test_orphan_snapshot_does_not_block_retry(spark):
+    root = scratch_path(spark, "upsert-orphan")
+    t = VersionedTable(spark, root)
+    batch = spark.createDataFrame([("a", "1", None, 1)], SCHEMA)
+    # simulate a crash after the snapshot write of version 1 (no manifest row)
+    batch.write.parquet(f"{root}/v00000001-crashed")
+    res = t.upsert(batch, ["url"], batch_id="b1", seq_col="seq")
+    assert res["changed"] == 1 and t.read().count() == 1
