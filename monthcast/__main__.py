@@ -14,7 +14,7 @@ from .session import get_session
 
 def main(argv: list[str]) -> None:
     sf_dir, out_root = argv[0], argv[1]
-    spark = get_session()
+    spark = get_session(profile="cluster")
     raw = SI.raw_news(spark, sf_dir)
     inputs = RunInputs(series=SI.price_series(spark, sf_dir), indicators=SI.indicators(spark, sf_dir),
                        raw_news_batch=raw, lexicon=SI.lexicon(spark), keywords=SI.STANDIN_KEYWORDS,

@@ -19,18 +19,40 @@ _SESSION_DEFAULTS = {
 }
 
 
+# Large-cluster profile (~100 TB input, ~1000 executors). Scan splits of
+# 256 MB keep a task's input well inside executor memory; shuffles start
+# wide (AQE coalesces small partitions to ~256 MB and splits skewed ones);
+# the automatic broadcast limit stays modest because only calendar-, label-
+# and lexicon-sized tables are meant to be broadcast.
+CLUSTER_PROFILE = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(master: str | None = None, app: str = "monthcast",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "default") -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; tests use
-    ``local[*]`` with a small shuffle-partition count.
+    On a cluster pass ``master=None``, ``profile="cluster"`` and let
+    spark-submit decide the rest; tests use ``local[*]`` with a small
+    shuffle-partition count.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in _SESSION_DEFAULTS.items():
+    settings = dict(_SESSION_DEFAULTS)
+    if profile == "cluster":
+        settings.update(CLUSTER_PROFILE)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
