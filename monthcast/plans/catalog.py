@@ -177,12 +177,15 @@ FEATURE_TABLE_COLUMNS = (
 )
 
 
-def _feature_table_sql() -> str:
+def _feature_table_sql(part: str = "") -> str:
+    """Model-table CTEs; with ``part`` the series is a panel keyed by that
+    column of ``orders`` and every window is partitioned by it."""
+    pb = f"PARTITION BY {part} " if part else ""
     ind_feats = []
     for c in ("gscpi", "wti_oil_price"):
-        ind_feats.append(f"{Q.pct(c)} AS {c}_pct_change")
-        ind_feats.append(f"lag({c}, 1) OVER (ORDER BY month) AS {c}_lag_1")
-    lag_pct = ", ".join(f"lag({c}_pct_change, 1) OVER (ORDER BY month) AS {c}_pct_change_lag_1"
+        ind_feats.append(f"{Q.pct(c, part=part)} AS {c}_pct_change")
+        ind_feats.append(f"lag({c}, 1) OVER ({pb}ORDER BY month) AS {c}_lag_1")
+    lag_pct = ", ".join(f"lag({c}_pct_change, 1) OVER ({pb}ORDER BY month) AS {c}_pct_change_lag_1"
                         for c in ("gscpi", "wti_oil_price"))
     kw = ", ".join(f"coalesce(kw_{k}, 0) AS kw_{k}" for k in SI.STANDIN_KEYWORDS)
     doubles = [c for c in FEATURE_TABLE_COLUMNS
@@ -190,12 +193,17 @@ def _feature_table_sql() -> str:
                and not c.startswith("kw_")]
     doubles = [f"round({c}, 6) AS {c}" if c in ENGINE_DEPENDENT else c for c in doubles]
     ints = ["article_count", "unique_sources"] + [f"kw_{k}" for k in SI.STANDIN_KEYWORDS]
-    return f"""{Q.PPI},{Q.INDICATORS},{Q.RAW_NEWS},{Q.CLEAN_NEWS},{Q.monthly_news_ctes()},
+    series_cte = PANEL_PPI if part else Q.PPI
+    base = f"SELECT DISTINCT {part}, month, ppi_value FROM panel" if part else \
+        "SELECT DISTINCT month, ppi_value FROM ppi"
+    key_sel = f"base.{part}, " if part else ""
+    key_out = f"{part}, " if part else ""
+    return f"""{series_cte},{Q.INDICATORS},{Q.RAW_NEWS},{Q.CLEAN_NEWS},{Q.monthly_news_ctes()},
 base AS (
-  SELECT DISTINCT month, ppi_value FROM ppi
+  {base}
 ),
 joined AS (
-  SELECT base.month, base.ppi_value,
+  SELECT {key_sel}base.month, base.ppi_value,
          coalesce(article_count, 0) AS article_count, coalesce(avg_sentiment, 0) AS avg_sentiment,
          coalesce(negative_share, 0) AS negative_share, coalesce(avg_title_len, 0) AS avg_title_len,
          coalesce(unique_sources, 0) AS unique_sources, {kw},
@@ -204,20 +212,20 @@ joined AS (
 ),
 filled AS (
   SELECT * EXCLUDE (gscpi_raw, wti_raw),
-    last_value(gscpi_raw IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gscpi,
-    last_value(wti_raw IGNORE NULLS) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wti_oil_price
+    last_value(gscpi_raw IGNORE NULLS) OVER ({pb}ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gscpi,
+    last_value(wti_raw IGNORE NULLS) OVER ({pb}ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wti_oil_price
   FROM joined
-),{Q.series_feature_ctes('filled')},
+),{Q.series_feature_ctes('filled', part)},
 ind1 AS (SELECT *, {", ".join(ind_feats)} FROM feat2),
 ind2 AS (SELECT *, {lag_pct} FROM ind1),
 cuts AS (
-  SELECT *, quantile_cont(target_pct_change_next_month, 0.33) OVER () AS low_cut,
-            quantile_cont(target_pct_change_next_month, 0.67) OVER () AS high_cut
+  SELECT *, quantile_cont(target_pct_change_next_month, 0.33) OVER ({pb.strip()}) AS low_cut,
+            quantile_cont(target_pct_change_next_month, 0.67) OVER ({pb.strip()}) AS high_cut
   FROM ind2
 ),
 labelled AS (SELECT *, {Q.class_expr()} AS target_class FROM cuts),
 model_table AS (
-SELECT month, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ints)}, {", ".join(doubles)}, target_class
+SELECT {key_out}month, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ints)}, {", ".join(doubles)}, target_class
 FROM labelled
 WHERE ppi_lag_1 IS NOT NULL AND ppi_pct_change_lag_1 IS NOT NULL AND ppi_ma_3 IS NOT NULL
   AND ppi_std_3 IS NOT NULL AND target_class IS NOT NULL AND gscpi IS NOT NULL
@@ -231,3 +239,16 @@ MODEL_TABLE_CTES = _feature_table_sql()
 @register("feature_table", f"WITH {MODEL_TABLE_CTES}\nSELECT * FROM model_table")
 def q_feature_table(spark, sf_dir):
     return rounded(feature_table(spark, sf_dir).select(*FEATURE_TABLE_COLUMNS))
+
+
+@register("feature_table_panel", f"WITH {_feature_table_sql('o_orderpriority')}\nSELECT * FROM model_table")
+def q_feature_table_panel(spark, sf_dir):
+    """One model table per order priority (a panel of five series); the
+    window stages partition by the series key."""
+    orders = SI.table(spark, sf_dir, "orders")
+    panel = (S.monthly_mean(orders, "o_orderdate", "o_totalprice", "ppi_value", keys=["o_orderpriority"],
+                            exact_scale=2).withColumnRenamed("month", "date"))
+    ft = build_feature_table(
+        panel, clean_news(spark, sf_dir), SI.lexicon(spark), indicators=SI.indicators(spark, sf_dir),
+        keywords=SI.STANDIN_KEYWORDS, keys=["o_orderpriority"], id_col="doc_id", **SI.sentiment_rules())
+    return rounded(ft.select("o_orderpriority", *FEATURE_TABLE_COLUMNS))

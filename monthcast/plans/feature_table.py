@@ -15,34 +15,40 @@ from ..operators import series as S
 PPI_FEATURES = ["ppi_lag_1", "ppi_pct_change_lag_1", "ppi_ma_3", "ppi_std_3"]
 
 
-def monthly_series(series: DataFrame, date_col: str = "date", value_col: str = "ppi_value") -> DataFrame:
-    """Typed, de-duplicated (month, ppi_value) pairs of the target series."""
+def monthly_series(series: DataFrame, date_col: str = "date", value_col: str = "ppi_value",
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Typed, de-duplicated (keys..., month, ppi_value) rows of the target series."""
     clean = series.where(F.col(date_col).isNotNull() & F.col(value_col).isNotNull())
-    return S.distinct_series(clean.select(F.trunc(F.col(date_col), "month").alias("month"),
-                                          F.col(value_col).alias("ppi_value")))
+    return S.distinct_series(clean.select(*keys, F.trunc(F.col(date_col), "month").alias("month"),
+                                          F.col(value_col).alias("ppi_value")),
+                             cols=[*keys, "month", "ppi_value"])
 
 
 def build_feature_table(series: DataFrame, clean_news: DataFrame, lexicon: DataFrame,
                         indicators: DataFrame | None = None,
                         keywords: Sequence[str] = DEFAULT_KEYWORDS,
                         low_q: float = LOW_QUANTILE, high_q: float = HIGH_QUANTILE,
-                        keep_unlabelled: bool = False, **sentiment_rules) -> DataFrame:
-    """One row per month with 30-ish features, the next-month change and its
-    class. All month-level after the two article aggregates, so the window
-    steps run on a calendar-sized table."""
-    ppi = monthly_series(series)
+                        keep_unlabelled: bool = False, keys: Sequence[str] = (),
+                        **sentiment_rules) -> DataFrame:
+    """One row per (series key, month) with 30-ish features, the next-month
+    change and its class. Everything after the article aggregates is
+    month-level; with ``keys`` (a panel of series) every window, forward fill
+    and quantile cut runs per key, so the window stages partition by key.
+    The news and indicator months are shared by all series."""
+    keys = list(keys)
+    ppi = monthly_series(series, keys=keys)
     news = N.monthly_news_features(clean_news, lexicon, keywords, **sentiment_rules)
     df = ppi.join(news, "month", "left")
     indicator_cols: list[str] = []
     if indicators is not None:
         indicator_cols = [c for c in indicators.columns if c != "month"]
-        df = S.left_join_ffill(df, indicators, on="month")
-    news_cols = [c for c in df.columns if c not in {"month", "ppi_value", *indicator_cols}]
+        df = S.forward_fill(df.join(indicators, "month", "left"), indicator_cols, keys=keys)
+    news_cols = [c for c in df.columns if c not in {"month", "ppi_value", *indicator_cols, *keys}]
     df = df.fillna(0, subset=news_cols)
-    df = S.series_features(df, "ppi_value", "ppi")
-    df = S.indicator_features(df, indicator_cols)
-    df = S.target_lead(df, "ppi_pct_change")
-    df = L.add_target_class(df, low_q=low_q, high_q=high_q)
+    df = S.series_features(df, "ppi_value", "ppi", keys=keys)
+    df = S.indicator_features(df, indicator_cols, keys=keys)
+    df = S.target_lead(df, "ppi_pct_change", keys=keys)
+    df = L.add_target_class(df, low_q=low_q, high_q=high_q, keys=keys)
     required = [*PPI_FEATURES, *indicator_cols] + ([] if keep_unlabelled else ["target_class"])
     return df.dropna(subset=required)
 
@@ -50,4 +56,5 @@ def build_feature_table(series: DataFrame, clean_news: DataFrame, lexicon: DataF
 def feature_columns(model_table: DataFrame) -> list[str]:
     """Model inputs: every column except the key and the targets."""
     skip = {"month", "date", "target_class", "target_pct_change_next_month"}
+    skip |= {f.name for f in model_table.schema.fields if f.dataType.simpleString() == "string"}
     return [c for c in model_table.columns if c not in skip]
