@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import RECENT_ARTICLES_LIMIT, TREND_MONTHS
+from ..config import API_ARTICLES_DEFAULT_LIMIT, API_ARTICLES_MAX_LIMIT, RECENT_ARTICLES_LIMIT, TREND_MONTHS
+from ..functions.dates import parse_timestamps
 from ..functions.formatting import format_fixed
 
 ARTICLE_COLUMNS = ["published_at", "provider", "source", "title", "url", "language"]
@@ -36,6 +37,28 @@ def recent_raw_articles(raw: DataFrame, n: int = 50, tiebreak: Sequence[str] = (
     return raw.orderBy(*order).limit(n).select(*cols)
 
 
+def api_articles(clean: DataFrame | None, raw: DataFrame | None, limit: int = API_ARTICLES_DEFAULT_LIMIT,
+                 cleaned: bool = True, tiebreak: Sequence[str] = ("url", "title")) -> DataFrame:
+    """The article listing endpoint: ``limit`` in 1..500, cleaned or raw
+    table, newest first (missing dates first), the preferred columns that
+    exist, every date column rendered ``yyyy-MM-dd`` ('' when missing or
+    unparseable) and other NULLs as ''."""
+    if not 1 <= int(limit) <= API_ARTICLES_MAX_LIMIT:
+        raise ValueError(f"limit must be between 1 and {API_ARTICLES_MAX_LIMIT}")
+    df = clean if cleaned else raw
+    sort_col = "published_at" if cleaned else "seen_date"
+    cols = [c for c in API_COLUMNS if c in df.columns]
+    order = [F.col(sort_col).desc_nulls_first()] + [F.col(c).desc_nulls_first() for c in tiebreak if c in df.columns]
+    top = df.orderBy(*order).limit(int(limit))
+
+    def render(c: str):
+        if c in ("published_at", "seen_date", "month"):
+            as_ts = parse_timestamps(F.col(c).cast("string")) if c == "seen_date" else F.col(c)
+            return F.coalesce(F.date_format(as_ts, "yyyy-MM-dd"), F.lit("")).alias(c)
+        return F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    return top.select(*[render(c) for c in cols])
+
+
 def last_months(df: DataFrame, n: int = TREND_MONTHS, order_col: str = "month") -> DataFrame:
     """Last ``n`` rows by month (distributed top-k)."""
     return df.orderBy(F.col(order_col).desc()).limit(n)

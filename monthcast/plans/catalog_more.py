@@ -284,6 +284,18 @@ def q_recent_articles(spark, sf):
     return R.recent_articles(clean_news(spark, sf), 20)
 
 
+@register("api_news_articles", f"""
+WITH {BASE_NEWS}
+SELECT provider, coalesce(strftime(published_at, '%Y-%m-%d'), '') AS published_at,
+       coalesce(strftime(try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d'), '') AS seen_date,
+       coalesce(strftime(month, '%Y-%m-%d'), '') AS month, title, url, source, language, source_country,
+       clean_text
+FROM clean ORDER BY clean.published_at DESC NULLS FIRST, url DESC NULLS FIRST, title DESC NULLS FIRST LIMIT 50
+""")
+def q_api_news_articles(spark, sf):
+    return R.api_articles(clean_news(spark, sf), None, limit=50, cleaned=True)
+
+
 @register("recent_raw_articles", f"""
 WITH {Q.RAW_NEWS}
 SELECT provider, seen_date, title, url, source, language, source_country

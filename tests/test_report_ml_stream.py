@@ -120,3 +120,14 @@ def test_stream_window_counts_match_batch(spark):
         n, t = expect.get((ts.day, e), (0, 0.0))
         expect[(ts.day, e)] = (n + 1, t + v)
     assert got == expect
+
+
+def test_api_articles_limits_and_dates(spark):
+    rows = [("2024-01-02T10:00:00Z", "a"), ("garbage", "b"), (None, "c")]
+    raw = spark.createDataFrame(rows, "seen_date string, url string")
+    out = R.api_articles(None, raw, limit=2, cleaned=False).collect()
+    assert [(r["url"], r["seen_date"]) for r in out] == [("c", ""), ("b", "")]
+    full = {r["url"]: r["seen_date"] for r in R.api_articles(None, raw, limit=500, cleaned=False).collect()}
+    assert full["a"] == "2024-01-02"
+    with pytest.raises(ValueError):
+        R.api_articles(None, raw, limit=501, cleaned=False)
