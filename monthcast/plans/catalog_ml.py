@@ -12,6 +12,7 @@ from ..sinks.tables import VersionedTable
 from .. import schemas
 from ..sources import payloads as P
 from ..streaming.news_stream import file_stream, stream_payload_upsert, stream_upsert, stream_window_counts
+from . import oracle_sql as Q
 from . import standins as SI
 from .catalog import register
 from .catalog_sources import TEST_SIZE_MONTHS, ppi_model_table
@@ -104,3 +105,27 @@ def q_stream_payload_upsert(spark, sf):
                           checkpoint=scratch_path(spark, "payload-ckpt"), seq_cols=["seen_date", "title"],
                           query_name="gdelt_payload_upsert")
     return VersionedTable(spark, root).read().select("url", "title", "source", "seen_date", "social_image")
+
+
+@register("stream_monthly_counts", f"""
+WITH {Q.RAW_NEWS}
+SELECT CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) AS DATE) AS window_start,
+       CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) + INTERVAL 1 MONTH AS DATE) AS window_end,
+       language, COUNT(*) AS n, SUM(length(title)) AS total
+FROM raw_news GROUP BY ALL
+""")
+def q_stream_monthly_counts(spark, sf):
+    """Landed raw articles, streamed one file per micro-batch; article count
+    and total title length per calendar month and language, each batch
+    merging only the months it touched."""
+    from ..functions.dates import parse_timestamps
+    raw = SI.raw_news(spark, sf)
+    landing = scratch_path(spark, "monthly-landing")
+    raw.repartition(4, "doc_id").write.parquet(landing)
+    stream = file_stream(spark, landing, raw.schema).select(
+        parse_timestamps("seen_date").alias("published_at"), "language",
+        F.length("title").cast("long").alias("title_len"))
+    table = stream_window_counts(stream, "published_at", ["language"], "title_len",
+                                 scratch_path(spark, "monthly-counts"), checkpoint=scratch_path(spark, "monthly-ckpt"),
+                                 window="month", query_name="monthly_counts")
+    return table.read().select("window_start", "window_end", "language", "n", "total")

@@ -62,16 +62,27 @@ def stream_payload_upsert(spark: SparkSession, landing: str, schema: T.StructTyp
 def stream_window_counts(stream: DataFrame, ts_col: str, group_cols: Sequence[str], value_col: str,
                          table_root: str, checkpoint: str, window: str = "1 day",
                          watermark: str = "1 day", query_name: str = "window_counts") -> VersionedTable:
-    """Tumbling-window (count, sum) per group; state is bounded by the
-    watermark; results are merged into a versioned table keyed by
-    (window_start, groups...)."""
+    """Tumbling-window (count, sum) per group, merged into a versioned table
+    keyed by (window_start, groups...); each micro-batch rewrites only the
+    windows it touched (update mode).
+
+    ``window="month"`` groups by calendar month (``window()`` has no month
+    unit): the state is one row per (month, group), bounded by the calendar.
+    Fixed windows keep state only within the watermark.
+    """
     # event time must be TIMESTAMP (session zone UTC keeps NTZ wall clock)
     timed = stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    agg = (timed.withWatermark(ts_col, watermark)
-           .groupBy(F.window(ts_col, window).alias("w"), *group_cols)
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")))
-    flat = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      *group_cols, "n", "total")
+    if window == "month":
+        agg = (timed.groupBy(F.trunc(ts_col, "month").alias("m"), *group_cols)
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")))
+        flat = agg.select(F.col("m").alias("window_start"), F.add_months("m", 1).alias("window_end"),
+                          *group_cols, "n", "total")
+    else:
+        agg = (timed.withWatermark(ts_col, watermark)
+               .groupBy(F.window(ts_col, window).alias("w"), *group_cols)
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("total")))
+        flat = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          *group_cols, "n", "total")
     table = VersionedTable(stream.sparkSession, table_root)
     keys = ["window_start", *group_cols]
 
