@@ -32,12 +32,20 @@ def assign_month_windows(articles: DataFrame, windows: DataFrame, ts_col: str =
 
 
 def assign_windows_range(articles: DataFrame, windows: DataFrame, ts_col: str = "published_at") -> DataFrame:
-    """General (possibly overlapping) windows: range join against the
-    broadcast window table, whose size is checked first."""
-    w = broadcast_checked(windows, MAX_WINDOWS, "windows")
+    """General (possibly overlapping) windows ``start <= ts < end + 1 day``.
+
+    Bucketed range join: each window is exploded into the month buckets it
+    spans, articles join their own month bucket with an equi-join (no
+    nested-loop join), and the exact range predicate filters the candidates.
+    The bucketed window table is calendar-sized, checked and broadcast.
+    """
+    spans = F.sequence(F.trunc(F.col("window_start"), "month"), F.trunc(F.col("window_end"), "month"),
+                       F.expr("INTERVAL 1 MONTH"))
+    w = broadcast_checked(windows.select("*", F.explode(spans).alias("__b")), MAX_WINDOWS, "window buckets")
+    a = articles.drop("window_start", "window_end").withColumn("__b", F.trunc(F.col(ts_col), "month"))
     cond = (F.col(ts_col) >= F.col("window_start").cast("timestamp_ntz")) & (
         F.col(ts_col) < F.date_add(F.col("window_end"), 1).cast("timestamp_ntz"))
-    return articles.drop("window_start", "window_end").join(w, cond, "inner")
+    return a.join(w, "__b", "inner").where(cond).drop("__b")
 
 
 def per_window_cap(max_records: int, max_pages: int, page_cap: int = GUARDIAN_PAGE_SIZE_CAP) -> int:
