@@ -16,6 +16,7 @@ from . import oracle_sql as Q
 from . import standins as SI
 from .catalog import register
 from .catalog_sources import TEST_SIZE_MONTHS, ppi_model_table
+from .sizing import materialize
 
 FEATURES = ["ppi_value", "ppi_pct_change", "ppi_lag_1", "ppi_pct_change_lag_1", "ppi_ma_3", "ppi_std_3"]
 SCORE_COLS = ["month", "target_class", "predicted", "proba_low", "proba_medium", "proba_high"]
@@ -23,14 +24,14 @@ SCORE_COLS = ["month", "target_class", "predicted", "proba_low", "proba_medium",
 
 @register("logistic_regression_scores")
 def q_logistic_regression_scores(spark, sf):
-    _, _, scored = ML.train_candidates(ppi_model_table(spark, sf), FEATURES, TEST_SIZE_MONTHS,
+    _, _, scored = ML.train_candidates(materialize(ppi_model_table(spark, sf)), FEATURES, TEST_SIZE_MONTHS,
                                        candidates=["logistic_regression"])
     return scored.select(*SCORE_COLS)
 
 
 @register("gradient_boosting_scores")
 def q_gradient_boosting_scores(spark, sf):
-    _, _, scored = ML.train_candidates(ppi_model_table(spark, sf), FEATURES, TEST_SIZE_MONTHS,
+    _, _, scored = ML.train_candidates(materialize(ppi_model_table(spark, sf)), FEATURES, TEST_SIZE_MONTHS,
                                        candidates=["gradient_boosting"])
     return scored.select(*SCORE_COLS)
 
@@ -39,7 +40,7 @@ def q_gradient_boosting_scores(spark, sf):
 def q_latest_prediction(spark, sf):
     """Fit both candidates, keep the best by macro F1 (earliest wins ties),
     refit-free scoring of the latest labelled month."""
-    table = ppi_model_table(spark, sf)
+    table = materialize(ppi_model_table(spark, sf))
     results, models, _ = ML.train_candidates(table, FEATURES, TEST_SIZE_MONTHS)
     best = M.select_best(results, "macro_f1").first()["model"]
     split = M.chronological_split(table, TEST_SIZE_MONTHS)

@@ -21,6 +21,7 @@ from . import oracle_sql as Q
 from . import standins as SI
 from .catalog import clean_news, ppi_monthly, register
 from .feature_table import PPI_FEATURES
+from .sizing import materialize
 
 MIN_ROWS = TEST_SIZE_MONTHS + 6 + 1
 
@@ -55,10 +56,13 @@ train AS (SELECT * FROM evald WHERE NOT is_test)"""
 
 
 def evaluated(spark, sf):
-    """PPI model table + persistence forecast (last month's class) + split."""
+    """PPI model table + persistence forecast (last month's class) + split.
+
+    The month-level table is referenced by several branches (split top-k,
+    join-back, per-label unions), so it is materialised once."""
     pmt = ppi_model_table(spark, sf)
     pmt = pmt.withColumn("predicted", F.lag("target_class", 1).over(Window.orderBy("month")))
-    return M.chronological_split(pmt, TEST_SIZE_MONTHS)
+    return M.chronological_split(materialize(pmt), TEST_SIZE_MONTHS)
 
 
 def _test(spark, sf):
@@ -206,7 +210,7 @@ FROM sp, med
 """)
 def q_median_impute(spark, sf):
     from ..operators.ml import median_impute
-    full = M.chronological_split(ppi_model_table(spark, sf, dropna=False), TEST_SIZE_MONTHS)
+    full = M.chronological_split(materialize(ppi_model_table(spark, sf, dropna=False)), TEST_SIZE_MONTHS)
     imputed = median_impute(full, full.where(~F.col("is_test")), IMPUTE_COLS)
     orig = full.select("month", *[F.col(c).alias(f"o_{c}") for c in IMPUTE_COLS])
     j = imputed.join(orig, "month")

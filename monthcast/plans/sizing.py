@@ -37,3 +37,13 @@ def spread(df: DataFrame, min_tasks: int | None = None, keys=None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *(keys or df.columns))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small, many-times-referenced table once: an eager
+    ``checkpoint()`` into the shared checkpoint folder (never a local
+    checkpoint), which also cuts its lineage so a lost executor does not
+    recompute the upstream scans."""
+    from ..session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
