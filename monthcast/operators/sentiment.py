@@ -12,11 +12,13 @@ capitals, punctuation or emoticons):
 * per text the sum ``s`` is normalised to ``s / sqrt(s^2 + 15)``, clipped to
   [-1, 1] and rounded to 4 decimals; texts without hits score 0.0.
 
-Plan shape: the token array is turned into one (position, token, three
-predecessors) struct per token inside the row, exploded (narrow), joined
-with the broadcast lexicon (its size is checked), then summed per text.
-Partial aggregation collapses each text to one row before the shuffle, so
-the only shuffled data is (row id, sum) pairs; no long text is ever
+Plan shape: each text is split once and position-exploded (narrow,
+generated code); a hash-set test keeps only lexicon hits plus one anchor
+token per text, predecessors are read from the row's token array in the
+same generated stage, valences come from the broadcast lexicon (size
+proven first), and the adjusted scores are summed per text. Partial
+aggregation collapses each text to one row before the shuffle, so the only
+shuffled data is (row id, small carried columns, sum); no long text is
 shuffled and no per-row Python runs.
 """
 
