@@ -68,3 +68,27 @@ def test_orphan_snapshot_does_not_block_retry(spark):
     batch.write.parquet(f"{root}/v00000001-crashed")
     res = t.upsert(batch, ["url"], batch_id="b1", seq_col="seq")
     assert res["changed"] == 1 and t.read().count() == 1
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
+    import glob
+    import os
+    from monthcast.sinks.tables import PartitionedUpsertTable
+    path = scratch_path(spark, "part-upsert")
+    t = PartitionedUpsertTable(spark, path, ["url"], "month")
+    schema = "url string, title string, m string, seq int"
+    first = spark.createDataFrame([("a", "1", "2024-01", 1), ("b", "2", "2024-02", 1), ("c", "3", "2024-03", 1)],
+                                  schema)
+    r1 = t.upsert(first, "b1", F.col("m"), seq_col="seq")
+    assert r1["inserted"] == 3
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/month=*/*.parquet")}
+    # 'a' updated with a different month (stays in its first partition), 'd' new
+    second = spark.createDataFrame([("a", "1b", "2024-05", 2), ("d", "4", "2024-01", 2)], schema)
+    r2 = t.upsert(second, "b2", F.col("m"), seq_col="seq")
+    assert (r2["inserted"], r2["modified"], r2["partitions_rewritten"]) == (1, 1, 1)
+    rows = {r["url"]: (r["title"], r["month"]) for r in t.read().collect()}
+    assert rows == {"a": ("1b", "2024-01"), "b": ("2", "2024-02"), "c": ("3", "2024-03"), "d": ("4", "2024-01")}
+    after = {p: os.path.getmtime(p) for p in glob.glob(f"{path}/month=*/*.parquet")}
+    untouched = [p for p in before if "month=2024-01" not in p]
+    assert untouched and all(after.get(p) == before[p] for p in untouched)
+    assert t.upsert(second, "b2", F.col("m"), seq_col="seq")["skipped"]
