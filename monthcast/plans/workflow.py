@@ -3,8 +3,8 @@ as a table under ``out_root`` (a shared folder), and the next stage reads
 that table back. Writing cuts the lineage, so a lost executor only costs the
 current stage, and each stage can be re-run on its own.
 
-Stages: series -> indicators -> raw news upsert -> clean news (partitioned
-by month) -> model table -> candidate fits + metrics -> latest prediction ->
+Stages: series -> indicators -> raw news upsert (month-partitioned, only
+touched months rewritten) -> clean news (partitioned by month) -> model table -> candidate fits + metrics -> latest prediction ->
 report extracts, with a row-count summary at the end.
 """
 
@@ -21,7 +21,8 @@ from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import news as N
 from ..operators import report as R
-from ..sinks.tables import VersionedTable, export_csv, export_json, replace
+from ..functions.dates import parse_timestamps
+from ..sinks.tables import PartitionedUpsertTable, export_csv, export_json, replace
 from ..sources.series import assert_guard, table_guard
 from .feature_table import build_feature_table, feature_columns
 
@@ -52,10 +53,11 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
     if inputs.indicators is not None:
         indicators = _write_read(spark, inputs.indicators, f"{out}/fred_indicators")
 
-    raw_table = VersionedTable(spark, f"{out}/raw_news")
-    upsert = raw_table.upsert(inputs.raw_news_batch, RAW_NEWS_KEYS, batch_id=batch_id,
-                              seq_col=list(inputs.news_seq))
-    raw = raw_table.read()
+    # raw news: month-partitioned, each batch rewrites only the months it touches
+    raw_table = PartitionedUpsertTable(spark, f"{out}/raw_news", RAW_NEWS_KEYS, "load_month")
+    load_month = F.coalesce(F.date_format(parse_timestamps("seen_date"), "yyyy-MM"), F.lit("unknown"))
+    upsert = raw_table.upsert(inputs.raw_news_batch, batch_id, load_month, seq_col=list(inputs.news_seq))
+    raw = raw_table.read().drop("load_month")
 
     clean = _write_read(spark, N.clean_news(raw), f"{out}/clean_news", partition_by=["month"])
     rules = dict(inputs.sentiment_rules)
