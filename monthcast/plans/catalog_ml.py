@@ -112,7 +112,7 @@ def q_stream_payload_upsert(spark, sf):
 WITH {Q.RAW_NEWS}
 SELECT CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) AS DATE) AS window_start,
        CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) + INTERVAL 1 MONTH AS DATE) AS window_end,
-       language, COUNT(*) AS n, SUM(length(title)) AS total
+       language, COUNT(*) AS n, CAST(SUM(length(title)) AS BIGINT) AS total
 FROM raw_news GROUP BY ALL
 """)
 def q_stream_monthly_counts(spark, sf):
