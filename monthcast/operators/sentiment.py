@@ -60,13 +60,22 @@ def lexicon_frame(spark, entries: Sequence[tuple[str, float]] = DEFAULT_LEXICON)
     return spark.createDataFrame(list(entries), "token string, valence double")
 
 
+_WORDS_CACHE: dict[int, list[str] | None] = {}
+
+
 def lexicon_words(lexicon: DataFrame) -> list[str] | None:
     """The lexicon's words when it has at most ``WORDSET_MAX`` rows (used as
-    an ``InSet`` hash-set test inside the plan), else None. One small job."""
+    an ``InSet`` hash-set test inside the plan), else None. One small job;
+    lexicons built from in-memory rows (no input files, so immutable) are
+    remembered by the semantic hash of their plan, which covers the rows."""
+    key = lexicon.semanticHash() if not lexicon.inputFiles() else None
+    if key is not None and key in _WORDS_CACHE:
+        return _WORDS_CACHE[key]
     rows = lexicon.select("token").limit(WORDSET_MAX + 1).collect()
-    if len(rows) > WORDSET_MAX:
-        return None
-    return sorted({r[0] for r in rows if r[0] is not None})
+    words = None if len(rows) > WORDSET_MAX else sorted({r[0] for r in rows if r[0] is not None})
+    if key is not None:
+        _WORDS_CACHE[key] = words
+    return words
 
 
 def hit_contexts(df: DataFrame, text_col: str, id_col: str, words: list[str] | None,
