@@ -360,11 +360,20 @@ UNION ALL SELECT 'clean_news', COUNT(*) FROM clean
 UNION ALL SELECT 'model_table', COUNT(*) FROM model_table
 """)
 def q_stage_row_counts(spark, sf):
+    """Row counts of the stage outputs. The cleaned news is written once to
+    the shared checkpoint folder (as the stage runner writes it) and both its
+    count and the model table are built from that table."""
+    from .feature_table import build_feature_table
+    from .sizing import materialize
+    clean = materialize(clean_news(spark, sf))
+    model = build_feature_table(SI.price_series(spark, sf), clean, SI.lexicon(spark),
+                                indicators=SI.indicators(spark, sf), keywords=SI.STANDIN_KEYWORDS,
+                                id_col="doc_id", **SI.sentiment_rules())
     return R.stage_counts({
         "fred_series": SI.price_series(spark, sf),
         "raw_news": SI.raw_news(spark, sf),
-        "clean_news": clean_news(spark, sf),
-        "model_table": feature_table(spark, sf),
+        "clean_news": clean,
+        "model_table": model,
     })
 
 
