@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.tables import VersionedTable
+from ..sinks.tables import PartitionedUpsertTable, VersionedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -27,13 +27,25 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def stream_upsert(stream: DataFrame, table_root: str, keys: Sequence[str], seq_cols: Sequence[str],
-                  checkpoint: str, query_name: str = "upsert") -> list[dict]:
-    """Run to completion over what is available; returns per-batch counts."""
-    table = VersionedTable(stream.sparkSession, table_root)
+                  checkpoint: str, query_name: str = "upsert", partition_col: str | None = None,
+                  part_value=None) -> list[dict]:
+    """Run to completion over what is available; returns per-batch counts.
+
+    With ``partition_col``/``part_value`` the target is a
+    ``PartitionedUpsertTable`` (each micro-batch rewrites only the partitions
+    it touches); otherwise a ``VersionedTable`` snapshot per micro-batch."""
+    if partition_col:
+        ptable = PartitionedUpsertTable(stream.sparkSession, table_root, keys, partition_col)
+    else:
+        table = VersionedTable(stream.sparkSession, table_root)
     log: list[dict] = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        counts = table.upsert(batch, keys, batch_id=f"{query_name}-{batch_id}", seq_col=list(seq_cols))
+        bid = f"{query_name}-{batch_id}"
+        if partition_col:
+            counts = ptable.upsert(batch, bid, part_value, seq_col=list(seq_cols))
+        else:
+            counts = table.upsert(batch, keys, batch_id=bid, seq_col=list(seq_cols))
         counts["batch_id"] = batch_id
         log.append(counts)
 

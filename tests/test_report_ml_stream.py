@@ -131,3 +131,16 @@ def test_api_articles_limits_and_dates(spark):
     assert full["a"] == "2024-01-02"
     with pytest.raises(ValueError):
         R.api_articles(None, raw, limit=501, cleaned=False)
+
+
+def test_stream_into_partitioned_table(spark):
+    from monthcast.sinks.tables import PartitionedUpsertTable
+    rows = [(f"u{i % 6}", f"t{i}", i, f"2024-0{1 + i % 3}") for i in range(24)]
+    df = spark.createDataFrame(rows, "url string, title string, seq long, m string")
+    landing = scratch_path(spark, "pstream-landing")
+    df.repartitionByRange(3, "seq").write.parquet(landing)
+    root = scratch_path(spark, "pstream-table")
+    stream_upsert(file_stream(spark, landing, df.schema), root, ["url"], ["seq"],
+                  checkpoint=scratch_path(spark, "pstream-ckpt"), partition_col="month", part_value=F.col("m"))
+    got = PartitionedUpsertTable(spark, root, ["url"], "month").read()
+    assert got.count() == 6 and got.groupBy("url").count().where(F.col("count") > 1).count() == 0
