@@ -57,14 +57,19 @@ def q_latest_prediction(spark, sf):
 @register("stream_news_upsert")
 def q_stream_news_upsert(spark, sf):
     """Raw news landed as time-ordered files, loaded one file per micro-batch
-    with a keyed upsert; the result is the table's latest snapshot."""
+    with a keyed upsert into a month-partitioned table (each batch rewrites
+    only the months it touches)."""
+    from ..functions.dates import parse_timestamps
+    from ..sinks.tables import PartitionedUpsertTable
     raw = SI.raw_news(spark, sf)
     landing = scratch_path(spark, "news-landing")
     raw.repartitionByRange(4, "seen_date").write.parquet(landing)
     root = scratch_path(spark, "raw-news-table")
+    month = F.coalesce(F.date_format(parse_timestamps("seen_date"), "yyyy-MM"), F.lit("unknown"))
     stream_upsert(file_stream(spark, landing, raw.schema), root, ["url"], ["seen_date", "doc_id"],
-                  checkpoint=scratch_path(spark, "news-ckpt"), query_name="raw_news_upsert")
-    return VersionedTable(spark, root).read().select("url", "doc_id", "seen_date")
+                  checkpoint=scratch_path(spark, "news-ckpt"), query_name="raw_news_upsert",
+                  partition_col="load_month", part_value=month)
+    return PartitionedUpsertTable(spark, root, ["url"], "load_month").read().select("url", "doc_id", "seen_date")
 
 
 @register("stream_window_counts", """
