@@ -119,47 +119,69 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     return Model(sorted(sizes), known, grams)
 
 
-def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-            max_cached: int = 200_000) -> DataFrame:
+class Scorer:
+    """Predictions of a block of texts; scores of unseen words are kept for
+    the next blocks (``max_cached`` words at most)."""
+
+    def __init__(self, model: Model, max_cached: int = 200_000):
+        self.model, self.max_cached = model, max_cached
+        self.at = {w: i for i, w in enumerate(model.words)}
+        self.table = np.array(list(model.words.values())) if model.words else np.zeros((0, len(model.languages)))
+        self.seen: dict[str, int] = {}
+        self.store = np.zeros((1024, len(model.languages)))
+
+    def _unseen(self, words: list[str]) -> np.ndarray:
+        if len(self.seen) > self.max_cached:
+            self.seen.clear()
+        places = []
+        for w in words:
+            k = self.seen.get(w)
+            if k is None:
+                k = self.seen[w] = len(self.seen)
+                if k >= len(self.store):
+                    self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+                self.store[k] = self.model.score_unseen(w)
+            places.append(k)
+        return self.store[places].sum(axis=0)
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        words = _WORD.findall(text.lower()) if text else []
+        if not words or not self.model.languages:
+            return "und", 0.0
+        get = self.at.get
+        ids = np.array([get(w, -1) for w in words])
+        total = self.table[ids[ids >= 0]].sum(axis=0)
+        rest = np.flatnonzero(ids < 0).tolist()
+        if rest:
+            total = total + self._unseen([words[i] for i in rest])
+        best = int(np.argmax(total))
+        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+
+
+def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        at = {w: i for i, w in enumerate(m.words)}
-        table = np.array(list(m.words.values())) if m.words else np.zeros((0, len(m.languages)))
-        seen: dict[str, int] = {}
-        store = np.zeros((1024, len(m.languages)))
+        score = Scorer(sent.value)
         for b in batches(it):
-            langs, scores = [], []
-            for text in b.column(1).to_pylist():
-                words = _WORD.findall(text.lower()) if text else []
-                if not words or not m.languages:
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                ids = np.array([at.get(w, -1) for w in words])
-                known = ids[ids >= 0]
-                total = table[known].sum(axis=0) if len(known) else np.zeros(len(m.languages))
-                rest = [words[i] for i in np.flatnonzero(ids < 0).tolist()]
-                if rest:
-                    if len(seen) > max_cached:
-                        seen.clear()
-                    places = []
-                    for w in rest:
-                        k = seen.get(w)
-                        if k is None:
-                            k = seen[w] = len(seen)
-                            if k >= len(store):
-                                store = np.concatenate([store, np.zeros_like(store)])
-                            store[k] = m.score_unseen(w)
-                        places.append(k)
-                    total = total + store[places].sum(axis=0)
-                best = int(np.argmax(total))
-                langs.append(m.languages[best])
-                scores.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "lang_pred", "score"])
+            found = [score(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([x for x, _ in found], pa.string()),
+                                              pa.array([x for _, x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, SCHEMA)
+
+
+def in_known_language(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language with ``least_score`` at
+    least; all columns pass through as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = Scorer(sent.value)
+        for b in batches(it):
+            found = [score(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([x != "und" and p >= least_score for x, p in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -76,10 +76,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_warc, op3_token_output, op4_decontamination, op5_language_id, op6_fingerprint,
-        op7_substring_dedup, op8_secret_scan, op9_ngram_join, op10_mixing)}
+        op7_substring_dedup, op8_secret_scan, op9_ngram_join, op10_mixing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
