@@ -11,8 +11,14 @@ def _col(c: str | Column) -> Column:
 
 
 def coerce_double(c: str | Column) -> Column:
-    """Coercing numeric cast: unparseable becomes NULL, NaN becomes NULL."""
-    return nan_to_null(F.trim(_col(c).cast("string")).try_cast("double"))
+    """Coercing numeric cast: unparseable becomes NULL, NaN becomes NULL.
+
+    Only decimal notation and infinities count as numbers; the engine's cast
+    alone would also take Java's ``10d``, ``5F`` and ``0x1p3``.
+    """
+    text = F.trim(_col(c).cast("string"))
+    number = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+    return nan_to_null(F.when(text.rlike(number), text.try_cast("double")))
 
 
 def nan_to_null(c: str | Column) -> Column:
