@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from ..config import CLASS_LABELS, RANDOM_STATE
 from . import metrics as M
 
+# Columns that the saved pipeline adds for its own use.
+PREPARED = "__x_"
+
 
 def median_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row of exact medians (linear interpolation), one column per input."""
@@ -49,13 +52,43 @@ def standard_scale(df: DataFrame, train: DataFrame, cols: Sequence[str]) -> Data
     return df.withColumns(out)
 
 
-def _indexer(label: str) -> StringIndexer:
-    return StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc",
-                         handleInvalid="skip")
+def prepare_stage(train: DataFrame, features: Sequence[str], scale: bool) -> SQLTransformer:
+    """Median imputation, and scaling by mean and population deviation, as a
+    stage that is saved with the model: the training statistics are literals of
+    its statement. Columns that are all NULL in training are dropped."""
+    med = median_stats(train, features).first().asDict()
+    kept = [c for c in features if med[c] is not None]
+    if not kept:
+        raise ValueError("every feature is missing in all training rows")
+    filled = train.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in kept})
+    stats = scale_stats(filled, kept) if scale else {}
+
+    def number(x: float) -> str:
+        return f"cast('{float(x)!r}' as double)"
+
+    parts = []
+    for c in kept:
+        mean, deviation = stats.get(c, (0.0, 1.0))
+        value = f"coalesce(cast(`{c}` as double), {number(med[c])})"
+        if scale:
+            value = f"({value} - {number(mean)}) / {number(deviation or 1.0)}"
+        parts.append(f"{value} AS `{PREPARED}{c}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"), kept
+
+
+def _fit(train: DataFrame, features: Sequence[str], label: str, scale: bool, classifier) -> PipelineModel:
+    """Fit on the labelled rows. The pipeline itself needs no label, so it
+    scores unlabelled rows too; the class names are part of its last stage."""
+    labelled = train.where(F.col(label).isNotNull())
+    index = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc").fit(labelled)
+    prepare, kept = prepare_stage(labelled, features, scale)
+    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=list(index.labels))
+    assemble = VectorAssembler(inputCols=[f"{PREPARED}{c}" for c in kept], outputCol="features")
+    return Pipeline(stages=[prepare, assemble, classifier, names]).fit(index.transform(labelled))
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "target_class",
-                 max_iter: int = 2000) -> PipelineModel:
+                 max_iter: int = 2000, scale: bool = False) -> PipelineModel:
     """Multinomial L2 logistic regression, C = 1, balanced class weights.
 
     With weights summing to n, regParam = 1/n gives the optimum of
@@ -66,8 +99,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "target
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", weightCol="weight",
                             family="multinomial", regParam=1.0 / max(n, 1), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=1e-9)
-    pipe = Pipeline(stages=[_indexer(label), VectorAssembler(inputCols=list(features), outputCol="features"), lr])
-    return pipe.fit(data)
+    return _fit(data, features, label, scale, lr)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "target_class",
@@ -75,8 +107,7 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "target_clas
     """One-vs-rest gradient-boosted trees (100 trees, depth 3, rate 0.1)."""
     gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, stepSize=step, seed=RANDOM_STATE)
     ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label_idx", parallelism=len(CLASS_LABELS))
-    pipe = Pipeline(stages=[_indexer(label), VectorAssembler(inputCols=list(features), outputCol="features"), ovr])
-    return pipe.fit(train)
+    return _fit(train, features, label, False, ovr)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -89,12 +120,12 @@ def load_model(path: str) -> PipelineModel:
 
 
 def model_features(model: PipelineModel) -> list[str]:
-    """The feature list the model was trained on (VectorAssembler inputs)."""
-    return list(model.stages[1].getInputCols())
+    """The features the model was trained on (all-NULL columns left out)."""
+    return [c.removeprefix(PREPARED) for c in model.stages[1].getInputCols()]
 
 
 def class_names(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
+    return list(model.stages[-1].getLabels())
 
 
 def score(model: PipelineModel, df: DataFrame, labels: Sequence[str] = CLASS_LABELS) -> DataFrame:
@@ -109,10 +140,8 @@ def score(model: PipelineModel, df: DataFrame, labels: Sequence[str] = CLASS_LAB
         exps = F.transform(raw, lambda x: F.exp(x))
         probs = F.transform(exps, lambda x: x / F.aggregate(exps, F.lit(0.0), lambda a, b: a + b))
     pmap = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), probs)
-    pred = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("prediction").cast("int") + 1)
-    cols = {"predicted": pred}
-    cols.update({f"proba_{lab}": F.coalesce(pmap[lab], F.lit(0.0)) for lab in labels})
-    drop = [c for c in ("features", "label_idx", "rawPrediction", "probability", "prediction") if c in out.columns]
+    cols = {f"proba_{lab}": F.coalesce(pmap[lab], F.lit(0.0)) for lab in labels}
+    drop = [c for c in out.columns if c.startswith(PREPARED) or c in ("features", "rawPrediction", "probability", "prediction")]
     return out.withColumns(cols).drop(*drop)
 
 
@@ -130,19 +159,16 @@ def train_candidates(model_table: DataFrame, features: Sequence[str], test_size:
     split = M.chronological_split(model_table, test_size).cache()
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
-    train_imp = median_impute(train, train, features)
-    test_imp = median_impute(test, train, features)
     rows, models, scored_all = [], {}, None
     for pos, name in enumerate(candidates):
+        options = {"max_iter": max_iter} if max_iter else {}
         if name == "logistic_regression":
-            tr, te = standard_scale(train_imp, train_imp, features), standard_scale(test_imp, train_imp, features)
-            model = fit_logistic(tr, features, label, **({"max_iter": max_iter} if max_iter else {}))
+            model = fit_logistic(train, features, label, scale=True, **options)
         elif name == "gradient_boosting":
-            tr, te = train_imp, test_imp
-            model = fit_gbt(tr, features, label, **({"max_iter": max_iter} if max_iter else {}))
+            model = fit_gbt(train, features, label, **options)
         else:
-            raise ValueError(f"Unsupported model candidate: {name}")
-        scored = score(model, te).withColumn("model", F.lit(name))
+            raise ValueError(f"no such candidate: {name!r}")
+        scored = score(model, test).withColumn("model", F.lit(name))
         m = evaluate(scored, label)
         rows.append((name, pos, m["accuracy"], m["macro_f1"]))
         models[name] = model

@@ -43,13 +43,10 @@ def q_latest_prediction(spark, sf):
     table = materialize(ppi_model_table(spark, sf))
     results, models, _ = ML.train_candidates(table, FEATURES, TEST_SIZE_MONTHS)
     best = M.select_best(results, "macro_f1").first()["model"]
-    split = M.chronological_split(table, TEST_SIZE_MONTHS)
-    train = split.where(~F.col("is_test"))
+    path = scratch_path(spark, "latest-model")
+    ML.save_model(models[best], path)
     latest = table.orderBy(F.col("month").desc()).limit(1)
-    prepared = ML.median_impute(latest, train, FEATURES)
-    if best == "logistic_regression":
-        prepared = ML.standard_scale(prepared, ML.median_impute(train, train, FEATURES), FEATURES)
-    scored = ML.score(models[best], prepared)
+    scored = ML.score(ML.load_model(path), latest)
     return scored.select("month", F.col("predicted").alias("predicted_next_month_pressure"),
                          "proba_low", "proba_medium", "proba_high")
 

@@ -69,8 +69,7 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
     export_csv(model_table.orderBy("month"), f"{out}/exports/model_table_csv")
     n_rows = model_table.count()
     if n_rows <= test_size + 6:
-        raise ValueError(f"Dataset is too small for training/test split. Rows={n_rows}, "
-                         f"requested test_size_months={test_size}")
+        raise ValueError(f"{n_rows} model rows are not enough to hold out {test_size} months")
 
     feats = feature_columns(model_table)
     results, models, scored = ML.train_candidates(model_table, feats, test_size, candidates=list(candidates))
@@ -88,12 +87,8 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
                 .withColumn("model", F.lit(best)), f"{out}/metrics/confusion_matrix")
     models[best].write().overwrite().save(f"{out}/models/{best}")
 
-    split = M.chronological_split(model_table, test_size)
-    train = ML.median_impute(split.where(~F.col("is_test")), split.where(~F.col("is_test")), feats)
-    latest = ML.median_impute(R.latest_row(model_table), split.where(~F.col("is_test")), feats)
-    if best == "logistic_regression":
-        latest = ML.standard_scale(latest, train, feats)
-    prediction = ML.score(models[best], latest).select(
+    latest = R.latest_row(model_table)
+    prediction = ML.score(ML.load_model(f"{out}/models/{best}"), latest).select(
         "month", F.col("predicted").alias("predicted_next_month_pressure"), "proba_low", "proba_medium", "proba_high")
     export_csv(prediction, f"{out}/predictions/latest_prediction")
 
