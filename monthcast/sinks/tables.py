@@ -14,7 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..operators import upsert as U
 
@@ -38,6 +39,18 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``, or None where there is no such path. Any other
+    failure is raised: an unreadable table is not an empty one."""
+    try:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -45,10 +58,7 @@ class VersionedTable:
         self.manifest_path = f"{self.root}/_manifest"
 
     def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.manifest_path)
-        except AnalysisException:
-            return None
+        return read_if_there(self.spark, self.manifest_path)
 
     def head(self):
         m = self._manifest()
@@ -115,9 +125,11 @@ class PartitionedUpsertTable:
        with ``partitionOverwriteMode=dynamic`` (only touched partitions are
        replaced); the batch id is recorded last.
 
-    A crash during the swap leaves some partitions new and some old; re-running
-    the same batch id (not yet recorded) converges to the same data because the
-    merge is last-wins. Single writer per table.
+    The partition column is read back by its declared type, never inferred
+    ("01" stays "01"). The swap is replayable: the staging folder is recorded
+    as pending before it, and an interrupted swap is finished from there before
+    anything else is read. After each write the keys of the rewritten
+    partitions are checked to be unique. Single writer per table.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part_col: str):
@@ -127,53 +139,83 @@ class PartitionedUpsertTable:
         self.part_col = part_col
         self.applied_path = f"{self.path}_applied_batches"
 
+    def _table(self, path: str) -> DataFrame | None:
+        """Partition values by the type they were written with (kept with the
+        batch log), for Spark would infer another from the folder names."""
+        kind = self._log()
+        kind = None if kind is None else kind.select("part_type").first()
+        found = read_if_there(self.spark, path)
+        if found is None or kind is None:
+            return found
+        fields = [f if f.name != self.part_col else T.StructField(self.part_col, T.DataType.fromDDL(kind[0])) for f in found.schema]
+        return read_if_there(self.spark, path, T.StructType(fields))
+
+    def _log(self) -> DataFrame | None:
+        return read_if_there(self.spark, self.applied_path, "batch_id string, state string, staging string, part_type string")
+
     def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
+        return self._table(self.path)
 
     def applied(self, batch_id: str) -> bool:
-        try:
-            done = self.spark.read.parquet(self.applied_path)
-        except AnalysisException:
-            return False
-        return done.where(F.col("batch_id") == batch_id).limit(1).count() > 0
-
-    def _record(self, batch_id: str) -> None:
-        self.spark.createDataFrame([(str(batch_id),)], "batch_id string").coalesce(1) \
-            .write.mode("append").parquet(self.applied_path)
+        log = self._log()
+        return log is not None and log.where((F.col("batch_id") == batch_id) & (F.col("state") == "done")).limit(1).count() > 0
+
+    def _record(self, batch_id: str, state: str, staging: str, part_type: str) -> None:
+        row = [(str(batch_id), state, staging, part_type)]
+        (self.spark.createDataFrame(row, "batch_id string, state string, staging string, part_type string").coalesce(1)
+         .write.mode("append").parquet(self.applied_path))
+
+    def _swap(self, batch_id: str, staging: str, part_type: str) -> None:
+        """Replace the staged partitions. Doing it again gives the same table."""
+        staged = self._table(staging)
+        if "__change" in staged.columns:
+            staged = staged.drop("__change")
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.path))
+        touched = staged.select(self.part_col).distinct()
+        twice = self.read().join(touched, self.part_col, "left_semi").groupBy(*self.keys).count().where("count > 1").limit(1).count()
+        if twice:
+            raise RuntimeError(f"{self.path}: keys are not unique after batch {batch_id}")
+        self._record(batch_id, "done", staging, part_type)
+
+    def finish_pending(self) -> None:
+        """Finish a swap that was recorded but not completed."""
+        log = self._log()
+        if log is None:
+            return
+        done = log.where("state = 'done'").select("batch_id", "staging")
+        for r in log.where("state = 'pending'").join(done, ["batch_id", "staging"], "left_anti").collect():
+            self._swap(r.batch_id, r.staging, r.part_type)
 
     def upsert(self, batch: DataFrame, batch_id: str, part_value, seq_col=None) -> dict:
         """``part_value``: Column giving a *new* key's partition from the batch row."""
-        from ..plans.sizing import broadcast_checked
         from ..session import scratch_path
+        self.finish_pending()
         if self.applied(batch_id):
             return {"skipped": True, "changed": 0}
         incoming = U.dedup_keep_last(batch, self.keys, seq_col) if seq_col else batch
         incoming = incoming.drop(self.part_col) if self.part_col in incoming.columns else incoming
         current = self.read()
-        if current is None:
-            first = incoming.withColumn(self.part_col, part_value)
-            first.write.mode("errorifexists").partitionBy(self.part_col).parquet(self.path)
-            n = self.spark.read.parquet(self.path).count()
-            self._record(batch_id)
-            return {"inserted": n, "modified": 0, "unchanged": 0, "untouched": 0, "changed": n,
-                    "skipped": False, "partitions_rewritten": None}
-        existing = (current.select(*self.keys, F.col(self.part_col).alias("__p_existing"))
-                    .join(incoming.select(*self.keys), self.keys, "left_semi"))
-        placed = (incoming.join(existing, self.keys, "left")
-                  .withColumn(self.part_col, F.coalesce(F.col("__p_existing"), part_value)).drop("__p_existing"))
-        touched = broadcast_checked(placed.select(self.part_col).distinct(), 1_000_000, "touched partitions")
-        target = current.join(touched, self.part_col, "left_semi")
-        merged = U.merge_with_changes(target, placed, self.keys)
         staging = scratch_path(self.spark, "upsert-staging")
-        merged.write.partitionBy(self.part_col).parquet(staging)
-        staged = self.spark.read.parquet(staging)
+        if current is None:
+            first = incoming.withColumn(self.part_col, part_value).withColumn("__change", F.lit(U.INSERTED))
+            kind = dict(first.dtypes)[self.part_col]
+            first.write.partitionBy(self.part_col).parquet(staging)
+        else:
+            kind = dict(current.dtypes)[self.part_col]
+            existing = (current.select(*self.keys, F.col(self.part_col).alias("__p_existing"))
+                        .join(incoming.select(*self.keys), self.keys, "left_semi"))
+            placed = (incoming.join(existing, self.keys, "left")
+                      .withColumn(self.part_col, F.coalesce(F.col("__p_existing"), part_value).cast(kind)).drop("__p_existing"))
+            # written once: the touched partitions and the merge both read it
+            path = scratch_path(self.spark, "upsert-placed")
+            placed.write.parquet(path)
+            placed = self.spark.read.parquet(path)
+            target = current.join(placed.select(self.part_col).distinct(), self.part_col, "left_semi")
+            U.merge_with_changes(target, placed, self.keys).write.partitionBy(self.part_col).parquet(staging)
+        self._record(batch_id, "pending", staging, kind)
+        staged = self._table(staging)
         counts = U.change_counts(staged.select("__change")).first().asDict()
-        counts["partitions_rewritten"] = staged.select(self.part_col).distinct().count()
-        (staged.drop("__change").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(self.part_col).parquet(self.path))
-        self._record(batch_id)
+        counts["partitions_rewritten"] = None if current is None else staged.select(self.part_col).distinct().count()
+        self._swap(batch_id, staging, kind)
         counts["skipped"] = False
         return counts
