@@ -14,21 +14,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS
-from ..plans.sizing import broadcast_checked
 
 
 def chronological_split(df: DataFrame, test_size: int, order_col: str = "month",
                         tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add ``is_test``: the last ``test_size`` rows by ``order_col`` are test.
 
-    The test rows are found with a distributed top-k (no global window);
-    the k keys are broadcast back (k is the configured test size).
+    Exactly ``min(test_size, rows)`` rows, also where order values repeat:
+    ties are broken by ``tiebreak``, then by a hash of the whole row, and of
+    equal rows only as many as needed are taken. The test rows are found with
+    a distributed top-k; its at most ``test_size`` keys are broadcast back.
     """
-    keys = [order_col, *tiebreak]
-    last = (df.select(*keys).orderBy(*[F.col(k).desc() for k in keys]).limit(test_size)
-              .withColumn("is_test", F.lit(True)))
-    return (df.join(broadcast_checked(last, max(test_size, 1), "test keys"), keys, "left")
-              .withColumn("is_test", F.coalesce(F.col("is_test"), F.lit(False))))
+    keys = [order_col, *tiebreak, "__row"]
+    hashed = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
+    rows = df.withColumn("__row", F.xxhash64(*hashed))
+    last = (rows.select(*keys).orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(test_size)
+            .groupBy(*keys).agg(F.count("*").alias("__n")))
+    last = last.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+    return (rows.join(F.broadcast(last), same, "left").withColumn("__copy", copy)
+            .withColumn("is_test", F.coalesce(F.col("__copy") <= F.col("__n"), F.lit(False)))
+            .select(*df.columns, "is_test"))
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:

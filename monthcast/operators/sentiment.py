@@ -12,14 +12,14 @@ capitals, punctuation or emoticons):
 * per text the sum ``s`` is normalised to ``s / sqrt(s^2 + 15)``, clipped to
   [-1, 1] and rounded to 4 decimals; texts without hits score 0.0.
 
-Plan shape: each text is split once and position-exploded (narrow,
-generated code); a hash-set test keeps only lexicon hits plus one anchor
-token per text, predecessors are read from the row's token array in the
-same generated stage, valences come from the broadcast lexicon (size
-proven first), and the adjusted scores are summed per text. Partial
-aggregation collapses each text to one row before the shuffle, so the only
-shuffled data is (row id, small carried columns, sum); no long text is
-shuffled and no per-row Python runs.
+Plan shape: each text is split once, the contrast word's place is found once
+per text, and the tokens are position-exploded (narrow). Tokens join the
+lexicon; only hits plus one anchor token per text go on, whose three
+predecessors join its word list. All four joins are equi-joins whose strategy
+Spark chooses by the lexicon's size (broadcast as a rule; a large lexicon
+joins by shuffle, hot tokens split). Partial aggregation collapses each text to
+one row before the shuffle, so no long text is shuffled and no per-row Python
+runs.
 """
 
 from __future__ import annotations
@@ -38,7 +38,6 @@ from ..config import (
     DEFAULT_CONTRAST_WORD,
     NEGATION_SCALAR,
 )
-from ..plans.sizing import broadcast_checked
 
 # Default word lists: a small market-news lexicon (user-replaceable).
 DEFAULT_LEXICON = [
@@ -52,50 +51,21 @@ DEFAULT_BOOSTERS_DOWN = ["slightly", "somewhat", "barely", "less", "least", "mar
 DEFAULT_NEGATORS = ["not", "no", "never", "none", "nothing", "neither", "nor", "without",
                     "cannot", "isn", "aren", "wasn", "don", "doesn", "didn", "won"]
 
-LEXICON_MAX_ROWS = 1_000_000
-WORDSET_MAX = 200_000  # membership as an in-plan hash set up to this size
-
-
 def lexicon_frame(spark, entries: Sequence[tuple[str, float]] = DEFAULT_LEXICON) -> DataFrame:
     return spark.createDataFrame(list(entries), "token string, valence double")
 
 
-_WORDS_CACHE: dict[int, list[str] | None] = {}
-
-
-def lexicon_words(lexicon: DataFrame) -> list[str] | None:
-    """The lexicon's words when it has at most ``WORDSET_MAX`` rows (used as
-    an ``InSet`` hash-set test inside the plan), else None. One small job;
-    lexicons built from in-memory rows (no input files, so immutable) are
-    remembered by the semantic hash of their plan, which covers the rows."""
-    key = lexicon.semanticHash() if not lexicon.inputFiles() else None
-    if key is not None and key in _WORDS_CACHE:
-        return _WORDS_CACHE[key]
-    rows = lexicon.select("token").limit(WORDSET_MAX + 1).collect()
-    words = None if len(rows) > WORDSET_MAX else sorted({r[0] for r in rows if r[0] is not None})
-    if key is not None:
-        _WORDS_CACHE[key] = words
-    return words
+def tokens(df: DataFrame, text_col: str, id_col: str, contrast_word: str = DEFAULT_CONTRAST_WORD,
+           carry: Sequence[str] = ()) -> DataFrame:
+    """One row per token: (id, carry..., contrast_pos, pos, tok, p1, p2, p3).
 
-
-def hit_contexts(df: DataFrame, text_col: str, id_col: str, words: list[str] | None,
-                 contrast_word: str = DEFAULT_CONTRAST_WORD, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per lexicon hit: (id, carry..., contrast_pos, pos, tok, p1, p2, p3),
-    plus the position-0 token of every text as an anchor (so texts without
-    hits keep a row). ``words=None`` keeps every token.
-
-    The token array is built once per row and exploded; the hash-set filter
-    and the predecessor lookups run in the same generated code right after
-    the explode, so the array is never copied per token.
-    ``pos``/``contrast_pos`` are 0-based (-1: no contrast word).
+    ``pos``/``contrast_pos`` are 0-based (-1: no contrast word). The contrast
+    word is searched in a projection below the explode, once per text.
     """
     staged = df.select(F.col(id_col), *carry, F.split(F.col(text_col), " ").alias("__tok"))
     toks = F.col("__tok")
-    exploded = staged.select(F.col(id_col), *carry, "__tok",
-                             (F.array_position(toks, contrast_word) - 1).cast("int").alias("contrast_pos"),
-                             F.posexplode_outer(toks).alias("pos", "tok"))
-    if words is not None:
-        exploded = exploded.where(F.col("tok").isin(words) | (F.col("pos") == 0))
+    staged = staged.withColumn("contrast_pos", (F.array_position(toks, contrast_word) - 1).cast("int"))
+    exploded = staged.select(F.col(id_col), *carry, "__tok", "contrast_pos", F.posexplode_outer(toks).alias("pos", "tok"))
     pos = F.col("pos")
     return exploded.select(id_col, *carry, "contrast_pos", "pos", "tok",
                            *[F.when(pos >= k, F.get(toks, pos - k)).alias(f"p{k}") for k in (1, 2, 3)])
@@ -124,23 +94,14 @@ def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],
 def _scored_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame, carry: Sequence[str],
                  boosters_up, boosters_down, negators, contrast_word) -> DataFrame:
     """(id, carry..., pos, score); texts without hits give one NULL-score row."""
-    words = lexicon_words(lexicon)
-    lex = lexicon.select("token", "valence")
-    # a word list exists only when the lexicon has <= WORDSET_MAX rows: that
-    # already proves the size bound, so broadcast without a second count
-    lex = F.broadcast(lex) if words is not None else broadcast_checked(lex, LEXICON_MAX_ROWS, "lexicon")
-    if words is not None:
-        t = hit_contexts(df, text_col, id_col, words, contrast_word, carry)
-        t = t.withColumns({f"p{k}_in_lex": F.col(f"p{k}").isin(words) for k in (1, 2, 3)})
-        # the anchor token is not a hit unless it is a lexicon word
-        t = t.withColumn("tok", F.when(F.col("tok").isin(words), F.col("tok")))
-    else:  # very large lexicon: every token goes on, membership by joins
-        t = hit_contexts(df, text_col, id_col, None, contrast_word, carry)
-        vocab = lexicon.select(F.col("token").alias("__w")).distinct()
-        for k in (1, 2, 3):
-            flag = vocab.select(F.col("__w").alias(f"p{k}_w"), F.lit(True).alias(f"p{k}_in_lex"))
-            t = t.join(flag, F.col(f"p{k}") == F.col(f"p{k}_w"), "left").drop(f"p{k}_w")
-    t = t.join(lex, F.col("tok") == F.col("token"), "left")
+    lex = lexicon.select(F.col("token").alias("__lex"), "valence")
+    t = tokens(df, text_col, id_col, contrast_word, carry)
+    # hits, and the first token of every text as an anchor (its valence may be null)
+    t = t.join(lex, F.col("tok") == F.col("__lex"), "left").where(F.col("valence").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
+    vocab = lexicon.select("token").distinct()
+    for k in (1, 2, 3):
+        known = vocab.select(F.col("token").alias(f"p{k}_w"), F.lit(True).alias(f"p{k}_in_lex"))
+        t = t.join(known, F.col(f"p{k}") == F.col(f"p{k}_w"), "left").drop(f"p{k}_w")
     t = t.withColumns({f"p{k}_in_lex": F.coalesce(F.col(f"p{k}_in_lex"), F.lit(False)) for k in (1, 2, 3)})
     return t.select(id_col, *carry, "pos", _adjusted_valence(boosters_up, boosters_down, negators).alias("score"))
 

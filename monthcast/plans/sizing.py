@@ -1,42 +1,8 @@
-"""Size-checked broadcast.
-
-A side is broadcast only when a count proves it is small; otherwise it is
-returned unchanged and the planner picks a shuffle join (AQE may still
-switch to a broadcast at run time from real shuffle statistics).
-"""
+"""Tables that several branches of one query read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-def broadcast_checked(df: DataFrame, max_rows: int, what: str = "table") -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
-
-    Use for dimension-like inputs (lexicons, word lists, calendars) whose
-    plans are cheap to count; never for the result of a large aggregation.
-    """
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if ok else df
-
-
-def spread(df: DataFrame, min_tasks: int | None = None, keys=None) -> DataFrame:
-    """Spread ``df`` over at least ``min_tasks`` partitions (default: the
-    cluster's parallelism) when its scan yields fewer tasks.
-
-    For CPU-heavy narrow work (regex, tokenising) on inputs stored as a few
-    large row groups. At scale the scan already yields many more tasks than
-    cores and this is a no-op; no shuffle is added then.
-
-    Hash partitioning on ``keys`` (default: all columns) keeps the result
-    deterministic under task retries without the per-partition sort that a
-    round-robin repartition needs for that.
-    """
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *(keys or df.columns))
 
 
 def materialize(df: DataFrame) -> DataFrame:

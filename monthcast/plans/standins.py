@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import series as S
-from .sizing import spread
 
 # Fixed stand-in values (shared with the SQL oracle).
 STANDIN_KEYWORDS = ["the", "her", "ram", "est"]
@@ -34,14 +33,10 @@ QUARTER_MONTHS = [1, 4, 7, 10]
 NEWS_URL_PREFIX = "https://news.example/c/"
 
 
-TEXT_TABLES = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; long-text tables are spread over the cluster's cores
-    when their scan yields fewer tasks (regex work is CPU-bound)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, keys=TEXT_TABLES[name]) if name in TEXT_TABLES else df
+    """A driver table. How finely its scan is split is up to
+    ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sentiment_rules() -> dict:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -67,14 +68,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting wins. Only
-    when it is unset (local tests) a private folder under /tmp is created and
-    registered, so ``DataFrame.checkpoint()`` works the same way everywhere.
+    a local session may do without it (tests): it gets a private folder under
+    /tmp. On a cluster such a folder would be lost with its machine, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="monthcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import GUARDIAN_PAGE_SIZE_CAP, NEWSAPI_PAGE_SIZE_CAP
-from ..plans.sizing import broadcast_checked
-
-MAX_WINDOWS = 100_000  # months; ~8 000 years
 
 
 def month_windows(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
@@ -23,12 +20,11 @@ def month_windows(bounds: DataFrame, start_col: str = "start", end_col: str = "e
 def assign_month_windows(articles: DataFrame, windows: DataFrame, ts_col: str = "published_at") -> DataFrame:
     """Article -> its month window. Monthly windows do not overlap, so the
     range condition ``start <= ts < end + 1 day`` equals an equi-join on
-    ``trunc(ts, 'month')``. The window table is calendar-sized (checked) and
-    broadcast, so a month holding a third of all articles is not shuffled
-    into one task."""
+    ``trunc(ts, 'month')``. The window table is calendar-sized: Spark
+    broadcasts it from its statistics, or splits a month that holds a third of
+    all articles (skew join)."""
     a = articles.drop("window_start", "window_end").withColumn("__m", F.trunc(F.col(ts_col), "month"))
-    w = broadcast_checked(windows, MAX_WINDOWS, "windows")
-    return a.join(w, a["__m"] == w["window_start"], "inner").drop("__m")
+    return a.join(windows, a["__m"] == windows["window_start"], "inner").drop("__m")
 
 
 def assign_windows_range(articles: DataFrame, windows: DataFrame, ts_col: str = "published_at") -> DataFrame:
@@ -37,11 +33,11 @@ def assign_windows_range(articles: DataFrame, windows: DataFrame, ts_col: str =
     Bucketed range join: each window is exploded into the month buckets it
     spans, articles join their own month bucket with an equi-join (no
     nested-loop join), and the exact range predicate filters the candidates.
-    The bucketed window table is calendar-sized, checked and broadcast.
+    The join strategy is left to Spark, which knows the windows' size.
     """
     spans = F.sequence(F.trunc(F.col("window_start"), "month"), F.trunc(F.col("window_end"), "month"),
                        F.expr("INTERVAL 1 MONTH"))
-    w = broadcast_checked(windows.select("*", F.explode(spans).alias("__b")), MAX_WINDOWS, "window buckets")
+    w = windows.select("*", F.explode(spans).alias("__b"))
     a = articles.drop("window_start", "window_end").withColumn("__b", F.trunc(F.col(ts_col), "month"))
     cond = (F.col(ts_col) >= F.col("window_start").cast("timestamp_ntz")) & (
         F.col(ts_col) < F.date_add(F.col("window_end"), 1).cast("timestamp_ntz"))

@@ -10,24 +10,24 @@ HEAVY = {"logistic_regression_scores", "gradient_boosting_scores", "latest_predi
 
 
 def _names():
-    import __spark_entry__ as E
+    from monthcast.plans import catalog as E
     return sorted(k for k in E.queries() if k not in HEAVY)
 
 
 @pytest.mark.parametrize("name", _names())
 def test_no_nested_loop_or_cartesian(spark, name):
-    import __spark_entry__ as E
+    from monthcast.plans import catalog as E
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
 def test_per_window_cap_is_limited_before_shuffle(spark):
-    import __spark_entry__ as E
+    from monthcast.plans import catalog as E
     plan = E.queries()["topk_per_window"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_recent_articles_is_top_k(spark):
-    import __spark_entry__ as E
+    from monthcast.plans import catalog as E
     plan = E.queries()["recent_articles"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

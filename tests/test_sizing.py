@@ -1,27 +1,22 @@
-from pyspark.sql import functions as F
+import pytest
 
-from monthcast.plans.sizing import broadcast_checked, spread
+from monthcast import session
 
 
-def _has_broadcast(df):
-    return "BroadcastExchange" in df._jdf.queryExecution().executedPlan().toString()
+class _Context:
+    master = "spark://host:7077"
 
+    def getConf(self):
+        return {}
 
-def test_broadcast_only_when_small(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert _has_broadcast(big.join(broadcast_checked(small, 100), "k"))
-        assert not _has_broadcast(big.join(broadcast_checked(small, 5), "k"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    def getCheckpointDir(self):
+        return None
 
 
-def test_spread_only_when_few_tasks(spark):
-    one = spark.range(0, 100, 1, 1).withColumn("t", F.lit("x"))
-    spread_one = spread(one, min_tasks=4, keys=["id"])
-    assert spread_one.rdd.getNumPartitions() == 4
-    assert sorted(r["id"] for r in spread_one.collect()) == list(range(100))
-    many = spark.range(0, 100, 1, 8)
-    assert spread(many, min_tasks=4) is many
+class _Session:
+    sparkContext = _Context()
+
+
+def test_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(_Session())
