@@ -25,12 +25,16 @@ not indexed. An empty table gives no files and an empty manifest.
 from __future__ import annotations
 
 import io
+import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +43,12 @@ from .files import committed, open_root
 
 END_ID = 2
 LEVELS, GAMMA = 40, 2.0
-# Fixed value: how the byte-level vocabulary cuts a text before merging (the public pattern of that vocabulary).
-PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+# Fixed value: how the byte-level vocabulary cuts a text before merging (the public pattern, with letters and digits as
+# this language's ``re`` has them), and the characters on which both are known to agree.
+PIECES = re.compile(r" ?[^\W\d_]+| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+SEPARATORS = "\x1c\x1d\x1e\x1f"     # white space to ``re`` but not to the vocabulary
+AGREED = "\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2010-\u2027\u3041-\u3096\u30a1-\u30ff\u4e00-\u9fa5\uac00-\ud7a3"
+_OTHER = re.compile(f"[^{AGREED}]")
 
 
 # ------------------------------------------------------------------ encoding
@@ -50,28 +58,40 @@ class Encoder:
 
     Merges never cross a piece, so the library encodes each distinct piece
     once and a text's ids are those of its pieces in turn. Texts that hold an
-    added token go to the library whole. ``max_cached`` bounds the memory.
+    added token, or a character beyond AGREED, go to the library whole.
+    ``max_cached`` bounds the memory.
     """
 
-    def __init__(self, path: str, max_cached: int = 600_000):
-        import os
+    def __init__(self, path: str, max_cached: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        small = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
         self.max_cached = max_cached
 
     def _packed(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = [array(self.code, e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for x in found:
+                x.byteswap()
+        return [x.tobytes() for x in found]
+
+    def _pieces(self, text: str) -> list[str] | None:
+        if any(a in text for a in self.added) or any(c in text for c in SEPARATORS):
+            return None
+        if not text.isascii() and _OTHER.search(text):
+            return None
+        return PIECES.findall(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        cut = [None if any(a in t for a in self.added) else PIECES.findall(t) for t in texts]
+        cut = [self._pieces(t) for t in texts]
         if len(self.cache) > self.max_cached:
             self.cache.clear()
-        new = list({p for ps in cut if ps for p in ps if p not in self.cache})
+        new = [p for p in set(chain.from_iterable(ps for ps in cut if ps)) if p not in self.cache]
         self.cache.update(zip(new, self._packed(new), strict=True))
         get = self.cache.__getitem__
         return [self._packed([t])[0] if ps is None else b"".join(map(get, ps)) for t, ps in zip(texts, cut, strict=True)]
