@@ -91,7 +91,7 @@ def _sets(docs: DataFrame, frequent, whole: bool) -> DataFrame:
                     kept.append(s)
                     continue
                 p = prefix_size(len(s))
-                late = np.isin(s, hot) if len(hot) else np.zeros(len(s), bool)
+                late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
                 rare = s[~late][:p]
                 kept.append(np.concatenate([rare, s[late][: p - len(rare)]]))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
