@@ -31,7 +31,6 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +42,9 @@ from .files import committed, open_root
 
 END_ID = 2
 LEVELS, GAMMA = 40, 2.0
-# Fixed value: how the byte-level vocabulary cuts a text before merging (the public pattern, with letters and digits as
-# this language's ``re`` has them), and the characters on which both are known to agree.
-PIECES = re.compile(r" ?[^\W\d_]+| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-SEPARATORS = "\x1c\x1d\x1e\x1f"     # white space to ``re`` but not to the vocabulary
-AGREED = "\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2010-\u2027\u3041-\u3096\u30a1-\u30ff\u4e00-\u9fa5\uac00-\ud7a3"
-_OTHER = re.compile(f"[^{AGREED}]")
+# A space between two characters that aren't white space: the byte-level vocabulary always begins a new piece there.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_RUN = re.compile(r"\s\s")
 
 
 # ------------------------------------------------------------------ encoding
@@ -56,45 +52,67 @@ _OTHER = re.compile(f"[^{AGREED}]")
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Merges never cross a piece, so the library encodes each distinct piece
-    once and a text's ids are those of its pieces in turn. Texts that hold an
-    added token, or a character beyond AGREED, go to the library whole.
-    ``max_cached`` bounds the memory.
+    Merges never cross a single space between two words, so the library
+    encodes each distinct word (with the space before it) once, many words at
+    a time, and a text's ids are those of its words in turn. Texts that hold
+    an added token go to the library whole. ``max_cached`` characters of words
+    bound the memory between blocks of texts.
     """
 
-    def __init__(self, path: str, max_cached: int = 1_000_000):
+    def __init__(self, path: str, max_cached: int = 10 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
+        n = self.tokenizer.get_vocab_size()
+        self.dtype, self.code = np.dtype("<u2" if n <= 1 << 16 else "<u4"), "H" if n <= 1 << 16 else "I"
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(n)])
         self.cache: dict[str, bytes] = {}
-        self.max_cached = max_cached
+        self.max_cached, self.cached = max_cached, 0
 
     def _packed(self, texts: list[str]) -> list[bytes]:
-        found = [array(self.code, e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = [array(self.code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if sys.byteorder == "big":
             for x in found:
                 x.byteswap()
         return [x.tobytes() for x in found]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if any(a in text for a in self.added) or any(c in text for c in SEPARATORS):
+    def _packed_words(self, words: list[str], at_once: int = 256) -> Iterator[bytes]:
+        """Packed ids of words without a space, each with one before it: one
+        token of each, its first, begins with a space."""
+        width = self.dtype.itemsize
+        for i in range(0, len(words), at_once):
+            some = words[i: i + at_once]
+            found = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids
+            ids = np.array(found, self.dtype)
+            cuts = (np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * width).tolist()
+            if len(cuts) != len(some) + 1:
+                raise ValueError("the vocabulary merges over a space")
+            packed = ids.tobytes()
+            yield from (packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+
+    def _words(self, text: str) -> list[str] | None:
+        if any(a in text for a in self.added):
             return None
-        if not text.isascii() and _OTHER.search(text):
-            return None
-        return PIECES.findall(text)
+        # without a run of white space every space is such a cut, or stands at an end of the text
+        return _CUT.split(text) if _RUN.search(text) else text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        cut = [self._pieces(t) for t in texts]
-        if len(self.cache) > self.max_cached:
-            self.cache.clear()
-        new = [p for p in set(chain.from_iterable(ps for ps in cut if ps)) if p not in self.cache]
-        self.cache.update(zip(new, self._packed(new), strict=True))
+        cut = [self._words(t) for t in texts]
+        # the first word of a text has no space before it
+        first = self._packed([t if ws is None else ws[0] for t, ws in zip(texts, cut, strict=True)])
+        later = [ws[1:] if ws else [] for ws in cut]
+        if self.cached > self.max_cached:
+            self.cache, self.cached = {}, 0
+        new = set().union(*later).difference(self.cache)
+        plain = [w for w in new if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
+        other = list(new.difference(plain))
+        self.cache.update(zip(plain, self._packed_words(plain), strict=True))
+        self.cache.update(zip(other, self._packed([" " + w for w in other]), strict=True))
+        self.cached += sum(map(len, new))
         get = self.cache.__getitem__
-        return [self._packed([t])[0] if ps is None else b"".join(map(get, ps)) for t, ps in zip(texts, cut, strict=True)]
+        return [a + b"".join(map(get, ws)) for a, ws in zip(first, later, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
