@@ -11,6 +11,7 @@ from ..session import scratch_path
 from . import (decontaminate, fingerprint, lang_id, license_scan, mixing, ngram_join, secret_scan,
                substring_dedup, token_output, warc)
 from .common import documents
+from .oracle import ORACLES
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -88,4 +89,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
