@@ -161,3 +161,21 @@ def test_pipeline(spark, edges):
             table.count()
     model = lang_id.fit(odd, lang_id.F.col("lang"))
     assert lang_id.in_known_language(odd, model, 0.0).count() == sum(r.lang_pred != "und" for r in lang_id.predict(odd, model).collect())
+
+
+def test_words_encode_as_whole_texts_do():
+    """Spaces, other white space, contractions and added tokens in any order,
+    also while the encoder forgets its words between blocks."""
+    import random
+
+    from monthcast.llm.queries import tokenizer_path
+    from monthcast.llm.token_output import Encoder
+
+    rng = random.Random(5)
+    parts = list(" \n\t\r\x0b\x1c\x1f\x85\xa0\u3000ab's1\u00b2\u0663_-.,\u0120\u00e9\u4e2d\u0440\U0001f600")
+    parts += [" ", " ", "  ", "'ll", " the", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(5000)]
+    texts += ["", " ", "  ", " a", "a ", "a  b", "a\n b", "a \nb", "a\n  b"]
+    encoder = Encoder(tokenizer_path(), max_cached=500)
+    whole = encoder._packed(texts)
+    assert [x for i in range(0, len(texts), 1000) for x in encoder.encode(texts[i: i + 1000])] == whole
