@@ -27,28 +27,25 @@ from __future__ import annotations
 import io
 import os
 import re
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import range_bounds, range_index, written
+from .common import batches, range_bounds, range_index, written
 from .files import committed, open_root
 
 END_ID = 2
 LEVELS, GAMMA = 40, 2.0
-# Fixed value: how the byte-level vocabulary cuts a text before merging (the public pattern, with letters and digits as
-# this language's ``re`` has them), and the characters on which both are known to agree.
-PIECES = re.compile(r" ?[^\W\d_]+| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-SEPARATORS = "\x1c\x1d\x1e\x1f"     # white space to ``re`` but not to the vocabulary
-AGREED = "\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u052f\u2010-\u2027\u3041-\u3096\u30a1-\u30ff\u4e00-\u9fa5\uac00-\ud7a3"
-_OTHER = re.compile(f"[^{AGREED}]")
+# A vocabulary of bytes begins a new piece at a space between two characters that aren't white space. What ``str`` takes for
+# white space holds all that the vocabulary does.
+_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+_RUN = f" [{_SPACES}]|[{_SPACES}] "
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # ------------------------------------------------------------------ encoding
@@ -56,45 +53,95 @@ _OTHER = re.compile(f"[^{AGREED}]")
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
-    Merges never cross a piece, so the library encodes each distinct piece
-    once and a text's ids are those of its pieces in turn. Texts that hold an
-    added token, or a character beyond AGREED, go to the library whole.
-    ``max_cached`` bounds the memory.
+    Merges never cross a single space between two words, so the library
+    encodes each distinct word (with the space before it) once, many in one
+    call, and a text's ids are those of its words in turn, gathered at once
+    for a block of texts. Texts that hold an added token go to the library
+    whole. ``max_cached`` bounds the words kept between blocks.
     """
 
     def __init__(self, path: str, max_cached: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype, self.code = np.dtype("<u2" if small else "<u4"), "H" if small else "I"
+        n = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(n)])
         self.max_cached = max_cached
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}     # word -> its place; start[place]: its first id in ids
+        self.ids, self.start = np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _packed(self, texts: list[str]) -> list[bytes]:
-        found = [array(self.code, e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        if sys.byteorder == "big":
-            for x in found:
-                x.byteswap()
-        return [x.tobytes() for x in found]
-
-    def _pieces(self, text: str) -> list[str] | None:
-        if any(a in text for a in self.added) or any(c in text for c in SEPARATORS):
-            return None
-        if not text.isascii() and _OTHER.search(text):
-            return None
-        return PIECES.findall(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        return [x.tobytes() for x in self._ids(texts)]
+
+    def _learn(self, words: list[str], at_once: int = 1000) -> None:
+        """Keep the ids of new words, each with a space before it. Of the
+        tokens of such a word only the first begins with a space."""
+        plain = [w for w in words if w and " " not in w and not w[0].isspace() and not w[-1].isspace()]
+        known = set(plain) if len(plain) < len(words) else None
+        found, sizes = [], []
+        for i in range(0, len(plain), at_once):
+            some = plain[i: i + at_once]
+            ids = self._ids([" " + " ".join(some)])[0]
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) != len(some):
+                raise ValueError("the vocabulary merges over a space")
+            found.append(ids)
+            sizes.append(np.diff(np.append(first, len(ids))))
+        other = [w for w in words if w not in known] if known is not None else []
+        for ids in self._ids([" " + w for w in other]):
+            found.append(ids)
+            sizes.append(np.array([len(ids)]))
+        self.place.update(zip(plain + other, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.ids = np.concatenate([self.ids, *found])
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def _joined(self, words: pa.ListArray) -> list[bytes]:
+        """Packed ids of texts, each given as its words."""
+        offsets = words.offsets.to_numpy()
+        flat = words.values
+        # the first word of a text has no space before it
+        firsts = self._ids(flat.take(pa.array(offsets[:-1])).to_pylist())
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.place) > self.max_cached:
+            self._forget()
+        new = [w for w in distinct if w not in self.place]
+        if new:
+            self._learn(new)
+        at = np.array([self.place[w] for w in distinct], np.int64)[coded.indices.to_numpy()]
+        size = self.start[at + 1] - self.start[at]
+        size[offsets[:-1]] = 0
+        end = np.cumsum(size)
+        packed = self.ids[np.repeat(self.start[at] - (end - size), size) + np.arange(end[-1])].tobytes()
+        ends = (end[offsets[1:] - 1] * self.dtype.itemsize).tolist()
+        return [f.tobytes() + packed[a:b] for f, a, b in zip(firsts, [0, *ends], ends, strict=False)]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Packed ids of each text."""
-        cut = [self._pieces(t) for t in texts]
-        if len(self.cache) > self.max_cached:
-            self.cache.clear()
-        new = [p for p in set(chain.from_iterable(ps for ps in cut if ps)) if p not in self.cache]
-        self.cache.update(zip(new, self._packed(new), strict=True))
-        get = self.cache.__getitem__
-        return [self._packed([t])[0] if ps is None else b"".join(map(get, ps)) for t, ps in zip(texts, cut, strict=True)]
+        if not len(texts):
+            return []
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole = np.zeros(len(texts), bool)
+        for a in self.added:
+            whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        runs = pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False) & ~whole
+        out = np.empty(len(texts), object)
+        for mask, packed in (
+                (whole, lambda t: self._packed(t.to_pylist())),
+                (runs, lambda t: self._joined(pa.array([_CUT.split(x) for x in t.to_pylist()], pa.list_(pa.string())))),
+                (~whole & ~runs, lambda t: self._joined(pc.split_pattern(t, " ")))):
+            if mask.any():
+                for i, x in zip(np.flatnonzero(mask).tolist(), packed(texts.filter(pa.array(mask))), strict=True):
+                    out[i] = x
+        return out.tolist()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -187,12 +234,9 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_
     def encode(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         end = np.array([end_id], enc.dtype).tobytes()
-        for b in it:
-            step = max(1, int(b.num_rows * (4 << 20) / max(1, b.nbytes)))
-            for i in range(0, b.num_rows, step):
-                part = b.slice(i, step)
-                ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        for part in batches(it, 8 << 20):
+            ids = [x + end for x in enc.encode(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     encoded = rows.mapInArrow(encode, "doc_id long, ids binary").withColumn("shard", range_index(F.col("doc_id"), bounds))
     dealt = encoded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "doc_id", "ids")
