@@ -13,7 +13,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS, RANDOM_STATE
@@ -128,6 +128,13 @@ def class_names(model: PipelineModel) -> list[str]:
     return list(model.stages[-1].getLabels())
 
 
+def label_probabilities(names: Sequence[str], probs: Column, labels: Sequence[str] = CLASS_LABELS) -> dict[str, Column]:
+    """``proba_<label>`` from the model's class order and its probability
+    array; 0.0 for labels the model never saw."""
+    by_name = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), probs)
+    return {f"proba_{lab}": F.coalesce(by_name[lab], F.lit(0.0)) for lab in labels}
+
+
 def score(model: PipelineModel, df: DataFrame, labels: Sequence[str] = CLASS_LABELS) -> DataFrame:
     """Add ``predicted`` and ``proba_<label>`` (0.0 for labels the model never
     saw). One-vs-rest models expose margins only: softmax them."""
@@ -139,8 +146,7 @@ def score(model: PipelineModel, df: DataFrame, labels: Sequence[str] = CLASS_LAB
         raw = vector_to_array("rawPrediction")
         exps = F.transform(raw, lambda x: F.exp(x))
         probs = F.transform(exps, lambda x: x / F.aggregate(exps, F.lit(0.0), lambda a, b: a + b))
-    pmap = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), probs)
-    cols = {f"proba_{lab}": F.coalesce(pmap[lab], F.lit(0.0)) for lab in labels}
+    cols = label_probabilities(names, probs, labels)
     drop = [c for c in out.columns if c.startswith(PREPARED) or c in ("features", "rawPrediction", "probability", "prediction")]
     return out.withColumns(cols).drop(*drop)
 

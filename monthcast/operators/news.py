@@ -13,33 +13,39 @@ from ..functions.text import clean_text, keyword_column_name, keyword_flags, tex
 from . import sentiment as S
 
 
+def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> DataFrame:
+    """The row of each key group that ``pick`` (min or max) takes under
+    ``order``, then all other columns.
+
+    Rows are grouped by two 64-bit hashes of the key (and which parts of it
+    are null), with the key itself among the values: what is sorted and
+    shuffled by is 17 bytes, however long the titles are.
+    """
+    keys, order = list(keys), list(order)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    nulls = F.concat(*[F.when(F.col(k).isNull(), "1").otherwise("0") for k in keys])
+    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], *[F.col(c) for c in rest],
+                      *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    one = (df.groupBy(F.xxhash64(*keys, nulls).alias("__a"), F.xxhash64(nulls, *reversed(keys)).alias("__b"))
+           .agg(pick(packed).alias("__one")))
+    names = {f"__o{i}": c for i, c in enumerate(order)} | {c: c for c in rest} | {f"__k{i}": k for i, k in enumerate(keys)}
+    return one.select(*[F.col("__one")[n].alias(c) for n, c in names.items()]).select(*df.columns)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row of each key group under ``order`` (then all other
     columns as tie-break, so the choice is deterministic).
 
-    Written as ``min(struct(order..., rest...))`` per key: an aggregate with
-    map-side partial aggregation, so a hot key holding a third of the rows is
-    reduced inside each map task before the shuffle, unlike a
-    ``row_number`` window which would sort the whole hot group in one task.
+    ``min`` of a struct per key: map-side partial aggregation reduces a hot
+    key holding a third of the rows inside each map task before the shuffle,
+    unlike a ``row_number`` window which would sort the group in one task.
     """
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
-                      *[F.col(c) for c in rest])
-    first = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return first.select(*keys, *[F.col("__first")[f"__o{i}"].alias(c) for i, c in enumerate(order)],
-                        *[F.col("__first")[c].alias(c) for c in rest]).select(*df.columns)
+    return _one_per_key(df, keys, order, F.min)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Mirror of ``keep_first``: the last row per key under ``order``."""
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)],
-                      *[F.col(c) for c in rest])
-    last = df.groupBy(*keys).agg(F.max(packed).alias("__last"))
-    return last.select(*keys, *[F.col("__last")[f"__o{i}"].alias(c) for i, c in enumerate(order)],
-                       *[F.col("__last")[c].alias(c) for c in rest]).select(*df.columns)
+    return _one_per_key(df, keys, order, F.max)
 
 
 def language_filter(df: DataFrame, col: str = "language",
@@ -57,6 +63,14 @@ def parse_and_dedup(raw: DataFrame) -> DataFrame:
     return keep_first(df, ARTICLE_DEDUP_KEYS, ["seen_date"])
 
 
+def timestamp_rejects(raw: DataFrame) -> DataFrame:
+    """One row (articles, unparsed, kept): the rows that ``parse_and_dedup``
+    drops because no known layout fits their ``seen_date``."""
+    known = parse_timestamps("seen_date").isNotNull()
+    return raw.select(known.alias("known")).agg(F.count("*").alias("articles"), F.count_if(~F.col("known")).alias("unparsed"),
+                                                F.count_if("known").alias("kept"))
+
+
 def clean_news(raw: DataFrame, accepted_languages: Sequence[str] = ENGLISH_SPELLINGS) -> DataFrame:
     """raw_news -> clean_news, in the reference order: ``parse_and_dedup``
     -> language filter (after the dedup) -> clean text, month, title length.

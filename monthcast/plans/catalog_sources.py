@@ -557,4 +557,4 @@ def q_format_metrics(spark, sf):
                     format_fixed("lo", 3).alias("min_change"))
 
 
-from . import catalog_ml  # noqa: E402,F401
+from . import catalog_ml, catalog_tables  # noqa: E402,F401

@@ -31,6 +31,13 @@ PREDICTION = T.StructType([
     T.StructField("proba_high", T.DoubleType(), True),
 ])
 
+METRICS = T.StructType([
+    T.StructField("model", T.StringType()),
+    T.StructField("metric", T.StringType()),
+    T.StructField("label", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+])
+
 LEXICON = T.StructType([
     T.StructField("token", T.StringType(), False),
     T.StructField("valence", T.DoubleType(), False),

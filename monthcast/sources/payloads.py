@@ -46,6 +46,19 @@ def screen_errors(df: DataFrame, status_col: str = "status") -> DataFrame:
     return df.where(~F.col(status_col).eqNullSafe(F.lit("error")))
 
 
+def reject_counts(df: DataFrame, schema: T.StructType, status_col: str = "status") -> DataFrame:
+    """One row (payloads, corrupt, errors, kept) of landed ``payload`` texts:
+    what does not parse, what parses but reports an error, and the rest."""
+    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    p = F.from_json(F.col("payload"), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = df.select(p.alias("p")).select(
+        (F.col("p").isNull() | F.col("p._corrupt_record").isNotNull()).alias("corrupt"),
+        F.col("p")[status_col].eqNullSafe("error").alias("error"))
+    return parsed.agg(F.count("*").alias("payloads"), F.count_if("corrupt").alias("corrupt"),
+                      F.count_if(~F.col("corrupt") & F.col("error")).alias("errors"),
+                      F.count_if(~F.col("corrupt") & ~F.col("error")).alias("kept"))
+
+
 def flatten_gdelt(df: DataFrame) -> DataFrame:
     p = _parsed(df, schemas.GDELT_PAYLOAD)
     a = p.select("window_start", "window_end", F.explode("articles").alias("a"))

@@ -3,10 +3,12 @@ schema (missing -> empty), feature-table and artifact scans."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+from ..schemas import METRICS, PREDICTION
 
 
 def scan_sorted(df: DataFrame, sort_by: str | None = None, drop: tuple[str, ...] = ("_id",)) -> DataFrame:
@@ -18,25 +20,40 @@ def scan_sorted(df: DataFrame, sort_by: str | None = None, drop: tuple[str, ...]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read ``path`` with ``schema``; a missing table gives an empty frame."""
+    """Read ``path`` with ``schema``; a missing table gives an empty frame.
+    Any other failure is raised."""
     try:
         return spark.read.schema(schema).format(fmt).load(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _feature_type(c: str) -> str:
+    """Declared type of a model-table column."""
+    if c == "month":
+        return "date"
+    if c == "target_class":
+        return "string"
+    return "bigint" if c in ("article_count", "unique_sources") or c.startswith("kw_") else "double"
 
 
 def read_feature_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Model table: parse ``month`` to DATE, sorted by month."""
-    reader = spark.read.option("header", True).option("inferSchema", True) if fmt == "csv" else spark.read
-    df = reader.format(fmt).load(path)
-    return df.withColumn("month", F.to_date(F.col("month").cast("string"))).orderBy("month")
+    """Model table: ``month`` as DATE, sorted by month. CSV columns are read as
+    text and cast to their declared types; nothing is inferred."""
+    if fmt != "csv":
+        df = spark.read.format(fmt).load(path)
+        return df.withColumn("month", F.to_date(F.col("month").cast("string"))).orderBy("month")
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return df.select(*[F.col(f"`{c}`").try_cast(_feature_type(c)).alias(c) for c in df.columns]).orderBy("month")
 
 
-def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("multiLine", True).json(path)
+def read_metrics_json(spark: SparkSession, path: str, schema: T.StructType = METRICS) -> DataFrame:
+    """Metrics artifact as ``export_json`` writes it: one record a line."""
+    return spark.read.schema(schema).json(path)
 
 
 def read_prediction(spark: SparkSession, path: str) -> DataFrame:
     """Prediction artifact (CSV with header) with the declared schema."""
-    from ..schemas import PREDICTION
     return spark.read.schema(PREDICTION).option("header", True).csv(path)

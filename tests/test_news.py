@@ -70,3 +70,16 @@ def test_approx_sources_option(spark):
     exact = N.monthly_news_features(clean, lexicon_frame(spark), ["t"]).first()["unique_sources"]
     approx = N.monthly_news_features(clean, lexicon_frame(spark), ["t"], approx_sources=True).first()["unique_sources"]
     assert exact == 7 and abs(approx - 7) <= 1
+
+
+def test_keys_with_nulls_in_different_parts_stay_apart(spark):
+    df = spark.createDataFrame([("a", None, 2), (None, "a", 1), ("a", None, 1), (None, None, 5), ("a", "a", 3), ("", "a", 4)],
+                               "k1 string, k2 string, o int")
+    want = {("a", None): (1, 2), (None, "a"): (1, 1), (None, None): (5, 5), ("a", "a"): (3, 3), ("", "a"): (4, 4)}
+    for pick, at in ((N.keep_first, 0), (N.keep_last, 1)):
+        assert {(r.k1, r.k2): r.o for r in pick(df, ["k1", "k2"], ["o"]).collect()} == {k: v[at] for k, v in want.items()}
+
+
+def test_timestamp_rejects_are_counted(spark):
+    raw = spark.createDataFrame([("2024-01-05 10:00:00",), ("bad",), (None,), ("",), ("20240105T101500Z",)], "seen_date string")
+    assert N.timestamp_rejects(raw).collect() == [(5, 3, 2)]

@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from monthcast import schemas
 from monthcast.sources import calendar as CAL
 from monthcast.sources import payloads as P
 from monthcast.sources.series import clean_series, table_guard
@@ -102,3 +103,27 @@ def test_named_series_layout(spark, tmp_path):
     p.write_text("Date,GSCPI,Other\n2020-01-31,0.5,x\n2020-02-29,-1.2,y\nbad,1,z\n")
     out = read_named_series(spark, str(p), "Date", "GSCPI", "gscpi").orderBy("date").collect()
     assert [(r["date"], r["gscpi"]) for r in out] == [(dt.date(2020, 1, 31), 0.5), (dt.date(2020, 2, 29), -1.2)]
+
+
+def test_payload_rejects(spark):
+    texts = ['{"status": "ok", "articles": []}', '{"status": "error", "message": "no"}', '{"status": "error"', "", None, "[]x", '{"articles": []}']
+    df = spark.createDataFrame([(t,) for t in texts], "payload string")
+    got = P.reject_counts(df, schemas.NEWSAPI_PAYLOAD).first()
+    assert (got.payloads, got.corrupt, got.errors, got.kept) == (7, 4, 1, 2)
+
+
+def test_metrics_json_keeps_every_record_of_a_file(spark, tmp_path):
+    from monthcast.sinks.tables import export_json
+    from monthcast.sources.tables import read_metrics_json
+    rows = [("m", "f1", "low", 0.5), ("m", "f1", None, None), ("n", "f1", "low", 0.25)]
+    export_json(spark.createDataFrame(rows, schemas.METRICS).coalesce(1), str(tmp_path / "m"))
+    assert sorted(map(tuple, read_metrics_json(spark, str(tmp_path / "m")).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_unreadable_table_is_not_an_empty_one(spark, tmp_path):
+    import pytest
+    from monthcast.sources.tables import read_or_empty
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        read_or_empty(spark, str(tmp_path / "t"), schemas.SERIES).collect()
