@@ -37,12 +37,14 @@ def dedup_keep_last(batch: DataFrame, keys: Sequence[str], seq_col) -> DataFrame
 
 
 def merge_with_changes(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                       seq_col=None, drop_seq: bool = False) -> DataFrame:
+                       seq_col=None, drop_seq: bool = False, newer_by=None) -> DataFrame:
     """Upsert ``batch`` into ``target`` by ``keys`` and tag every output row
     with ``__change`` in {inserted, modified, unchanged, untouched}.
 
     Field-level ``$set`` semantics: every incoming column overwrites (NULL
-    included); columns only the target has survive; new columns appear.
+    included); columns only the target has survive; new columns appear. With
+    ``newer_by`` (a column or a list that both sides have) a target row with a
+    later value stays untouched, so the order of batches does not matter.
     """
     keys = list(keys)
     incoming = dedup_keep_last(batch, keys, seq_col) if seq_col else batch.where(
@@ -56,6 +58,9 @@ def merge_with_changes(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     b = incoming.select(*keys, *[F.col(c).alias(f"__b_{c}") for c in b_cols], F.lit(True).alias("__b"))
     j = t.join(b, on=keys, how="full")
     has_b = F.col("__b").isNotNull()
+    if newer_by:
+        has_b = has_b & ~(F.struct(*[F.col(f"__t_{c}").alias(c) for c in _seq(newer_by)])
+                          > F.struct(*[F.col(f"__b_{c}").alias(c) for c in _seq(newer_by)]))
     same = reduce(lambda a, c: a & F.col(f"__t_{c}").eqNullSafe(F.col(f"__b_{c}")), shared, F.lit(True))
     change = (F.when(F.col("__t").isNull(), F.lit(INSERTED))
                .when(~has_b, F.lit(UNTOUCHED))
@@ -65,7 +70,7 @@ def merge_with_changes(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     for c in t_cols:
         out_cols.append((F.when(has_b, F.col(f"__b_{c}")).otherwise(F.col(f"__t_{c}")) if c in shared
                          else F.col(f"__t_{c}")).alias(c))
-    out_cols += [F.col(f"__b_{c}").alias(c) for c in b_cols if c not in t_cols]
+    out_cols += [F.when(has_b, F.col(f"__b_{c}")).alias(c) for c in b_cols if c not in t_cols]
     return j.select(*out_cols, change.alias("__change"))
 
 

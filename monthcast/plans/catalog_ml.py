@@ -51,7 +51,11 @@ def q_latest_prediction(spark, sf):
                          "proba_low", "proba_medium", "proba_high")
 
 
-@register("stream_news_upsert")
+@register("stream_news_upsert", f"""
+WITH {Q.RAW_NEWS}
+SELECT url, doc_id, seen_date FROM raw_news WHERE url IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY seen_date DESC NULLS LAST, doc_id DESC NULLS LAST) = 1
+""")
 def q_stream_news_upsert(spark, sf):
     """Raw news landed as time-ordered files, loaded one file per micro-batch
     with a keyed upsert into a month-partitioned table (each batch rewrites

@@ -89,7 +89,7 @@ class VersionedTable:
         return path
 
     def upsert(self, batch: DataFrame, keys: Sequence[str], batch_id: str,
-               seq_col: str | None = None) -> dict:
+               seq_col: str | None = None, newer_by=None) -> dict:
         """Merge ``batch`` by ``keys``; returns the change counts."""
         if self.applied(batch_id):
             return {"skipped": True, "changed": 0}
@@ -98,7 +98,7 @@ class VersionedTable:
             incoming = U.dedup_keep_last(batch, keys, seq_col) if seq_col else batch
             tagged = incoming.withColumn("__change", F.lit(U.INSERTED))
         else:
-            tagged = U.merge_with_changes(current, batch, keys, seq_col)
+            tagged = U.merge_with_changes(current, batch, keys, seq_col, newer_by=newer_by)
         # write once (the change tag travels with the snapshot), then count
         # from the written files: nothing large is cached on executors
         path = self.commit(tagged, batch_id)
@@ -186,8 +186,9 @@ class PartitionedUpsertTable:
         for r in log.where("state = 'pending'").join(done, ["batch_id", "staging"], "left_anti").collect():
             self._swap(r.batch_id, r.staging, r.part_type)
 
-    def upsert(self, batch: DataFrame, batch_id: str, part_value, seq_col=None) -> dict:
-        """``part_value``: Column giving a *new* key's partition from the batch row."""
+    def upsert(self, batch: DataFrame, batch_id: str, part_value, seq_col=None, newer_by=None) -> dict:
+        """``part_value``: Column giving a *new* key's partition from the batch row.
+        ``newer_by``: a row of the table that is later by these columns stays."""
         from ..session import scratch_path
         self.finish_pending()
         if self.applied(batch_id):
@@ -211,7 +212,7 @@ class PartitionedUpsertTable:
             placed.write.parquet(path)
             placed = self.spark.read.parquet(path)
             target = current.join(placed.select(self.part_col).distinct(), self.part_col, "left_semi")
-            U.merge_with_changes(target, placed, self.keys).write.partitionBy(self.part_col).parquet(staging)
+            U.merge_with_changes(target, placed, self.keys, newer_by=newer_by).write.partitionBy(self.part_col).parquet(staging)
         self._record(batch_id, "pending", staging, kind)
         staged = self._table(staging)
         counts = U.change_counts(staged.select("__change")).first().asDict()

@@ -30,6 +30,7 @@ def stream_upsert(stream: DataFrame, table_root: str, keys: Sequence[str], seq_c
                   checkpoint: str, query_name: str = "upsert", partition_col: str | None = None,
                   part_value=None) -> list[dict]:
     """Run to completion over what is available; returns per-batch counts.
+    The latest row of a key by ``seq_cols`` wins, in whatever order files come.
 
     With ``partition_col``/``part_value`` the target is a
     ``PartitionedUpsertTable`` (each micro-batch rewrites only the partitions
@@ -43,9 +44,9 @@ def stream_upsert(stream: DataFrame, table_root: str, keys: Sequence[str], seq_c
     def apply(batch: DataFrame, batch_id: int) -> None:
         bid = f"{query_name}-{batch_id}"
         if partition_col:
-            counts = ptable.upsert(batch, bid, part_value, seq_col=list(seq_cols))
+            counts = ptable.upsert(batch, bid, part_value, seq_col=list(seq_cols), newer_by=list(seq_cols))
         else:
-            counts = table.upsert(batch, keys, batch_id=bid, seq_col=list(seq_cols))
+            counts = table.upsert(batch, keys, batch_id=bid, seq_col=list(seq_cols), newer_by=list(seq_cols))
         counts["batch_id"] = batch_id
         log.append(counts)
 

@@ -92,3 +92,12 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark):
     untouched = [p for p in before if "month=2024-01" not in p]
     assert untouched and all(after.get(p) == before[p] for p in untouched)
     assert t.upsert(second, "b2", F.col("m"), seq_col="seq")["skipped"]
+
+
+def test_later_row_stays_whatever_order_batches_come(spark):
+    t = spark.createDataFrame([("a", 5, "t"), ("b", 1, "t"), ("c", None, "t"), ("d", 3, "t")], "url string, seq int, v string")
+    b = spark.createDataFrame([("a", 4, "b", 1), ("b", 2, "b", 1), ("c", 0, "b", 1), ("d", 3, "b", 1), ("e", None, "b", 1)],
+                              "url string, seq int, v string, extra int")
+    out = {r.url: (r.seq, r.v, r.extra, r["__change"]) for r in U.merge_with_changes(t, b, ["url"], "seq", newer_by="seq").collect()}
+    assert out == {"a": (5, "t", None, U.UNTOUCHED), "b": (2, "b", 1, U.MODIFIED), "c": (0, "b", 1, U.MODIFIED),
+                   "d": (3, "b", 1, U.MODIFIED), "e": (None, "b", 1, U.INSERTED)}
