@@ -8,9 +8,10 @@ fingerprint is the bottom sketch of the anchors' hashes (the ``SKETCH``
 smallest distinct ones, as 8 hex digits each); the likeness of two
 fingerprints is the share of common values among the smallest ``SKETCH``
 values of both together, an estimate of the Jaccard likeness of the anchor
-sets. A text shorter than K words has its whole word sequence as its only
-anchor; a text without words has the empty fingerprint, which is like an empty
-one (1.0) and unlike any other (0.0).
+sets. A text with words but without a closed syncmer (one shorter than K words,
+or some of K or K + 1 words) has its whole word sequence as its only anchor; a
+text without words has the empty fingerprint, which is like an empty one (1.0)
+and unlike any other (0.0).
 
 Only DataFrame functions. Null text counts as empty. Equal texts have equal
 fingerprints.
@@ -55,7 +56,7 @@ def with_anchors(df: DataFrame, text_col: str, out: str) -> DataFrame:
         F.xxhash64(F.get(s, i), F.get(s, i + S), F.get(h, i + K - 1)), 32))
     whole = F.when(F.size(h) == 0, F.lit([]).cast("array<bigint>")).otherwise(
         F.array(F.shiftrightunsigned(F.xxhash64(F.col(h)), 32)))
-    df = df.withColumn(out, F.when(F.size(h) < K, whole).otherwise(anchor)).select(*keep, out)
+    df = df.withColumn(out, F.when(F.size(at) == 0, whole).otherwise(anchor)).select(*keep, out)
     return df.withColumn(out, F.slice(F.array_sort(F.array_distinct(out)), 1, SKETCH))
 
 

@@ -157,6 +157,29 @@ def test_syncmers_are_context_free(spark):
     assert sketches[2] == want
 
 
+def test_only_texts_without_words_have_the_empty_fingerprint(spark):
+    """Texts of 1 to 8 words: some of 5 or 6 have no closed syncmer."""
+    rng = random.Random(6)
+    texts = ["", " \t"] + [" ".join(f"u{rng.randrange(10**6)}" for _ in range(n)) for n in range(1, 9) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sketches = {texts[r.doc_id]: tuple(r.s) for r in fingerprint.with_anchors(docs, "text", "s").collect()}
+    split = {t: t.split() for t in texts}
+    words = {w: h for w, h in spark.createDataFrame([(w,) for w in {w for v in split.values() for w in v}], "w string").selectExpr("w", "xxhash64(w)").collect()}
+    pairs = {(words[a], words[b]) for v in split.values() for a, b in zip(v, v[1:], strict=False)}
+    pair = {(a, b): x for a, b, x in spark.createDataFrame(sorted(pairs), "a long, b long").selectExpr("a", "b", "xxhash64(a, b)").collect()}
+    none = 0
+    for t, v in split.items():
+        s = [pair[words[a], words[b]] for a, b in zip(v, v[1:], strict=False)]
+        chosen = sum(min(s[i: i + 4]) in (s[i], s[i + 3]) for i in range(len(v) - 4))
+        none += len(v) >= 5 and chosen == 0
+        assert len(sketches[t]) == (max(1, chosen) if v else 0), t
+    assert none > 5
+    with_words = [s for t, s in sketches.items() if split[t]]
+    assert len(set(with_words)) == len(with_words)
+    out = {r["doc_id"]: r for r in rows_of(fingerprint.fingerprint_pairs(docs))}
+    assert all(out[i]["near_next"] < 1 for i in range(2, len(texts)))
+
+
 def brute_secrets(text):
     spans = []
     for k, (kind, pattern, group, least) in enumerate((
