@@ -35,6 +35,7 @@ class. Empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -165,11 +166,17 @@ def _link_block(queries: list[tuple], members: list[tuple]) -> tuple[list[tuple[
     return edges, links
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = 256,
-               query_rows: int = 512, sample_docs: int = 8_000, frequent_share: float = 0.0005,
-               frequent_least: int = 4) -> DataFrame:
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(doc_id, row_key, n_shingles, component_id, n_links): one
     row per row of ``docs``; ``n_links`` counts the other rows it links with."""
+    return with_components(docs, id_col, text_col, **options).drop("component")
+
+
+def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = 256,
+                    query_rows: int = 512, sample_docs: int = 8_000, frequent_share: float = 0.0005,
+                    frequent_least: int = 4) -> DataFrame:
+    """``ngram_join`` with ``component``, which tells components apart also
+    where ids are null or repeated (rows without words share one)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("row_key"),
                        F.col(text_col).alias("text"))
@@ -267,15 +274,40 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     back = salts.join(classes, "node")
     own = F.col("n_shingles") == 0
     return (out.join(back, ["node", "salt"])
-            .select("doc_id", "row_key", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("component_id"))
+            .select("doc_id", "row_key", "n_shingles", "component", F.when(own, F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id"), F.when(own, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links")))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_keys: int = 10_000,
+                **options) -> DataFrame:
     """The rows of ``docs`` with one row of each component: that of the
-    smallest id (of repeated rows, one)."""
-    name = fresh(docs, "gone_key")
-    found = ngram_join(docs, id_col, text_col, **options)
-    gone = written(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias(name)).distinct(),
-                   "ngram-gone")
-    return docs.join(gone, row_key(id_col, text_col) == F.col(name), "left_anti")
+    smallest id, nulls last, then of the smallest row key; of its repeated
+    rows, one. Rows without words are components of their own and all stay.
+
+    Row keys of over 1 / ``hot_keys`` of the rows, so fewer than that, are
+    broadcast: their rows are thinned in the scan and never meet in one task.
+    """
+    name, own = fresh(docs, "own_key"), row_key(id_col, text_col)
+    found = written(with_components(docs, id_col, text_col, **options).where("n_shingles > 0")
+                    .groupBy("row_key", "component").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")),
+                    "ngram-rows")
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+                                          .alias("best")).select(F.col("best.row_key").alias("row_key"), F.lit(True).alias("kept"))
+    n = found.agg(F.sum("copies")).first()[0] or 0
+    keys = written(found.join(best, "row_key", "left").select(
+        F.col("row_key").alias(name), F.coalesce("kept", F.lit(False)).alias("kept"),
+        ((F.col("copies") > 1) & (F.col("copies") * hot_keys > n)).alias("hot"), (F.col("copies") > 1).alias("repeated")),
+        "ngram-keys")
+    hot = keys.where("hot")
+    rest = docs.join(F.broadcast(hot.select(name)), own == F.col(name), "left_anti")
+    gone = keys.where("NOT hot AND (repeated OR NOT kept)").select(name)
+    parts = [rest.join(gone, own == F.col(name), "left_anti")]
+    twice = keys.where("kept AND repeated")
+    for of, few in ((docs, F.broadcast(twice.where("hot").select(name))), (rest, twice.where("NOT hot").select(name))):
+        if few.isEmpty():
+            continue
+        # which of the rows of one key is decided by their values
+        value = F.xxhash64(*[F.col(c) for c, t in docs.dtypes if "map<" not in t])
+        parts.append(of.join(few, own == F.col(name), "left_semi").groupBy(own.alias(name))
+                     .agg(F.min_by(F.struct(*docs.columns), value).alias("one")).select("one.*"))
+    return reduce(DataFrame.unionByName, parts)

@@ -210,6 +210,28 @@ def test_one_of_each(spark, edges):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for d, n, c, _ in brute_join(pairs_of(one))})
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark, edges):
+    rng = random.Random(9)
+    a, b, c = ([f"{x}{rng.randrange(10**6)}" for _ in range(60)] for x in "abc")
+    near = lambda w, i: " ".join([*w[:-1], f"end{i}"])
+    rows = [(None, near(a, i % 3), "s") for i in range(30)]                             # a hot null id
+    rows += [(5, near(b, i), "s") for i in range(3)] + [(5, near(b, 0), f"s{i}") for i in range(8)]  # one id, several texts, repeats
+    rows += [(5, near(c, 0), "s"), (None, near(c, 0), "s"), (7, near(c, 1), "s")]       # the same id in another component
+    rows += [(None, "", "s"), (8, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for options in ({}, {"hot_keys": 4}, {"hot_keys": 0}):
+        kept = ngram_join.one_of_each(docs, **options)
+        assert kept.columns == docs.columns
+        got = [tuple(r) for r in kept.collect()]
+        assert sorted(((d, (t or " ")[0]) for d, t, _ in got), key=str) == [(5, "b"), (5, "c"), (8, " "), (None, " "), (None, "a")], options
+        assert set(got) <= set(rows)
+        assert sorted(got, key=str) == sorted((tuple(r) for r in ngram_join.one_of_each(docs.repartition(7), **options).collect()), key=str)
+    # null ids and repeated rows left in: as many rows as components, and each row without words
+    texts = [(i, t) for i, (_, t) in enumerate(pairs_of(edges))]
+    want = sorted(c for c in {(c, n == 0) for _, n, c, _ in brute_join(texts)})
+    assert ngram_join.one_of_each(edges).count() == len(want)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 2000 + i) for i in range(50)]
