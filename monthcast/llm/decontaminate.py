@@ -1,9 +1,11 @@
 """Benchmark decontamination (operator 4, native): size-partitioned MinHash
 containment search, verified by exact shingle containment.
 
-A text's shingles are the distinct runs of five words (lower case, letters and
-digits and everything beyond ASCII); a shorter text is one shingle. An item is
-found in a document that holds at least 0.8 of the item's shingles.
+An item's shingles are its distinct runs of five words (lower case, letters and
+digits and everything beyond ASCII); a shorter item is one shingle. An item is
+found in a document that holds at least 0.8 of the item's shingles, wherever
+they stand: a document is shingled at five words and at each shorter length
+that some item has.
 
 Search: items are partitioned by their size ``q``, for the size decides how
 many of the smallest shingle hashes make a sketch: a document that holds
@@ -24,7 +26,7 @@ no rows; columns other than id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,12 +44,14 @@ def with_words(df: DataFrame, text_col: str) -> DataFrame:
                                            lambda w: w != ""))
 
 
-def shingles(source: str, one: Callable[[list[Column]], Column], all_of: Callable[[Column], Column]) -> Column:
-    """``one`` of each run of SIZE elements of the array column ``source``,
-    ``all_of`` the array if it is shorter, nothing if it is empty."""
-    n = F.size(source)
-    runs = F.transform(F.sequence(F.lit(0), n - SIZE), lambda i: one([F.get(source, i + j) for j in range(SIZE)]))
-    return F.when(n >= SIZE, runs).when(n > 0, F.array(all_of(F.col(source)))).otherwise(F.array())
+def shingles(source: str, one: Callable[[list[Column]], Column], sizes: Sequence[int]) -> Column:
+    """``one`` of each run of each of ``sizes`` elements of the array column ``source``."""
+    def runs(size: int) -> Column:
+        last = F.size(source) - size
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: one(
+            [F.get(source, i + j) for j in range(size)]))).otherwise(F.array())
+
+    return F.concat(*[runs(size) for size in sizes]) if len(sizes) > 1 else runs(sizes[0])
 
 
 def _text(parts: list[Column]) -> Column:
@@ -55,23 +59,29 @@ def _text(parts: list[Column]) -> Column:
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str, held: float) -> DataFrame:
-    """(item_id, shingle, hash, n_item, need, place): one row for each distinct
-    shingle; ``place`` is its rank by hash within the item."""
+    """(item_id, shingle, hash, size, n_item, need, place): one row for each
+    distinct shingle of ``size`` words; ``place`` is its rank by hash within the item."""
     rows = with_words(items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")), "text")
-    rows = rows.withColumn("texts", F.array_distinct(shingles("words", _text, lambda w: F.array_join(w, " "))))
-    # five words hash as in the documents: by the hashes of the words
+    rows = rows.withColumn("size", F.least(F.size("words"), F.lit(SIZE)))
+    rows = rows.withColumn("texts", F.when(F.col("size") == SIZE, F.array_distinct(shingles("words", _text, [SIZE])))
+                           .when(F.col("size") > 0, F.array(F.array_join("words", " "))).otherwise(F.array()))
+    # shingles hash as in the documents: by the hashes of the words
     rows = rows.withColumn("pairs", F.array_sort(F.transform("texts", lambda t: F.struct(
         _hash_of(t).alias("hash"), t.alias("shingle")))))
     rows = rows.withColumn("n_item", F.size("texts")).where("n_item > 0")
     rows = rows.withColumn("need", F.ceil(F.lit(held) * F.col("n_item") - F.lit(1e-9)).cast("int"))
-    return rows.select("item_id", "n_item", "need", F.posexplode("pairs").alias("place", "p")).select(
-        "item_id", "p.shingle", "p.hash", "n_item", "need", "place")
+    return rows.select("item_id", "size", "n_item", "need", F.posexplode("pairs").alias("place", "p")).select(
+        "item_id", "p.shingle", "p.hash", "size", "n_item", "need", "place")
 
 
 def _hash_of(shingle: Column) -> Column:
     words = F.split(shingle, " ")
-    return F.when(F.size(words) >= SIZE, F.xxhash64(*[F.xxhash64(F.get(words, F.lit(j))) for j in range(SIZE)])
-                  ).otherwise(F.xxhash64(shingle))
+    return reduce(lambda out, size: out.when(F.size(words) == size, _hash([F.xxhash64(F.get(words, F.lit(j))) for j in range(size)])),
+                  range(1, SIZE), F.when(F.size(words) == SIZE, _hash([F.xxhash64(F.get(words, F.lit(j))) for j in range(SIZE)])))
+
+
+def _hash(words: list[Column]) -> Column:
+    return F.xxhash64(*words)
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -81,21 +91,23 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     table = written(item_shingles(items, item_id_col, item_text_col, held), "decontam-items")
     blocks = max(1, -(-table.count() // block))
     parts = [table.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) for k in range(blocks)]
+    # the lengths of short items, 1 to SIZE - 1, that there are
+    short = sorted(r[0] for r in table.where(F.col("size") < SIZE).select("size").distinct().collect())
+    sizes = [SIZE, *short]
 
     base = docs.select(row_key(id_col, text_col).alias("doc_key"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     rows = with_words(base, "text").select("doc_key", "words")
     rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
     rows = rows.withColumn("n", F.greatest(F.size("words") - SIZE + 1, F.lit(1)))
-    hashed = shingles("h", lambda p: F.xxhash64(*p), lambda _: F.xxhash64(F.array_join("words", " ")))
-    rows = rows.select("doc_key", "n", F.explode(hashed).alias("hash"))
+    rows = rows.select("doc_key", "n", F.explode(shingles("h", _hash, sizes)).alias("hash"))
     hits = [rows.join(F.broadcast(p.where(F.col("place") <= F.col("n_item") - F.col("need")).select("hash", "need")), "hash")
             .where(F.col("n") >= F.col("need")).select("doc_key") for p in parts]
     found = written(reduce(DataFrame.union, hits).distinct(), "decontam-candidates")
 
     near = with_words(base.join(found, "doc_key", "left_semi"), "text").select("doc_key", "doc_id", "words")
     near = near.select("doc_key", "doc_id", F.explode(F.array_distinct(
-        shingles("words", _text, lambda w: F.array_join(w, " ")))).alias("shingle"))
+        shingles("words", _text, sizes))).alias("shingle"))
     shared = reduce(DataFrame.union, [near.join(F.broadcast(p.select("shingle", "item_id", "n_item", "need")), "shingle")
                                       for p in parts])
     counted = shared.groupBy("doc_key", "doc_id", "item_id", "n_item", "need").agg(

@@ -85,6 +85,28 @@ def test_short_items_in_long_documents(spark):
     assert {d for d, *_ in check_items(spark, docs, items)} == {0, 2}
 
 
+def test_items_of_few_words_in_long_documents(spark):
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 200))) for _ in range(40)]
+    texts += ["v1", "v2 v3", "v4 v5 v6 v7", "v4 v5 v6 v7 v8", "", "a V9, v10 b"]
+    items = ["v1", "v2 v3", "V9 v10", "v4 v5 v6", "v4 v5 v6 v7", "v4 v5 v6 v7 v8", "nowhere", "v1 v1", "", None, "v1"]
+    docs = table(spark, texts)
+    item_rows = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    words = [re.findall("[a-z0-9]+", t.lower()) for t in texts]
+    want = set()
+    for i, x in enumerate(items):
+        w = re.findall("[a-z0-9]+", (x or "").lower())
+        want |= {(d, i) for d, v in enumerate(words) if w and any(v[k: k + len(w)] == w for k in range(len(v)))}
+    for options in ({}, {"block": 3}):
+        found = decontaminate.find_items(docs, item_rows, **options).collect()
+        assert sorted((r.doc_id, r.item_id) for r in found) == sorted(want)
+        assert all((r.n_shared, r.n_item, r.containment) == (1, 1, 1.0) for r in found)
+    bad = {d for d, _ in want}
+    kept = decontaminate.decontaminated(docs, item_rows)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(range(len(texts))) - bad)
+
+
 # ------------------------------------------------------------ substring dedup
 
 def brute_dedup(docs, length=50):
