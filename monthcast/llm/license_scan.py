@@ -3,10 +3,12 @@
 The licence templates (a fixed, small parameter) are turned into one
 generalised suffix automaton over word ids. Each text is streamed through it,
 which gives its matching statistics: at every word, the longest run of words
-ending there that stands in some template. Maximal runs of at least
-``min_match`` words are chained per template, in order in both texts and with
+ending there that stands in some template. Each template's own maximal runs of
+at least ``min_match`` words are chained, in order in both texts and with
 gaps of at most ``max_gap`` words, into covered spans; a span that covers
-``min_cover`` of its template adds the template's label. Base phrases are
+``min_cover`` of its template adds the template's label if the template's
+telling words, if it has any, stand in the span or within ``max_gap`` words
+after it. ``score`` is the best cover, with or without them. Base phrases are
 further strings of the same automaton: they end wherever the state reached
 has the phrase among its suffixes.
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +61,21 @@ TEMPLATES = [
     ("warranty", "the software is provided as is without warranty of any kind express or implied"),
 ]
 
+# What tells a label's licence from others with the same words (label, a word of the templates
+# meant, pattern over words at single spaces). Of versions, the first number counts.
+TELLING = [
+    ("apache-2.0", "licensed", r"apache license\D*\b(version 2|v2|2 0)\b"),
+    ("apache-2.0", "apache", r"\bapache (org|license)\b\D*\b(license|version|v) ?2\b|\bapache license\D*\b2 0\b"),
+    ("gpl-3.0", "3", r"general public license\D*\bv?3\b"),
+    ("gpl", "gnu", r"\bgnu general public license\b"),
+    ("lgpl", "lesser", r"\b(lesser|lgpl|lgplv[23])\b"),
+    ("agpl", "affero", r"\b(affero|agpl|agplv3)\b"),
+    ("mpl-2.0", "mozilla", r"\bmozilla public license\D*\bv?2\b"),
+    ("cc-by-nc", "nc", r"\bby nc\b"),
+    ("cc-by-sa", "sa", r"\b(by|nc) sa\b"),
+    ("cc", "creative", r"\bcreative commons\b"),
+]
+
 SCHEMA = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, "
           "labels string, score double, spans array<struct<label:string,start:int,end:int,cover:double>>")
 _SPAN = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()),
@@ -79,8 +96,9 @@ class LicenceAutomaton(SuffixAutomaton):
         strings = [w for _, w in self.templates] + [p for p, _ in self.phrases]
         vocabulary = sorted({w for s in strings for w in s})
         self.ids = {w: i for i, w in enumerate(vocabulary)}
-        for s in strings:
-            for _ in self.add([self.ids[w] for w in s]):
+        self.strings = [[self.ids[w] for w in s] for s in strings]
+        for s in self.strings:
+            for _ in self.add(s):
                 pass
         # places and phrases by walking each string once more: states no longer change
         ends: list[set[tuple[int, int]]] = [set() for _ in self.next]
@@ -97,6 +115,11 @@ class LicenceAutomaton(SuffixAutomaton):
         for v in reversed(by_length):
             ends[self.link[v]] |= ends[v]
         self.ends = [sorted(e) for e in ends]
+        # places that a state's suffix link has beyond its own: there only the link's string ends
+        self.more = [sorted(ends[self.link[v]] - ends[v]) if v else [] for v in range(len(self.next))]
+        # of a template's patterns the first that means it
+        self.telling = [next((re.compile(p) for x, word, p in TELLING if x == label and word in words), None)
+                        for label, words in self.templates]
         self.phrase_ends: list[list[tuple[int, int]]] = [[] for _ in self.next]
         for v in by_length:
             self.phrase_ends[v] = stop[v] + self.phrase_ends[self.link[v]]
@@ -107,6 +130,15 @@ class LicenceAutomaton(SuffixAutomaton):
         self.pairs = np.array(sorted({self.ids[a] * len(vocabulary) + self.ids[b]
                                       for s in strings for a, b in zip(s, s[1:], strict=False)}), np.int64)
 
+    def runs(self, v: int, length: int, least: int) -> Iterator[tuple[int, int, int]]:
+        """(template, end, length) of every place where the last ``least`` words
+        at least stand, given the state and the statistic."""
+        yield from ((t, to, length) for t, to in self.ends[v])
+        while v and self.length[self.link[v]] >= least:
+            n = self.length[self.link[v]]
+            yield from ((t, to, n) for t, to in self.more[v])
+            v = self.link[v]
+
     def word_ids(self, hashes: np.ndarray) -> np.ndarray:
         """Template word id of each word hash, -1 for other words."""
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -137,8 +169,10 @@ def _chain(matches: list[tuple[int, int, int]], size: int) -> tuple[int, int, in
     return best
 
 
-def scan_words(sam: LicenceAutomaton, ids: np.ndarray, min_match: int, max_gap: int, min_cover: float) -> dict:
-    """Base places and covered spans of one text's word ids."""
+def scan_words(sam: LicenceAutomaton, ids: np.ndarray, min_match: int, max_gap: int, min_cover: float,
+               text_of: Callable[[int, int], str]) -> dict:
+    """Base places and covered spans of one text's word ids; ``text_of`` gives
+    a range of its words at single spaces."""
     base: list[tuple[int, int]] = []
     by_template: dict[int, list[tuple[int, int, int]]] = {}
     joined = np.zeros(len(ids), bool)   # word i and i+1 stand together in some template
@@ -153,10 +187,11 @@ def scan_words(sam: LicenceAutomaton, ids: np.ndarray, min_match: int, max_gap:
             for size, phrase in sam.phrase_ends[v]:
                 if size <= length:
                     base.append((lo + k + 1 - size, phrase))
-            longest = k + 1 == len(steps) or steps[k + 1][1] <= length
-            if longest and length >= min_match:
-                for t, to in sam.ends[v]:
-                    by_template.setdefault(t, []).append((lo + k + 1 - length, lo + k + 1, to))
+            if length >= min_match:
+                after = int(ids[lo + k + 1]) if k + 1 < len(steps) else -1
+                for t, to, n in sam.runs(v, length, min_match):
+                    if to == len(sam.strings[t]) or sam.strings[t][to] != after:   # goes no further in this template
+                        by_template.setdefault(t, []).append((lo + k + 1 - n, lo + k + 1, to))
     spans, best = [], 0.0
     for t, matches in by_template.items():
         label, words = sam.templates[t]
@@ -167,7 +202,8 @@ def scan_words(sam: LicenceAutomaton, ids: np.ndarray, min_match: int, max_gap:
                 weight, start, end = _chain(block, len(words))
                 cover = weight / len(words)
                 best = max(best, cover)
-                if cover >= min_cover:
+                told = sam.telling[t]
+                if cover >= min_cover and (told is None or told.search(text_of(start, end + max_gap))):
                     spans.append({"label": label, "start": start, "end": end, "cover": cover})
                 block, reach = [], None
             if m is not None:
@@ -193,7 +229,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ids = sam.word_ids(words.hashes())
             rows = {n: [] for n in ("n_base", "first", "last", "base", "labels", "score", "spans")}
             for lo, hi in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
-                found = scan_words(sam, ids[lo:hi], min_match, max_gap, min_cover)
+                def text_of(a: int, b: int, lo: int = lo, hi: int = hi) -> str:
+                    b = min(lo + b, hi)
+                    return " ".join(words.data[words.start[lo + a]: words.end[b - 1]].tobytes().decode().split())
+
+                found = scan_words(sam, ids[lo:hi], min_match, max_gap, min_cover, text_of)
                 starts = [s for s, _ in found["base"]]
                 named = {sam.phrases[p][1] for _, p in found["base"]}
                 rows["n_base"].append(len(starts))

@@ -85,6 +85,35 @@ def test_licences(spark, edges, nothing):
     assert out[3]["labels"] == "mit" and out[3]["base_labels"] == ""
 
 
+def test_near_miss_licences(spark):
+    cases = [("under the terms of the GNU GPL", set()), ("under the terms of the GNU Free Documentation License", set()),
+             ("under the terms of the GNU Lesser General Public License", {"lgpl"}), ("under the terms of the GNU LGPL.", {"lgpl"}),
+             ("under the terms of the GNU Affero General Public License", {"agpl"}),
+             ("licensed under the Apache License, Version 1.1", set()), ("licensed under the Apache License, Version 2.0", {"apache-2.0"}),
+             ("Licensed under the Apache License 2.0", {"apache-2.0"}),
+             ("this work is licensed under the GNU General Public License version 2", set()),
+             ("this work is licensed under the GNU General Public License version 3", {"gpl-3.0"}),
+             ("this work is licensed under the GNU General Public License (GPL) v3", {"gpl-3.0"}),
+             ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+              "Public License as published by the Free Software Foundation", {"lgpl"}),
+             ("you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+              "http://www.osedu.org/licenses/ECL-2.0", set()),
+             ("you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+              "http://www.apache.org/licenses/LICENSE-2.0", {"apache-2.0"})]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    for r in rows_of(license_scan.license_scan(docs)):
+        assert {s["label"] for s in r["spans"]} == cases[r["doc_id"]][1], cases[r["doc_id"]]
+
+
+def test_a_run_counts_in_every_template_it_stops_in(spark):
+    templates = [("one", "a b c d e f"), ("two", "b c d e x y"), ("three", "b c d e")]
+    docs = spark.createDataFrame([(0, "a b c d e f"), (1, "q b c d e x y"), (2, "a b c d e x")], "doc_id long, text string")
+    out = {r["doc_id"]: {(s["label"], s["start"], s["end"], round(s["cover"] * 6)) for s in r["spans"]}
+           for r in rows_of(license_scan.license_scan(docs, templates=templates))}
+    assert out == {0: {("one", 0, 6, 6), ("two", 1, 5, 4), ("three", 1, 5, 6)}, 1: {("two", 1, 7, 6), ("three", 1, 5, 6), ("one", 1, 5, 4)},
+                   2: {("one", 0, 5, 5), ("two", 1, 6, 5), ("three", 1, 5, 6)}}
+
+
 def test_chain_takes_the_heaviest_order():
     # 5 then 6 in order weigh more than the longer match that goes back in the template
     assert license_scan._chain([(0, 5, 5), (7, 13, 12), (14, 21, 8)], 30) == (11, 0, 13)
