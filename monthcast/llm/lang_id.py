@@ -1,9 +1,10 @@
 """Language ID (operator 5): word-first backoff.
 
 Fit: words of labelled texts are counted per language by Spark; a word seen
-at least ``min_count`` times is kept (the ``max_words`` most frequent), and
-character n-grams of 4, 3, 2 and 1 letters (with a mark at either end of a
-word) are counted over the same words. Fit is made on a bounded sample of
+at least ``min_count`` times is kept (the ``max_words`` most frequent of those
+of ``max_letters`` letters at most), and character n-grams of 4, 3, 2 and 1
+letters (with a mark at either end of a word) are counted over all words,
+however long: where words aren't set apart, a clause is one. Fit is made on a bounded sample of
 about ``max_docs`` labelled texts a language, by hash of the id. The model is
 a bounded table: ``max_words + max_grams`` rows, so it may be sent to tasks.
 
@@ -84,7 +85,8 @@ class Model:
 
 
 def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str = "text", max_docs: int = 4000,
-        max_words: int = 60_000, max_grams: int = 60_000, min_count: int = 2, max_languages: int = 1000) -> Model:
+        max_words: int = 60_000, max_grams: int = 60_000, min_count: int = 2, max_languages: int = 1000,
+        max_letters: int = 40) -> Model:
     """Counts of the labelled rows (``label`` not null). The sample bound
     ``max_docs`` is per language; a further language than ``max_languages`` is
     an error, not a silent cut."""
@@ -99,18 +101,18 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     taken = rows.where(F.pmod(F.xxhash64(F.col("id")), F.lit(1 << 20)) < share[F.col("label")])
     words = (taken.select("label", F.explode(_letters_words(F.col("text"))).alias("word"))
              .groupBy("word", "label").agg(F.count("*").alias("n")))
-    words = words.where(F.length("word") <= 40)
     words = words.persist()
-    kept = (words.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= min_count)
+    kept = (words.where(F.length("word") <= max_letters).groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= min_count)
             .orderBy(F.desc("all"), "word").limit(max_words).select("word"))
     known = [(r.word, r.label, r.n) for r in words.join(kept, "word").collect()]
-    marked = F.concat(F.lit("\u0002"), F.col("word"), F.lit("\u0003"))
+    # letters as an array: substrings of a long word would cost the square of its length
+    marked = words.select("label", "n", F.split(F.concat(F.lit("\u0002"), F.col("word"), F.lit("\u0003")), "").alias("marked"))
     grams = []
     for size in GRAM_SIZES:
-        here = (words.where(F.length(marked) >= size)
+        here = (marked.where(F.size("marked") >= size)
                 .select("label", "n", F.explode(F.transform(
-                    F.sequence(F.lit(1), F.length(marked) - size + 1),
-                    lambda i: marked.substr(i, F.lit(size)))).alias("gram"))
+                    F.sequence(F.lit(0), F.size("marked") - size),
+                    lambda i: F.concat(*[F.get("marked", i + j) for j in range(size)]))).alias("gram"))
                 .groupBy("gram", "label").agg(F.sum("n").alias("n")))
         top = (here.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") >= min_count)
                .orderBy(F.desc("all"), "gram").limit(max_grams // len(GRAM_SIZES)).select("gram"))

@@ -139,6 +139,22 @@ def test_language_id(spark, edges, nothing):
     assert {r["lang_pred"] for r in rows_of(lang_id.predict(edges, empty))} == {"und"}
 
 
+def test_long_runs_of_letters_teach_n_grams(spark):
+    rng = random.Random(4)
+    clause = lambda letters: "".join(rng.choice(letters) for _ in range(60))
+    rows = [(i, clause("天地玄黃宇宙洪荒𠀀"), "aa") for i in range(20)] + [(100 + i, clause("いろはにほへとちりぬ"), "bb") for i in range(20)]
+    docs = spark.createDataFrame(rows + [(200, "𠀀é" * 100_000, "aa")], "doc_id long, text string, lang string")
+    model = lang_id.fit(docs, mixing.F.col("lang"))
+    want = defaultdict(int)
+    for _, t, lang in rows + [(200, "𠀀é" * 100_000, "aa")]:
+        marked = f"\u0002{t}\u0003"
+        for k in range(len(marked) - 1):
+            want[marked[k: k + 2]] += 1
+    assert set(model.grams[2]) == {g for g, n in want.items() if n >= 2} and not model.words
+    new = spark.createDataFrame([(1, clause("天地玄黃宇宙洪荒"), "aa"), (2, clause("いろはにほへと"), "bb")], docs.schema)
+    assert {r["doc_id"]: r["lang_pred"] for r in rows_of(lang_id.predict(new, model))} == {1: "aa", 2: "bb"}
+
+
 def test_unseen_words_back_off():
     model = lang_id.Model(["a", "b"], [("known", "a", 5)], [((4, "\u0002xyz"), "a", 9), ((1, "q"), "b", 9), ((2, "qq"), "b", 3)])
     assert model.score_unseen("xyz")[0] > model.score_unseen("xyz")[1]
