@@ -15,8 +15,10 @@ LEAST_SCORE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: texts without letters, or in none of the languages with a
-    posterior of ``LEAST_SCORE`` at least, go. A null text goes."""
+    """Operator 5: null texts, texts without letters, and texts between
+    languages (the best one's posterior is under ``LEAST_SCORE``) go. The
+    posterior is over the learned languages alone, so a text in another
+    language or of letter junk is not told from them and mostly stays."""
     learn = F.when(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull(), F.col("lang"))
     return lang_id.in_known_language(docs, lang_id.fit(docs, learn), LEAST_SCORE)
 
