@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, fingerprint, lang_id, license_scan, mixing, ngram_join, secret_scan,
-               substring_dedup, token_output, warc)
+from . import (decontaminate, fingerprint, importance, lang_id, license_scan, mixing, nearest, ngram_join, secret_scan,
+               spelling, substring_dedup, token_output, warc)
 from .common import documents
 from .oracle import ORACLES
 
@@ -77,6 +77,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.ranked(documents(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(documents(spark, sf_dir), thin_by=31, least_length=7, least_count=2)
+    return spelling.variant_groups(words)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -85,7 +99,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_warc, op3_token_output, op4_decontamination, op5_language_id, op6_fingerprint,
-        op7_substring_dedup, op8_secret_scan, op9_ngram_join, op10_mixing, pipeline)}
+        op7_substring_dedup, op8_secret_scan, op9_ngram_join, op10_mixing, op11_importance_resampling,
+        op12_spelling_variants, op13_nearest_neighbours, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
