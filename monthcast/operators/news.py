@@ -105,19 +105,6 @@ def monthly_article_stats(clean: DataFrame, keywords: Sequence[str] = DEFAULT_KE
                    for k in keywords]))
 
 
-def monthly_sentiment(clean: DataFrame, lexicon: DataFrame, id_col: str = "__row_id",
-                      **rules) -> DataFrame:
-    """Per month: sum of compound scores and number of negative articles,
-    over articles with at least one lexicon hit (the others score 0.0)."""
-    src = clean if id_col in clean.columns else clean.withColumn(id_col, article_id())
-    src = src.where(F.col("month").isNotNull())
-    per_text = S.text_sentiment(src, "clean_text", id_col, lexicon, carry=["month"], **rules)
-    return per_text.groupBy("month").agg(
-        # exact: scores carry 4 decimals, so a DECIMAL sum is order-independent
-        F.sum(F.col("sentiment").cast("decimal(38,4)")).cast("double").alias("sentiment_sum"),
-        F.sum((F.col("sentiment") < 0).cast("long")).alias("negative_count"))
-
-
 def monthly_news_features(clean: DataFrame, lexicon: DataFrame,
                           keywords: Sequence[str] = DEFAULT_KEYWORDS, id_col: str = "__row_id",
                           approx_sources: bool = False, **rules) -> DataFrame:

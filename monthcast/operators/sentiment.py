@@ -12,14 +12,16 @@ capitals, punctuation or emoticons):
 * per text the sum ``s`` is normalised to ``s / sqrt(s^2 + 15)``, clipped to
   [-1, 1] and rounded to 4 decimals; texts without hits score 0.0.
 
-Plan shape: each text is split once, the contrast word's place is found once
-per text, and the tokens are position-exploded (narrow). Tokens join the
-lexicon; only hits plus one anchor token per text go on, whose three
-predecessors join its word list. All four joins are equi-joins whose strategy
-Spark chooses by the lexicon's size (broadcast as a rule; a large lexicon
-joins by shuffle, hot tokens split). Partial aggregation collapses each text to
-one row before the shuffle, so no long text is shuffled and no per-row Python
-runs.
+Plan shape: each text is split once and every token is looked up in the word
+list before anything is exploded (the lexicon's words are a hash set in the
+expression, so a lookup costs the same for any lexicon size). Only hits leave
+the row, each with its three predecessors and whether those are lexicon words;
+their valences come from a broadcast of the lexicon. A partial aggregate makes
+one row per text before the only shuffle, which is by text. No token is
+shuffled, whatever kind of frame the lexicon is.
+
+The lexicon's words reach the driver, so its size is checked: more than
+``MAX_LEXICON`` rows are an error, never a cut or another plan.
 """
 
 from __future__ import annotations
@@ -50,25 +52,43 @@ DEFAULT_BOOSTERS_UP = ["very", "extremely", "highly", "sharply", "significantly"
 DEFAULT_BOOSTERS_DOWN = ["slightly", "somewhat", "barely", "less", "least", "marginally"]
 DEFAULT_NEGATORS = ["not", "no", "never", "none", "nothing", "neither", "nor", "without",
                     "cannot", "isn", "aren", "wasn", "don", "doesn", "didn", "won"]
+#: Rows of a lexicon, at most.
+MAX_LEXICON = 50_000
+
 
 def lexicon_frame(spark, entries: Sequence[tuple[str, float]] = DEFAULT_LEXICON) -> DataFrame:
     return spark.createDataFrame(list(entries), "token string, valence double")
 
 
-def tokens(df: DataFrame, text_col: str, id_col: str, contrast_word: str = DEFAULT_CONTRAST_WORD,
-           carry: Sequence[str] = ()) -> DataFrame:
-    """One row per token: (id, carry..., contrast_pos, pos, tok, p1, p2, p3).
+def lexicon_words(lexicon: DataFrame) -> list[str]:
+    """The distinct words of a lexicon of at most ``MAX_LEXICON`` rows."""
+    rows = lexicon.select("token").limit(MAX_LEXICON + 1).collect()
+    if len(rows) > MAX_LEXICON:
+        raise ValueError(f"the lexicon has more than {MAX_LEXICON} rows")
+    return sorted({r.token for r in rows if r.token is not None})
+
+
+def lexicon_hits(df: DataFrame, text_col: str, id_col: str, words: Sequence[str],
+                 contrast_word: str = DEFAULT_CONTRAST_WORD, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per token that is a lexicon word, and one with nulls for a text
+    without any: (id, carry..., contrast_pos, pos, tok, p1..p3, p1_in_lex..p3_in_lex).
 
-    ``pos``/``contrast_pos`` are 0-based (-1: no contrast word). The contrast
-    word is searched in a projection below the explode, once per text.
+    ``pos``/``contrast_pos`` are 0-based (-1: no contrast word).
     """
     staged = df.select(F.col(id_col), *carry, F.split(F.col(text_col), " ").alias("__tok"))
-    toks = F.col("__tok")
-    staged = staged.withColumn("contrast_pos", (F.array_position(toks, contrast_word) - 1).cast("int"))
-    exploded = staged.select(F.col(id_col), *carry, "__tok", "contrast_pos", F.posexplode_outer(toks).alias("pos", "tok"))
-    pos = F.col("pos")
-    return exploded.select(id_col, *carry, "contrast_pos", "pos", "tok",
-                           *[F.when(pos >= k, F.get(toks, pos - k)).alias(f"p{k}") for k in (1, 2, 3)])
+    staged = staged.withColumn("__in", F.transform("__tok", lambda t: t.isin(list(words)) if words else F.lit(False)))
+    found = F.filter(F.transform("__in", lambda hit, i: F.when(hit, i)), lambda i: i.isNotNull())
+
+    def with_previous(i: Column) -> Column:
+        # places before the first token are null, and so are their words
+        before = [(k, F.when(i >= k, i - k)) for k in (1, 2, 3)]
+        return F.struct(i.alias("pos"), F.get("__tok", i).alias("tok"), *[F.get("__tok", at).alias(f"p{k}") for k, at in before],
+                        *[F.coalesce(F.get("__in", at), F.lit(False)).alias(f"p{k}_in_lex") for k, at in before])
+
+    staged = staged.select(F.col(id_col), *carry, (F.array_position("__tok", contrast_word) - 1).cast("int").alias("contrast_pos"),
+                           F.transform(found, with_previous).alias("__hits"))
+    return (staged.select(id_col, *carry, "contrast_pos", F.explode_outer("__hits").alias("__hit"))
+            .select(id_col, *carry, "contrast_pos", "__hit.*"))
 
 
 def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],
@@ -94,16 +114,10 @@ def _adjusted_valence(boosters_up: Iterable[str], boosters_down: Iterable[str],
 def _scored_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame, carry: Sequence[str],
                  boosters_up, boosters_down, negators, contrast_word) -> DataFrame:
     """(id, carry..., pos, score); texts without hits give one NULL-score row."""
-    lex = lexicon.select(F.col("token").alias("__lex"), "valence")
-    t = tokens(df, text_col, id_col, contrast_word, carry)
-    # hits, and the first token of every text as an anchor (its valence may be null)
-    t = t.join(lex, F.col("tok") == F.col("__lex"), "left").where(F.col("valence").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
-    vocab = lexicon.select("token").distinct()
-    for k in (1, 2, 3):
-        known = vocab.select(F.col("token").alias(f"p{k}_w"), F.lit(True).alias(f"p{k}_in_lex"))
-        t = t.join(known, F.col(f"p{k}") == F.col(f"p{k}_w"), "left").drop(f"p{k}_w")
-    t = t.withColumns({f"p{k}_in_lex": F.coalesce(F.col(f"p{k}_in_lex"), F.lit(False)) for k in (1, 2, 3)})
-    return t.select(id_col, *carry, "pos", _adjusted_valence(boosters_up, boosters_down, negators).alias("score"))
+    hits = lexicon_hits(df, text_col, id_col, lexicon_words(lexicon), contrast_word, carry)
+    lex = F.broadcast(lexicon.select(F.col("token").alias("__lex"), "valence"))      # checked by lexicon_words
+    hits = hits.join(lex, F.col("tok") == F.col("__lex"), "left")
+    return hits.select(id_col, *carry, "pos", _adjusted_valence(boosters_up, boosters_down, negators).alias("score"))
 
 
 def valence_hits(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,

@@ -10,20 +10,20 @@ LEX = {"good": 1.9, "bad": -2.5, "surge": 1.9, "no": -1.2}
 UP, DOWN, NEG = ["very"], ["slightly"], ["not", "never"]
 
 
-def brute(text):
+def brute(text, lex=LEX):
     toks = text.split(" ") if text else [""]
     contrast = toks.index("but") if "but" in toks else -1
     total, hits = 0.0, 0
     for i, t in enumerate(toks):
-        if t not in LEX:
+        if t not in lex:
             continue
         hits += 1
-        v = LEX[t]
+        v = lex[t]
         for k in (1, 2, 3):
             if i - k < 0:
                 continue
             p = toks[i - k]
-            if p in LEX:
+            if p in lex:
                 continue
             b = BOOSTER_INCREMENT if p in UP else (-BOOSTER_INCREMENT if p in DOWN else 0.0)
             b = (-b if v < 0 else b) * BOOSTER_DAMPING[k - 1]
@@ -60,3 +60,40 @@ def test_no_hits_score_zero(spark):
     df = spark.createDataFrame([(1, "nothing to see")], "id long, t string")
     out = S.score_texts(df, "t", "id", S.lexicon_frame(spark))
     assert out.first()["sentiment"] == 0.0
+
+
+def test_null_texts_repeated_words_and_large_lexicons(spark):
+    """Null and empty texts score 0.0; a lexicon word given twice counts twice
+    as a hit of each row, as in a join; thousands of words change nothing."""
+    df = spark.createDataFrame([(0, None), (1, ""), (2, "good"), (3, "w17 very w17 good")], "id long, t string")
+    plain = spark.createDataFrame(list(LEX.items()), "token string, valence double")
+    many = plain.unionByName(spark.createDataFrame([(f"w{i}", 0.0) for i in range(6000)] + [(None, 1.0)], "token string, valence double"))
+    rules = dict(boosters_up=UP, boosters_down=DOWN, negators=NEG)
+    got = {r.id: r.sentiment for r in S.score_all(df, "t", "id", many, **rules).collect()}
+    assert got[0] == got[1] == 0.0 and got[2] == brute("good")
+    # lexicon words among the predecessors neither boost nor negate
+    assert got[3] == pytest.approx(brute("w17 very w17 good", LEX | {"w17": 0.0}), abs=1e-4)
+    twice = S.score_all(df, "t", "id", plain.unionByName(plain), **rules).where("id = 2").first().sentiment
+    assert twice == round(3.8 / math.sqrt(3.8 ** 2 + COMPOUND_ALPHA), 4)
+    assert S.score_all(df, "t", "id", plain.limit(0), **rules).where("sentiment = 0").count() == 4
+
+
+def test_too_large_a_lexicon_is_an_error(spark):
+    df = spark.createDataFrame([(0, "good")], "id long, t string")
+    big = spark.range(S.MAX_LEXICON + 1).selectExpr("cast(id as string) token", "1.0D valence")
+    with pytest.raises(ValueError, match="lexicon"):
+        S.score_all(df, "t", "id", big)
+
+
+def test_no_token_is_shuffled(spark):
+    """Also with an in-memory lexicon the only exchange is that of the final
+    aggregate, by text, and joins are broadcast."""
+    df = spark.range(1000).selectExpr("id", "concat('good very bad ', id) t")
+    for lex in (S.lexicon_frame(spark), spark.range(30000).selectExpr("cast(id as string) token", "1.0D valence")):
+        out = S.score_all(df, "t", "id", lex)
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("== Final Plan =="): plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+        exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        assert len(exchanges) <= 1 and all("hashpartitioning(id#" in x for x in exchanges), plan
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(tok" not in plan and "Generate" in plan
