@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..session import scratch_path
-from ..sinks.tables import VersionedTable
+from ..sinks.tables import PartitionedUpsertTable
 from .. import schemas
 from ..sources import payloads as P
-from ..streaming.news_stream import file_stream, stream_payload_upsert, stream_upsert, stream_window_counts
+from ..streaming.news_stream import (file_stream, stream_first_seen, stream_payload_upsert, stream_period_counts,
+                                     stream_upsert)
 from . import oracle_sql as Q
 from . import standins as SI
 from .catalog import register
@@ -61,7 +62,6 @@ def q_stream_news_upsert(spark, sf):
     with a keyed upsert into a month-partitioned table (each batch rewrites
     only the months it touches)."""
     from ..functions.dates import parse_timestamps
-    from ..sinks.tables import PartitionedUpsertTable
     raw = SI.raw_news(spark, sf)
     landing = scratch_path(spark, "news-landing")
     raw.repartitionByRange(4, "seen_date").write.parquet(landing)
@@ -79,20 +79,17 @@ SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1
 FROM events GROUP BY ALL
 """)
 def q_stream_window_counts(spark, sf):
-    """Daily event counts per type from a file stream (update mode, merged
-    per touched window). The watermark spans the landed month so no file
-    order can make rows late."""
+    """Daily event counts per type from a file stream; each micro-batch adds
+    to the months it touches, in whatever order the files come."""
     ev = SI.table(spark, sf, "events")
     landing = scratch_path(spark, "events-landing")
-    ev.repartitionByRange(4, "ts").write.parquet(landing)
+    ev.repartition(4, "event_id").write.parquet(landing)
     root = scratch_path(spark, "event-counts")
-    table = stream_window_counts(file_stream(spark, landing, ev.schema), "ts", ["event_type"], "value", root,
-                                 checkpoint=scratch_path(spark, "events-ckpt"), window="1 day",
-                                 watermark="31 days", query_name="event_counts")
-    out = table.read()
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-                      "event_type", "n", F.round("total", 6).alias("total"))
+    table = stream_period_counts(file_stream(spark, landing, ev.schema), "ts", ["event_type"], "value", root,
+                                 checkpoint=scratch_path(spark, "events-ckpt"), query_name="event_counts")
+    start = F.col("window_start").cast("timestamp_ntz")
+    return table.read().select(start.alias("window_start"), (start + F.expr("INTERVAL 1 DAY")).alias("window_end"),
+                               "event_type", "n", F.round("total", 6).alias("total"))
 
 
 @register("stream_payload_upsert", """
@@ -110,8 +107,8 @@ def q_stream_payload_upsert(spark, sf):
     root = scratch_path(spark, "payload-table")
     stream_payload_upsert(spark, landing, schemas.GDELT_PAYLOAD, P.flatten_gdelt, root,
                           checkpoint=scratch_path(spark, "payload-ckpt"), seq_cols=["seen_date", "title"],
-                          query_name="gdelt_payload_upsert")
-    return VersionedTable(spark, root).read().select("url", "title", "source", "seen_date", "social_image")
+                          part_value=F.substring("seen_date", 1, 6), query_name="gdelt_payload_upsert")
+    return PartitionedUpsertTable(spark, root, ["url"], "load_month").read().select("url", "title", "source", "seen_date", "social_image")
 
 
 @register("stream_monthly_counts", f"""
@@ -132,7 +129,49 @@ def q_stream_monthly_counts(spark, sf):
     stream = file_stream(spark, landing, raw.schema).select(
         parse_timestamps("seen_date").alias("published_at"), "language",
         F.length("title").cast("long").alias("title_len"))
-    table = stream_window_counts(stream, "published_at", ["language"], "title_len",
+    table = stream_period_counts(stream, "published_at", ["language"], "title_len",
                                  scratch_path(spark, "monthly-counts"), checkpoint=scratch_path(spark, "monthly-ckpt"),
-                                 window="month", query_name="monthly_counts")
-    return table.read().select("window_start", "window_end", "language", "n", "total")
+                                 period="month", query_name="monthly_counts")
+    start = F.col("window_start").cast("date")
+    return table.read().select(start.alias("window_start"), F.add_months(start, 1).alias("window_end"), "language", "n", "total")
+
+
+@register("stream_distinct_sources", f"""
+WITH {Q.RAW_NEWS}
+SELECT CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) AS DATE) AS month,
+       COUNT(*) AS n, COUNT(DISTINCT source) AS sources
+FROM raw_news GROUP BY 1
+""")
+def q_stream_distinct_sources(spark, sf):
+    """Distinct sources per month from sketches that each micro-batch adds
+    to (exact for few values, within 2 % for many)."""
+    from ..functions.dates import parse_timestamps
+    raw = SI.raw_news(spark, sf)
+    landing = scratch_path(spark, "sources-landing")
+    raw.select("seen_date", "source").repartition(3, "seen_date", "source").write.parquet(landing)
+    stream = file_stream(spark, landing, raw.select("seen_date", "source").schema).select(
+        parse_timestamps("seen_date").alias("published_at"), "source", F.lit(1).cast("long").alias("one"))
+    table = stream_period_counts(stream, "published_at", [], "one", scratch_path(spark, "source-sketches"),
+                                 checkpoint=scratch_path(spark, "sources-ckpt"), period="month", distinct_col="source",
+                                 query_name="distinct_sources")
+    return table.read().select(F.col("window_start").cast("date").alias("month"), "n", F.hll_sketch_estimate("sketch").alias("sources"))
+
+
+@register("stream_first_seen", f"""
+WITH {Q.RAW_NEWS}
+SELECT DISTINCT title, url, try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ') AS published_at FROM raw_news
+""")
+def q_stream_first_seen(spark, sf):
+    """Raw news landed in time order, every article in two copies, appended
+    once each: the batch de-duplication as a stream over watermark state."""
+    from ..functions.dates import parse_timestamps
+    raw = SI.raw_news(spark, sf).fillna("", subset=["title", "source", "language"])
+    landing = scratch_path(spark, "first-seen-landing")
+    raw.unionByName(raw).repartitionByRange(4, "seen_date").write.parquet(landing)
+    stream = file_stream(spark, landing, raw.schema).withColumn("published_at", parse_timestamps("seen_date"))
+    out = scratch_path(spark, "first-seen")
+    # files are listed in no order of their rows' times: the delay spans the landed years
+    late = stream_first_seen(stream, ["title", "url", "published_at"], "published_at", "3650 days", out, scratch_path(spark, "first-seen-ckpt"))
+    if late:
+        raise RuntimeError(f"{late} rows came later than the watermark")
+    return spark.read.parquet(out).select("title", "url", F.col("published_at").cast("timestamp_ntz").alias("published_at"))

@@ -239,19 +239,25 @@ def q_upsert_merge(spark, sf):
                                                                         "source")
 
 
-@register("upsert_partitioned_merge", f"WITH {UPSERT_SQL}\nSELECT url, doc_id, seen_date, language, source FROM merged")
+@register("upsert_partitioned_merge", f"""
+WITH {UPSERT_SQL}
+SELECT url, doc_id, seen_date, language, source,
+       CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '' ELSE substr(seen_date, 1, 7) END AS load_month
+FROM merged
+""")
 def q_upsert_partitioned_merge(spark, sf):
     """The same two loads as ``upsert_merge`` into a month-partitioned table
-    that rewrites only the partitions each batch touches."""
-    from ..functions.dates import parse_timestamps
+    that rewrites only the partitions each batch touches. Some rows have no
+    month and some an empty one, and updated rows move between all three."""
     from ..session import scratch_path
     from ..sinks.tables import PartitionedUpsertTable
     raw = SI.raw_news(spark, sf)
-    table = PartitionedUpsertTable(spark, scratch_path(spark, "raw-news-partitioned"), ["url"], "month")
-    month = F.date_format(parse_timestamps("seen_date"), "yyyy-MM")
+    table = PartitionedUpsertTable(spark, scratch_path(spark, "raw-news-partitioned"), ["url"], "load_month")
+    month = (F.when(F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("doc_id") % 11 == 0, "")
+             .otherwise(F.substring("seen_date", 1, 7)))
     table.upsert(raw.where(F.col("seen_date") < TARGET_CUT), "initial", month, seq_col=SEQ)
     table.upsert(raw.where(F.col("seen_date") >= BATCH_FROM), "batch-1", month, seq_col=SEQ)
-    return table.read().select("url", "doc_id", "seen_date", "language", "source")
+    return table.read().select("url", "doc_id", "seen_date", "language", "source", "load_month")
 
 
 @register("upsert_change_counts", f"""

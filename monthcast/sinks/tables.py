@@ -1,18 +1,17 @@
-"""Sinks: replace, versioned upsert table, CSV / JSON exports.
+"""Sinks: replace, partition-rewriting upsert and count tables, CSV / JSON exports.
 
-A versioned table is a directory of immutable Parquet snapshots plus a small
-manifest table (version, batch_id, path). Each upsert writes a *new* snapshot
-(never overwriting the path it reads), then appends one manifest row: a
-crash in between leaves an orphan directory that readers ignore, and a
-re-applied batch id is skipped, so retries cannot double count.
+The keyed tables are plain Parquet, partitioned by one column. A batch
+rewrites the partitions that it touches: the new rows of those partitions are
+written to a staging folder beside the table, then take their place by Spark's
+dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -22,7 +21,7 @@ from ..operators import upsert as U
 
 def replace(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Full replace. Never call with ``path`` feeding ``df``; use a
-    versioned table for read-modify-write."""
+    keyed table for read-modify-write."""
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -51,172 +50,168 @@ def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | No
         raise
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.manifest_path = f"{self.root}/_manifest"
+class PartitionedTable:
+    """Parquet partitioned by ``part_col``, rewritten partition by partition.
 
-    def _manifest(self) -> DataFrame | None:
-        return read_if_there(self.spark, self.manifest_path)
+    Partitions are folders named by a string made of the partition value, in
+    which NULL, the empty string and any other value stay apart; the value
+    itself is stored with the rows and keeps its type. Every rewritten
+    partition also gets one marked row that readers pass over, so a partition
+    whose last row has moved away is overwritten too.
 
-    def head(self):
-        m = self._manifest()
-        if m is None:
-            return None
-        return m.orderBy(F.col("version").desc()).select("version", "path").first()
-
-    def applied(self, batch_id: str) -> bool:
-        m = self._manifest()
-        return m is not None and m.where(F.col("batch_id") == batch_id).limit(1).count() > 0
-
-    def read(self) -> DataFrame | None:
-        h = self.head()
-        if h is None:
-            return None
-        df = self.spark.read.parquet(h["path"])
-        return df.drop("__change") if "__change" in df.columns else df
-
-    def commit(self, df: DataFrame, batch_id: str) -> str:
-        h = self.head()
-        version = 1 if h is None else h["version"] + 1
-        # unique per attempt: a retry after a crash between the snapshot write
-        # and the manifest append writes a fresh directory (the orphan is ignored)
-        path = f"{self.root}/v{version:08d}-{uuid.uuid4().hex[:12]}"
-        df.write.mode("errorifexists").parquet(path)
-        row = self.spark.createDataFrame([(version, str(batch_id), path)], "version long, batch_id string, path string")
-        row.coalesce(1).write.mode("append").parquet(self.manifest_path)
-        return path
-
-    def upsert(self, batch: DataFrame, keys: Sequence[str], batch_id: str,
-               seq_col: str | None = None, newer_by=None) -> dict:
-        """Merge ``batch`` by ``keys``; returns the change counts."""
-        if self.applied(batch_id):
-            return {"skipped": True, "changed": 0}
-        current = self.read()
-        if current is None:
-            incoming = U.dedup_keep_last(batch, keys, seq_col) if seq_col else batch
-            tagged = incoming.withColumn("__change", F.lit(U.INSERTED))
-        else:
-            tagged = U.merge_with_changes(current, batch, keys, seq_col, newer_by=newer_by)
-        # write once (the change tag travels with the snapshot), then count
-        # from the written files: nothing large is cached on executors
-        path = self.commit(tagged, batch_id)
-        counts = U.change_counts(self.spark.read.parquet(path).select("__change")).first().asDict()
-        counts["skipped"] = False
-        return counts
-
-
-class PartitionedUpsertTable:
-    """Keyed upsert that rewrites only the partitions a batch touches.
-
-    The table is Parquet partitioned by ``part_col`` (e.g. the month of the
-    article). A key's partition is fixed when the key is first stored: an
-    update lands in the partition where the key already lives, so a rewrite
-    never has to remove a key from another partition and no partition ever
-    becomes empty. Per batch:
-
-    1. the batch is de-duplicated last-wins;
-    2. existing keys and their partitions are found with a semi-join that
-       reads only the key and partition columns;
-    3. the touched partitions (calendar-sized, broadcast) select the target
-       rows to merge, so only those partitions are scanned;
-    4. the merged rows are written to a fresh staging folder, then swapped in
-       with ``partitionOverwriteMode=dynamic`` (only touched partitions are
-       replaced); the batch id is recorded last.
-
-    The partition column is read back by its declared type, never inferred
-    ("01" stays "01"). The swap is replayable: the staging folder is recorded
-    as pending before it, and an interrupted swap is finished from there before
-    anything else is read. After each write the keys of the rewritten
-    partitions are checked to be unique. Single writer per table.
+    ``rewrite`` is safe to repeat: a batch whose staging is complete is swapped in
+    from there, as after a failure between the two steps. A batch that failed
+    has to be repeated before the next one (a restarted stream does so).
+    Single writer per table.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], part_col: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = list(keys)
-        self.part_col = part_col
-        self.applied_path = f"{self.path}_applied_batches"
-
-    def _table(self, path: str) -> DataFrame | None:
-        """Partition values by the type they were written with (kept with the
-        batch log), for Spark would infer another from the folder names."""
-        kind = self._log()
-        kind = None if kind is None else kind.select("part_type").first()
-        found = read_if_there(self.spark, path)
-        if found is None or kind is None:
-            return found
-        fields = [f if f.name != self.part_col else T.StructField(self.part_col, T.DataType.fromDDL(kind[0])) for f in found.schema]
-        return read_if_there(self.spark, path, T.StructType(fields))
-
-    def _log(self) -> DataFrame | None:
-        return read_if_there(self.spark, self.applied_path, "batch_id string, state string, staging string, part_type string")
+        self.spark, self.path, self.keys, self.part_col = spark, path.rstrip("/"), list(keys), part_col
+        self.folder, self.staging, self.batch_path = f"{part_col}_part", f"{self.path}_staging", f"{self.path}_batch"
+
+    def folder_of(self, value: Column) -> Column:
+        text = value.cast("string")
+        return (F.when(text.isNull(), "~null").when(text == "", "~empty")
+                .when(text.startswith("~"), F.concat(F.lit("~"), text)).otherwise(text))
+
+    def _stored(self, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+        """Rows with their folder as a string, whatever its values look like."""
+        if schema is None:
+            found = read_if_there(self.spark, path)
+            if found is None:
+                return None
+            schema = found.schema
+        return read_if_there(self.spark, path, T.StructType([f for f in schema.fields if f.name != self.folder]
+                                                            + [T.StructField(self.folder, T.StringType())]))
+
+    def _complete(self, path: str) -> bool:
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
+
+    def _staged(self) -> DataFrame | None:
+        return self._stored(self.staging) if self._complete(self.staging) else None
+
+    def stored(self) -> DataFrame | None:
+        """All stored rows with folders; the last staging has all columns that
+        the table has got by now."""
+        staged = self._staged()
+        schema = None if staged is None else T.StructType([f for f in staged.schema if f.name not in ("__batch", "__change")])
+        return self._stored(self.path, schema)
 
     def read(self) -> DataFrame | None:
-        return self._table(self.path)
-
-    def applied(self, batch_id: str) -> bool:
-        log = self._log()
-        return log is not None and log.where((F.col("batch_id") == batch_id) & (F.col("state") == "done")).limit(1).count() > 0
-
-    def _record(self, batch_id: str, state: str, staging: str, part_type: str) -> None:
-        row = [(str(batch_id), state, staging, part_type)]
-        (self.spark.createDataFrame(row, "batch_id string, state string, staging string, part_type string").coalesce(1)
-         .write.mode("append").parquet(self.applied_path))
-
-    def _swap(self, batch_id: str, staging: str, part_type: str) -> None:
-        """Replace the staged partitions. Doing it again gives the same table."""
-        staged = self._table(staging)
-        if "__change" in staged.columns:
-            staged = staged.drop("__change")
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.part_col).parquet(self.path))
-        touched = staged.select(self.part_col).distinct()
-        twice = self.read().join(touched, self.part_col, "left_semi").groupBy(*self.keys).count().where("count > 1").limit(1).count()
-        if twice:
-            raise RuntimeError(f"{self.path}: keys are not unique after batch {batch_id}")
-        self._record(batch_id, "done", staging, part_type)
-
-    def finish_pending(self) -> None:
-        """Finish a swap that was recorded but not completed."""
-        log = self._log()
-        if log is None:
-            return
-        done = log.where("state = 'done'").select("batch_id", "staging")
-        for r in log.where("state = 'pending'").join(done, ["batch_id", "staging"], "left_anti").collect():
-            self._swap(r.batch_id, r.staging, r.part_type)
-
-    def upsert(self, batch: DataFrame, batch_id: str, part_value, seq_col=None, newer_by=None) -> dict:
-        """``part_value``: Column giving a *new* key's partition from the batch row.
-        ``newer_by``: a row of the table that is later by these columns stays."""
-        from ..session import scratch_path
-        self.finish_pending()
-        if self.applied(batch_id):
+        rows = self.stored()
+        return None if rows is None else rows.where(~F.col("__gone")).drop("__gone", self.folder)
+
+    def staged_batch(self) -> str | None:
+        """The batch whose staging is complete."""
+        staged = self._staged()
+        row = None if staged is None else staged.select("__batch").first()
+        return None if row is None else row[0]
+
+    def rows_of(self, touched: DataFrame) -> DataFrame:
+        """The stored rows in the ``touched`` folders; only those are scanned."""
+        return self.stored().where(~F.col("__gone")).join(touched, self.folder, "left_semi").drop("__gone", self.folder)
+
+    def rewrite(self, touched: DataFrame, rows: DataFrame, batch_id: str) -> None:
+        """Put ``rows`` (all rows of the ``touched`` folders) in place."""
+        marks = touched.select(self.folder, F.lit(True).alias("__gone"))
+        (rows.withColumn(self.folder, self.folder_of(F.col(self.part_col))).withColumn("__gone", F.lit(False))
+         .unionByName(marks, allowMissingColumns=True).withColumn("__batch", F.lit(str(batch_id)))
+         .write.mode("overwrite").partitionBy(self.folder).parquet(self.staging))
+        self.swap()
+
+    def swap(self) -> None:
+        """Replace the staged folders. Doing it again gives the same table.
+        The rows that arrive are counted, and their keys must be unique."""
+        staged = self._staged()
+        (staged.drop("__batch", "__change").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.folder).parquet(self.path))
+        want = staged.where(~F.col("__gone")).count()
+        there = (self.rows_of(staged.select(self.folder).distinct()).groupBy(*self.keys).count()
+                 .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.max("count").alias("most")).first())
+        if there.n != want or (there.most or 1) > 1:
+            raise RuntimeError(f"{self.path}: {there.n} rows after the swap, {want} expected; most rows of a key: {there.most}")
+
+
+class PartitionedUpsertTable(PartitionedTable):
+    """Keyed upsert. A key stands in the partition of its newest row: when that
+    changes, the old and the new partition are both rewritten.
+
+    Per batch: last-wins de-duplication; the partitions that hold the batch's
+    keys now (a semi-join over the key column and the folder names) and those it goes to;
+    the merge of the rows in them; ``rewrite``. ``part_value`` is a Column over the batch.
+    """
+
+    def upsert(self, batch: DataFrame, batch_id: str, part_value: Column, seq_col=None, newer_by=None) -> dict:
+        """Change counts. ``newer_by``: a row of the table that is later by
+        these columns stays, so the order of batches does not matter."""
+        if self.staged_batch() == str(batch_id):
+            self.swap()
             return {"skipped": True, "changed": 0}
         incoming = U.dedup_keep_last(batch, self.keys, seq_col) if seq_col else batch
-        incoming = incoming.drop(self.part_col) if self.part_col in incoming.columns else incoming
-        current = self.read()
-        staging = scratch_path(self.spark, "upsert-staging")
-        if current is None:
-            first = incoming.withColumn(self.part_col, part_value).withColumn("__change", F.lit(U.INSERTED))
-            kind = dict(first.dtypes)[self.part_col]
-            first.write.partitionBy(self.part_col).parquet(staging)
+        others = [c for c in incoming.columns if c != self.part_col]
+        replace(incoming.select(*others, part_value.alias(self.part_col)), self.batch_path)
+        placed = self.spark.read.parquet(self.batch_path)
+        if placed.limit(1).count() == 0:
+            return {"skipped": False, "inserted": 0, "modified": 0, "unchanged": 0, "untouched": 0, "changed": 0, "partitions_rewritten": 0}
+        stored = self.stored()
+        goes_to = placed.select(self.folder_of(F.col(self.part_col)).alias(self.folder)).distinct()
+        if stored is None:
+            touched, merged = goes_to, placed.withColumn("__change", F.lit(U.INSERTED))
         else:
-            kind = dict(current.dtypes)[self.part_col]
-            existing = (current.select(*self.keys, F.col(self.part_col).alias("__p_existing"))
-                        .join(incoming.select(*self.keys), self.keys, "left_semi"))
-            placed = (incoming.join(existing, self.keys, "left")
-                      .withColumn(self.part_col, F.coalesce(F.col("__p_existing"), part_value).cast(kind)).drop("__p_existing"))
-            # written once: the touched partitions and the merge both read it
-            path = scratch_path(self.spark, "upsert-placed")
-            placed.write.parquet(path)
-            placed = self.spark.read.parquet(path)
-            target = current.join(placed.select(self.part_col).distinct(), self.part_col, "left_semi")
-            U.merge_with_changes(target, placed, self.keys, newer_by=newer_by).write.partitionBy(self.part_col).parquet(staging)
-        self._record(batch_id, "pending", staging, kind)
-        staged = self._table(staging)
-        counts = U.change_counts(staged.select("__change")).first().asDict()
-        counts["partitions_rewritten"] = None if current is None else staged.select(self.part_col).distinct().count()
-        self._swap(batch_id, staging, kind)
-        counts["skipped"] = False
-        return counts
+            placed = placed.withColumn(self.part_col, F.col(self.part_col).cast(stored.schema[self.part_col].dataType))
+            lives_in = (stored.where(~F.col("__gone")).select(*self.keys, self.folder)
+                        .join(placed.select(*self.keys), self.keys, "left_semi").select(self.folder))
+            touched = lives_in.unionByName(goes_to).distinct()
+            merged = U.merge_with_changes(self.rows_of(touched), placed, self.keys, newer_by=newer_by)
+        self.rewrite(touched, merged, batch_id)
+        staged = self._staged()
+        counts = U.change_counts(staged.where(~F.col("__gone")).select("__change")).first().asDict()
+        return counts | {"partitions_rewritten": staged.select(self.folder).distinct().count(), "skipped": False}
+
+
+class PeriodCounts(PartitionedTable):
+    """Running counts per (period, groups...), kept in one partition a month.
+
+    A batch adds its own counts to the stored rows of the months it touches,
+    and no other month is read or written: the cost of a batch is its own rows
+    and those months, however large the table is. Each row notes the last
+    batch that was added to it; batches come in ascending order, so one that is
+    replayed changes nothing. NULL groups count as groups of their own.
+    Distinct values are kept as HyperLogLog sketches, which add up.
+    """
+
+    SKETCH_K = 14      # relative standard error about 0.8 %
+
+    def __init__(self, spark: SparkSession, path: str, period: str, groups: Sequence[str]):
+        super().__init__(spark, path, [period, *groups], "month")
+        self.period = period
+
+    def add(self, counts: DataFrame, batch: int) -> None:
+        """``counts`` has the keys, n, total and optionally sketch, one row per key."""
+        if self.staged_batch() == str(batch):
+            return self.swap()
+        replace(counts.withColumn("month", F.date_format(self.period, "yyyy-MM")), self.batch_path)
+        new = self.spark.read.parquet(self.batch_path)
+        if new.limit(1).count() == 0:
+            return None
+        touched = new.select(self.folder_of(F.col("month")).alias(self.folder)).distinct()
+        new = new.withColumn("last_batch", F.lit(int(batch)).cast("long"))
+        if self.stored() is not None:
+            new = self._added(self.rows_of(touched), new)
+        return self.rewrite(touched, new, str(batch))
+
+    def _added(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        values = [c for c in new.columns if c not in self.keys]
+        o, n = (side.select(*[F.col(c).alias(f"{k}_{c}") for c in self.keys], F.struct(*values).alias(k)) for side, k in ((old, "o"), (new, "n")))
+        same = reduce(lambda a, b: a & b, [F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}")) for c in self.keys])
+        applied = F.col("o.last_batch") >= F.col("n.last_batch")
+        # a sum over no values is null and adds nothing
+        add = {"n": F.col("o.n") + F.col("n.n"), "total": F.coalesce(F.col("o.total") + F.col("n.total"), "o.total", "n.total")}
+        if "sketch" in values:
+            add["sketch"] = F.hll_union("o.sketch", "n.sketch")
+        pick = lambda c: (F.when(F.col("n").isNull() | applied, F.col(f"o.{c}")).when(F.col("o").isNull(), F.col(f"n.{c}"))
+                          .otherwise(add.get(c, F.col(f"n.{c}"))))
+        return o.join(n, same, "full").select(
+            *[F.when(F.col("o").isNotNull(), F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c) for c in self.keys],
+            *[pick(c).alias(c) for c in values])

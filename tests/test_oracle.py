@@ -10,7 +10,7 @@ from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {"stream_window_counts", "stream_payload_upsert", "stream_monthly_counts"}  # covered by streaming tests
+SLOW = {"stream_window_counts", "stream_payload_upsert", "stream_monthly_counts", "stream_distinct_sources", "stream_news_upsert"}  # covered by streaming tests
 
 
 def _norm(v):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from monthcast.operators import ml as ML
 from monthcast.operators import report as R
 from monthcast.session import scratch_path
-from monthcast.sinks.tables import VersionedTable
+from monthcast.sinks.tables import PartitionedUpsertTable
 from monthcast.streaming.news_stream import file_stream, stream_upsert
 
 
@@ -56,9 +56,10 @@ def test_stream_upsert_equals_batch(spark):
     df.repartitionByRange(4, "seq").write.parquet(landing)
     root = scratch_path(spark, "stream-test-table")
     log = stream_upsert(file_stream(spark, landing, df.schema), root, ["url"], ["seq"],
-                        checkpoint=scratch_path(spark, "stream-test-ckpt"))
+                        checkpoint=scratch_path(spark, "stream-test-ckpt"), partition_col="part",
+                        part_value=F.pmod("seq", F.lit(3)).cast("string"))
     assert len(log) >= 1
-    got = VersionedTable(spark, root).read()
+    got = PartitionedUpsertTable(spark, root, ["url"], "part").read()
     assert got.count() == 5
     assert got.groupBy("url").count().where(F.col("count") > 1).count() == 0
 
@@ -104,22 +105,36 @@ def test_dedup_within_watermark_stream(spark):
     assert got == ["u1", "u2"]
 
 
-def test_stream_window_counts_match_batch(spark):
-    from monthcast.streaming.news_stream import stream_window_counts
-    rows = [(i, dt.datetime(2024, 1, 1 + (i % 3), i % 24), "click" if i % 2 else "view", float(i))
-            for i in range(60)]
+def test_first_seen_counts_late_rows(spark):
+    """Copies within the delay go, a row older than the watermark is counted."""
+    from monthcast.streaming.news_stream import stream_first_seen
+    day = lambda d: dt.datetime(2024, 1, d)
+    files = [[("u1", day(1)), ("u1", day(1)), ("u2", day(2)), ("u4", None)], [("u3", day(20)), ("u3", day(20))], [("u9", day(20))], [("old", day(1))]]
+    landing, schema = scratch_path(spark, "late-landing"), "url string, ts timestamp_ntz"
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+    out = scratch_path(spark, "late-out")
+    late = stream_first_seen(file_stream(spark, landing, spark.createDataFrame([], schema).schema), ["url"], "ts", "2 days", out,
+                             scratch_path(spark, "late-ckpt"))
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["u1", "u2", "u3", "u9"] and late == 1
+
+
+def test_stream_period_counts_match_batch(spark):
+    from monthcast.streaming.news_stream import stream_period_counts
+    rows = [(i, dt.datetime(2024, 1 + i % 2, 1 + (i % 3), i % 24), "click" if i % 2 else None, float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double")
     landing = scratch_path(spark, "wc-landing")
-    df.repartitionByRange(3, "ts").write.parquet(landing)
-    table = stream_window_counts(file_stream(spark, landing, df.schema), "ts", ["event_type"], "value",
-                                 scratch_path(spark, "wc-table"), scratch_path(spark, "wc-ckpt"),
-                                 window="1 day", watermark="7 days")
-    got = {(r["window_start"].day, r["event_type"]): (r["n"], r["total"]) for r in table.read().collect()}
-    expect = {}
-    for i, ts, e, v in rows:
-        n, t = expect.get((ts.day, e), (0, 0.0))
-        expect[(ts.day, e)] = (n + 1, t + v)
-    assert got == expect
+    df.repartition(3, "event_id").write.parquet(landing)
+    for period, of in (("day", lambda ts: (ts.month, ts.day)), ("month", lambda ts: (ts.month, 1))):
+        table, checkpoint = scratch_path(spark, "wc-table"), scratch_path(spark, "wc-ckpt")
+        for _ in range(2):      # started again: nothing is new
+            counts = stream_period_counts(file_stream(spark, landing, df.schema), "ts", ["event_type"], "value", table, checkpoint, period=period)
+        got = {(r.window_start.month, r.window_start.day, r.event_type): (r.n, r.total) for r in counts.read().collect()}
+        expect = {}
+        for i, ts, e, v in rows:
+            n, t = expect.get((*of(ts), e), (0, 0.0))
+            expect[(*of(ts), e)] = (n + 1, t + v)
+        assert got == expect
 
 
 def test_api_articles_limits_and_dates(spark):
@@ -134,7 +149,6 @@ def test_api_articles_limits_and_dates(spark):
 
 
 def test_stream_into_partitioned_table(spark):
-    from monthcast.sinks.tables import PartitionedUpsertTable
     rows = [(f"u{i % 6}", f"t{i}", i, f"2024-0{1 + i % 3}") for i in range(24)]
     df = spark.createDataFrame(rows, "url string, title string, seq long, m string")
     landing = scratch_path(spark, "pstream-landing")

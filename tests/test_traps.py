@@ -79,9 +79,9 @@ def test_partition_values_keep_their_type_and_a_cut_swap_is_finished(spark):
         pass
 
     class Cut(PartitionedUpsertTable):
-        def _swap(self, batch_id, staging, part_type):
+        def swap(self):
             # the target partition is gone, the new one not there yet
-            fs = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/mm=01")
+            fs = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/mm_part=01")
             fs.getFileSystem(spark._jsc.hadoopConfiguration()).delete(fs, True)
             raise Lost
 
