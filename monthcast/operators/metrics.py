@@ -8,9 +8,11 @@ as a cross product.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS
@@ -24,20 +26,25 @@ def chronological_split(df: DataFrame, test_size: int, order_col: str = "month",
     ties are broken by ``tiebreak``, then by a hash of the whole row, and of
     equal rows only as many as needed are taken. The test rows are found with
     a distributed top-k; its at most ``test_size`` keys are broadcast back.
+    Only rows equal to the last one taken can be taken in part, so only those
+    are numbered; no other row is shuffled.
     """
     keys = [order_col, *tiebreak, "__row"]
     hashed = [F.col(c) for c, t in df.dtypes if not t.startswith("map")]
     rows = df.withColumn("__row", F.xxhash64(*hashed))
     last = (rows.select(*keys).orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(test_size)
             .groupBy(*keys).agg(F.count("*").alias("__n")))
-    last = last.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n")
+    edge = F.row_number().over(Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])) == 1      # of test_size rows at most
+    last = last.withColumn("__edge", edge).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__edge")
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    found = rows.join(F.broadcast(last), same, "left")
+    at_edge = F.coalesce(F.col("__edge"), F.lit(False))
+    whole = found.where(~at_edge).withColumn("is_test", F.col("__n").isNotNull())
     copy = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
-    return (rows.join(F.broadcast(last), same, "left").withColumn("__copy", copy)
-            .withColumn("is_test", F.coalesce(F.col("__copy") <= F.col("__n"), F.lit(False)))
-            .select(*df.columns, "is_test"))
+    part = found.where(at_edge).withColumn("is_test", copy <= F.col("__n"))
+    return whole.select(*df.columns, "is_test").unionByName(part.select(*df.columns, "is_test"))
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -68,14 +75,16 @@ def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def per_label_counts(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
-    """(by..., label, support, predicted, tp) for every label seen in y or p."""
+    """(by..., label, support, predicted, tp) for every label seen in y or p.
+    One pass over the rows; a pair of labels then counts for both."""
     by = list(by)
-    truth = df.select(*by, F.col(y).alias("label"), F.lit(1).alias("s"), F.lit(0).alias("q"),
-                      F.coalesce((F.col(y) == F.col(p)).cast("int"), F.lit(0)).alias("tp"))
-    pred = df.select(*by, F.col(p).alias("label"), F.lit(0).alias("s"), F.lit(1).alias("q"), F.lit(0).alias("tp"))
-    return (truth.unionByName(pred).where(F.col("label").isNotNull()).groupBy(*by, "label")
-            .agg(F.sum("s").cast("long").alias("support"), F.sum("q").cast("long").alias("predicted"),
-                 F.sum("tp").cast("long").alias("tp")))
+    n = F.col("__n")
+    pairs = df.groupBy(*by, F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    hit = F.when(F.col("__y") == F.col("__p"), n).otherwise(0)
+    sides = F.array(F.struct(F.col("__y").alias("label"), n.alias("s"), F.lit(0).cast("long").alias("q"), hit.alias("tp")),
+                    F.struct(F.col("__p").alias("label"), F.lit(0).cast("long").alias("s"), n.alias("q"), F.lit(0).cast("long").alias("tp")))
+    return (pairs.select(*by, F.explode(sides).alias("__side")).select(*by, "__side.*").where(F.col("label").isNotNull())
+            .groupBy(*by, "label").agg(F.sum("s").alias("support"), F.sum("q").alias("predicted"), F.sum("tp").alias("tp")))
 
 
 def _prf(df: DataFrame) -> DataFrame:
@@ -122,6 +131,67 @@ def classification_report(df: DataFrame, y: str, p: str, labels: Sequence[str] =
     return per.unionByName(macro).unionByName(weighted)
 
 
+def evaluation(scored: DataFrame, y: str, p: str, by: Sequence[str] = ("model",), labels: Sequence[str] = CLASS_LABELS) -> DataFrame:
+    """All figures of a metrics artifact in long form, for every ``by`` group
+    (candidate model): (by..., metric, label, predicted_label, value).
+
+    ``n_rows_test``, ``accuracy``, ``macro_f1`` (labels present in truth or prediction);
+    ``precision``, ``recall``, ``f1-score``, ``support`` for each of ``labels`` (zeros where
+    absent), ``macro avg`` and ``weighted avg``; ``confusion_matrix`` over ``labels``;
+    ``test_class_distribution`` and ``predicted_class_distribution`` of the labels that
+    occur. Rows without a truth or a prediction are left out.
+
+    The scored rows are read once and grouped by (by, y, p); a group's figures
+    are expressions over its few cells, so nothing is joined or read again.
+    """
+    by = list(by)
+    cells = (scored.where(F.col(y).isNotNull() & F.col(p).isNotNull())
+             .groupBy(*by, F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+             .groupBy(*by).agg(F.collect_list(F.struct("y", "p", "n")).alias("cells")))
+
+    def total(pick: Callable[[Column], Column]) -> Column:
+        return F.aggregate("cells", F.lit(0).cast("long"), lambda a, c: a + F.when(pick(c), c["n"]).otherwise(0))
+
+    def ratio(a: Column, b: Column) -> Column:
+        return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+
+    def mean(values: list[Column], weights: list[Column] | None = None) -> Column:
+        w = weights or [F.lit(1)] * len(values)
+        return ratio(reduce(add, [v * x for v, x in zip(values, w, strict=True)]), reduce(add, w))
+
+    def row(metric: str, value: Column, label: Column | str | None = None, predicted: str | None = None) -> Column:
+        label = label if isinstance(label, Column) else F.lit(label)
+        return F.struct(F.lit(metric).alias("metric"), label.cast("string").alias("label"),
+                        F.lit(predicted).cast("string").alias("predicted_label"), value.cast("double").alias("value"))
+
+    def f1_of(label: Column) -> Column:
+        return ratio(2.0 * total(lambda c: (c["y"] == label) & (c["p"] == label)),
+                     total(lambda c: c["y"] == label) + total(lambda c: c["p"] == label))
+
+    def distribution(metric: str, side: str) -> Column:
+        seen = F.array_sort(F.array_distinct(F.transform("cells", lambda c: c[side])))
+        return F.transform(seen, lambda x: row(metric, total(lambda c: c[side] == x), x))
+
+    tp = [total(lambda c, x=x: (c["y"] == x) & (c["p"] == x)) for x in labels]
+    support = [total(lambda c, x=x: c["y"] == x) for x in labels]
+    predicted = [total(lambda c, x=x: c["p"] == x) for x in labels]
+    figures = {"precision": [ratio(t, q) for t, q in zip(tp, predicted, strict=True)],
+               "recall": [ratio(t, s) for t, s in zip(tp, support, strict=True)],
+               "f1-score": [ratio(2.0 * t, s + q) for t, s, q in zip(tp, support, predicted, strict=True)]}
+    n = total(lambda c: F.lit(True))
+    seen = F.array_distinct(F.concat(F.transform("cells", lambda c: c["y"]), F.transform("cells", lambda c: c["p"])))
+    macro_f1 = ratio(F.aggregate(seen, F.lit(0.0), lambda a, x: a + f1_of(x)), F.size(seen))
+    fixed = [row("n_rows_test", n), row("accuracy", ratio(total(lambda c: c["y"] == c["p"]), n)), row("macro_f1", macro_f1)]
+    for metric, values in figures.items():
+        fixed += [row(metric, v, x) for v, x in zip(values, labels, strict=True)]
+        fixed += [row(metric, mean(values), "macro avg"), row(metric, mean(values, support), "weighted avg")]
+    fixed += [row("support", s, x) for s, x in zip(support, labels, strict=True)]
+    fixed += [row("support", reduce(add, support), x) for x in ("macro avg", "weighted avg")]
+    fixed += [row("confusion_matrix", total(lambda c, a=a, b=b: (c["y"] == a) & (c["p"] == b)), a, b) for a in labels for b in labels]
+    rows = F.concat(F.array(*fixed), distribution("test_class_distribution", "y"), distribution("predicted_class_distribution", "p"))
+    return cells.select(*by, F.explode(rows).alias("r")).select(*by, "r.*")
+
+
 def labels_in(df: DataFrame, label: str) -> DataFrame:
     """Sorted distinct labels as one array (label sets are small)."""
     return df.where(F.col(label).isNotNull()).agg(F.sort_array(F.collect_set(label)).alias("labels"))

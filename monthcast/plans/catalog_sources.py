@@ -184,6 +184,57 @@ def q_model_selection(spark, sf):
     return _r(M.select_best(scores, "macro_f1"), ["macro_f1"]).select("model", "position", "macro_f1")
 
 
+def _artifact_sql() -> str:
+    grid = ", ".join(f"('{a}', '{b}')" for a in CLASS_LABELS for b in CLASS_LABELS)
+    fixed = ", ".join(f"('{x}')" for x in CLASS_LABELS)
+    names = ["precision", "recall", "f1-score"]
+    ratio = "coalesce({} / NULLIF(CAST({} AS DOUBLE), 0), 0)".format
+    return f"""
+WITH {PMT},
+cand AS (
+  SELECT 'persistence' AS model, target_class AS y, predicted AS p FROM test WHERE predicted IS NOT NULL
+  UNION ALL SELECT 'constant_medium', target_class, 'medium' FROM test
+  UNION ALL SELECT 'unknown_label', target_class, CASE WHEN target_class = 'low' THEN 'other' ELSE target_class END FROM test
+),
+lab AS (
+  SELECT model, label, SUM(s) AS support, SUM(q) AS predicted, SUM(tp) AS tp FROM (
+    SELECT model, y AS label, 1 AS s, 0 AS q, CAST(y = p AS INTEGER) AS tp FROM cand UNION ALL SELECT model, p, 0, 1, 0 FROM cand)
+  GROUP BY model, label
+),
+per AS (
+  SELECT m.model, f.label, coalesce(support, 0) AS support, {ratio('tp', 'predicted')} AS "precision", {ratio('tp', 'support')} AS recall,
+         {ratio('2.0 * tp', '(support + predicted)')} AS "f1-score"
+  FROM (SELECT DISTINCT model FROM cand) m CROSS JOIN (VALUES {fixed}) f(label) LEFT JOIN lab ON lab.model = m.model AND lab.label = f.label
+),
+long AS (
+  SELECT model, 'n_rows_test' AS metric, NULL AS label, NULL AS predicted_label, CAST(COUNT(*) AS DOUBLE) AS value FROM cand GROUP BY model
+  UNION ALL SELECT model, 'accuracy', NULL, NULL, avg(CAST(y = p AS DOUBLE)) FROM cand GROUP BY model
+  UNION ALL SELECT model, 'macro_f1', NULL, NULL, avg({ratio('2.0 * tp', '(support + predicted)')}) FROM lab GROUP BY model
+  {" ".join(f"""UNION ALL SELECT model, '{n}', label, NULL, "{n}" FROM per
+  UNION ALL SELECT model, '{n}', 'macro avg', NULL, avg("{n}") FROM per GROUP BY model
+  UNION ALL SELECT model, '{n}', 'weighted avg', NULL, {ratio(f'sum("{n}" * support)', 'sum(support)')} FROM per GROUP BY model""" for n in names)}
+  UNION ALL SELECT model, 'support', label, NULL, support FROM per
+  UNION ALL SELECT model, 'support', x, NULL, sum(support) FROM per, (VALUES ('macro avg'), ('weighted avg')) v(x) GROUP BY model, x
+  UNION ALL SELECT m.model, 'confusion_matrix', a, b, (SELECT COUNT(*) FROM cand c WHERE c.model = m.model AND c.y = a AND c.p = b)
+    FROM (SELECT DISTINCT model FROM cand) m, (VALUES {grid}) g(a, b)
+  UNION ALL SELECT model, 'test_class_distribution', y, NULL, COUNT(*) FROM cand GROUP BY model, y
+  UNION ALL SELECT model, 'predicted_class_distribution', p, NULL, COUNT(*) FROM cand GROUP BY model, p
+)
+SELECT model, metric, label, predicted_label, round(CAST(value AS DOUBLE), 6) AS value FROM long"""
+
+
+@register("metrics_artifact", _artifact_sql())
+def q_metrics_artifact(spark, sf):
+    """Every figure of the metrics artifact for three fixed forecasts, one of
+    which predicts a label that no truth has."""
+    test = _test(spark, sf)
+    forecasts = {"persistence": F.col("predicted"), "constant_medium": F.lit("medium"),
+                 "unknown_label": F.when(F.col("target_class") == "low", "other").otherwise(F.col("target_class"))}
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), p.alias("p")) for m, p in forecasts.items()]))
+    cand = test.select("target_class", each.alias("f")).select("f.model", "target_class", "f.p")
+    return M.evaluation(cand, "target_class", "p").withColumn("value", F.round("value", 6))
+
+
 @register("class_weights", f"""
 WITH {PMT},
 c AS (SELECT target_class, COUNT(*) AS n_c FROM train GROUP BY 1)

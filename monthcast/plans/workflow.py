@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import CLASS_LABELS, DEFAULT_KEYWORDS, MODEL_CANDIDATES, RAW_NEWS_KEYS, TEST_SIZE_MONTHS
+from ..config import DEFAULT_KEYWORDS, MODEL_CANDIDATES, RAW_NEWS_KEYS, TEST_SIZE_MONTHS
 from ..operators import metrics as M
 from ..operators import ml as ML
 from ..operators import news as N
@@ -74,17 +74,21 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
     feats = feature_columns(model_table)
     results, models, scored = ML.train_candidates(model_table, feats, test_size, candidates=list(candidates))
     best = M.select_best(results, "macro_f1").first()["model"]
-    best_scored = scored.where(F.col("model") == best)
-    metrics_long = (results.select("model", F.lit("accuracy").alias("metric"), F.lit(None).cast("string").alias("label"),
-                                   F.col("accuracy").alias("value"))
-                    .unionByName(results.select("model", F.lit("macro_f1").alias("metric"),
-                                                F.lit(None).cast("string").alias("label"), F.col("macro_f1").alias("value")))
-                    .unionByName(M.classification_report(best_scored, "target_class", "predicted", CLASS_LABELS)
-                                 .select(F.lit(best).alias("model"), F.lit("f1").alias("metric"), "label",
-                                         F.col("f1").alias("value"))))
-    export_json(metrics_long, f"{out}/metrics/train_metrics")
-    export_json(M.confusion_matrix(best_scored, "target_class", "predicted")
-                .withColumn("model", F.lit(best)), f"{out}/metrics/confusion_matrix")
+    # long form, every candidate; what belongs to the whole run has no model's figures in it
+    figures = M.evaluation(scored, "target_class", "predicted")
+    train = M.class_distribution(model_table.join(scored.select("month").distinct(), "month", "left_anti"), "target_class")
+    run = [("best_model", None, best), ("selection_metric", None, "macro_f1"), ("n_rows_total", None, str(n_rows)),
+           ("feature_count", None, str(len(feats)))]
+    export_json(figures.withColumn("is_best", F.col("model") == best), f"{out}/metrics/train_metrics")
+    export_json(spark.createDataFrame(run, "metric string, label string, value string")
+                .unionByName(train.select(F.lit("train_class_distribution").alias("metric"), F.col("target_class").alias("label"),
+                                          F.col("count").cast("string").alias("value")))
+                .unionByName(scored.select("month").distinct().select(F.lit("test_month").alias("metric"), F.lit(None).cast("string").alias("label"),
+                                                                      F.col("month").cast("string").alias("value"))),
+                f"{out}/metrics/run")
+    export_json(figures.where((F.col("metric") == "confusion_matrix") & (F.col("model") == best))
+                .select("model", F.col("label").alias("actual"), F.col("predicted_label").alias("predicted"), F.col("value").cast("long").alias("n")),
+                f"{out}/metrics/confusion_matrix")
     models[best].write().overwrite().save(f"{out}/models/{best}")
 
     latest = R.latest_row(model_table)

@@ -62,3 +62,34 @@ def test_class_distribution_sum(spark):
     df = expanded(spark)
     dist = M.class_distribution(df, "y").collect()
     assert sum(r["count"] for r in dist) == 12 and dist[0]["y"] == "high"
+
+
+def test_evaluation_reproduces_a_published_report(spark):
+    """The figures of a 12-row holdout from its confusion matrix."""
+    matrix = {("low", "low"): 1, ("medium", "low"): 1, ("medium", "medium"): 1, ("high", "medium"): 8, ("high", "high"): 1}
+    rows = [("m", y, p) for (y, p), n in matrix.items() for _ in range(n)] + [("m", None, "low"), ("m", "low", None), ("n", "low", "x")]
+    df = spark.createDataFrame(rows, "model string, y string, p string")
+    out = {(r.model, r.metric, r.label, r.predicted_label): r.value for r in M.evaluation(df, "y", "p").collect()}
+    got = lambda metric, label=None, predicted=None, model="m": out[(model, metric, label, predicted)]
+    assert got("n_rows_test") == 12 and got("accuracy") == 0.25
+    assert got("macro_f1") == pytest.approx(0.3494949494949495) == got("f1-score", "macro avg")
+    assert got("precision", "macro avg") == pytest.approx(0.5370370370370371) == got("recall", "macro avg")
+    assert got("precision", "weighted avg") == pytest.approx(0.8101851851851851) and got("f1-score", "weighted avg") == pytest.approx(0.23585858585858585)
+    assert got("precision", "medium") == pytest.approx(1 / 9) and got("recall", "medium") == 0.5 and got("support", "high") == 9
+    for y in ("low", "medium", "high"):
+        for p in ("low", "medium", "high"):
+            assert got("confusion_matrix", y, p) == matrix.get((y, p), 0)
+    assert got("predicted_class_distribution", "medium") == 9 and got("test_class_distribution", "high") == 9
+    # a label outside the fixed ones counts for the overall macro F1 alone
+    assert got("macro_f1", model="n") == 0 and got("support", "low", model="n") == 1 and got("predicted_class_distribution", "x", model="n") == 1
+    assert M.evaluation(df.limit(0), "y", "p").count() == 0
+
+
+def test_split_numbers_only_the_rows_at_the_cut(spark):
+    df = spark.createDataFrame([(1, "a")] * 5 + [(2, "b")] * 4 + [(3, "c"), (None, "d")], "month int, v string")
+    for size in (0, 1, 3, 5, 8, 11, 20):
+        got = M.chronological_split(df, size).collect()
+        taken = sorted((r.month for r in got if r.is_test), key=lambda x: (x is None, -(x or 0)))
+        assert len(got) == 11 and taken == ([3] + [2] * 4 + [1] * 5 + [None])[:size]
+    plan = M.chronological_split(spark.range(100).withColumnRenamed("id", "month"), 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 1
