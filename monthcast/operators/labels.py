@@ -37,8 +37,10 @@ def class_of(value: Column, low_cut: Column, high_cut: Column,
 def add_target_class(df: DataFrame, col: str = "target_pct_change_next_month",
                      out: str = "target_class", low_q: float = LOW_QUANTILE,
                      high_q: float = HIGH_QUANTILE, keys: Sequence[str] = (),
-                     with_cuts: bool = False) -> DataFrame:
-    """Label every row from cuts computed over all labelled rows of its key.
+                     with_cuts: bool = False, holdout: int = 0, order: str = "month") -> DataFrame:
+    """Label every row from cuts computed over all labelled rows of its key,
+    or, with ``holdout``, over all but the last that many of them by ``order``
+    (so that the classes of a test period don't shape the cuts).
 
     The cuts are window aggregates over the key's partition, so no join (and
     no cross join) is needed; the data was already partitioned by key for
@@ -46,8 +48,13 @@ def add_target_class(df: DataFrame, col: str = "target_pct_change_next_month",
     """
     w = Window.partitionBy(*keys)
     x = F.col(col).cast("double")
+    if holdout:
+        # labelled rows from here on, this one included
+        left = F.count(x).over(w.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        df = df.withColumn("__fit", F.when(left > holdout, x))
+        x = F.col("__fit")
     low = F.percentile(x, low_q).over(w)
     high = F.percentile(x, high_q).over(w)
     out_df = df.withColumns({"low_cut": low, "high_cut": high})
     out_df = out_df.withColumn(out, class_of(F.col(col), F.col("low_cut"), F.col("high_cut")))
-    return out_df if with_cuts else out_df.drop("low_cut", "high_cut")
+    return out_df.drop("__fit") if with_cuts else out_df.drop("low_cut", "high_cut", "__fit")

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,41 @@ def fit_gbt(train: DataFrame, features: Sequence[str], label: str = "target_clas
     return _fit(train, features, label, False, ovr)
 
 
+def logistic_from_coefficients(train: DataFrame, features: Sequence[str], classes: Sequence[str],
+                               coefficients: Sequence[Sequence[float]], intercepts: Sequence[float]) -> PipelineModel:
+    """A multinomial logistic pipeline with given coefficients (a row for each class,
+    on scaled features), prepared by the statistics of ``train``. It is saved,
+    loaded and scored as a fitted one."""
+    prepare, kept = prepare_stage(train, features, scale=True)
+    if len(coefficients) != len(classes) or any(len(r) != len(kept) for r in coefficients):
+        raise ValueError(f"{len(classes)} rows of {len(kept)} coefficients are needed")
+    sc = train.sparkSession.sparkContext
+    matrix = DenseMatrix(len(classes), len(kept), [x for row in coefficients for x in row], isTransposed=True)
+    model = LogisticRegressionModel(sc._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        f"logistic_{abs(hash(tuple(classes))):x}", _py2java(sc, matrix), _py2java(sc, DenseVector(list(intercepts))), len(classes), True))
+    assemble = VectorAssembler(inputCols=[f"{PREPARED}{c}" for c in kept], outputCol="features")
+    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=list(classes))
+    return PipelineModel([prepare, assemble, model.setFeaturesCol("features"), names])
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame, label: str = "target_class") -> DataFrame:
+    """(class, feature, gradient): the derivative of the training objective
+    (C = 1, balanced weights) at the model's coefficients; zero at the optimum.
+    ``(intercept)`` is a feature without penalty."""
+    names, kept, fitted = class_names(model), model_features(model), model.stages[2]
+    flat = fitted.coefficientMatrix.toArray()
+    own = {(c, f): float(flat[i, j]) for i, c in enumerate(names) for j, f in enumerate(kept)}
+    penalty = F.create_map(*[F.lit(x) for (c, f), v in own.items() for x in (f"{c} {f}", v)])
+    data = train.where(F.col(label).isNotNull()).join(M.class_weights(train, label).select(label, "weight"), label)
+    rows = model.transform(data).select(F.col(label).alias("y"), "weight", vector_to_array("probability").alias("p"),
+                                        F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"))
+    each = rows.select("y", "weight", "x", F.posexplode("p").alias("c", "p"))
+    each = each.select((F.col("weight") * (F.col("p") - (F.get(F.array(*map(F.lit, names)), F.col("c")) == F.col("y")).cast("double"))).alias("d"),
+                       F.get(F.array(*map(F.lit, names)), F.col("c")).alias("class"), F.posexplode("x").alias("f", "x"))
+    total = each.groupBy("class", F.get(F.array(*map(F.lit, [*kept, "(intercept)"])), F.col("f")).alias("feature")).agg(F.sum(F.col("d") * F.col("x")).alias("g"))
+    return total.select("class", "feature", (F.col("g") + F.coalesce(penalty[F.concat_ws(" ", "class", "feature")], F.lit(0.0))).alias("gradient"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Persist a fitted pipeline (stages, label order and feature list)."""
     model.write().overwrite().save(path)

@@ -107,7 +107,7 @@ def monthly_article_stats(clean: DataFrame, keywords: Sequence[str] = DEFAULT_KE
 
 def monthly_news_features(clean: DataFrame, lexicon: DataFrame,
                           keywords: Sequence[str] = DEFAULT_KEYWORDS, id_col: str = "__row_id",
-                          approx_sources: bool = False, **rules) -> DataFrame:
+                          approx_sources: bool = False, make_scorer=None, **rules) -> DataFrame:
     """One row per month: article_count, avg_sentiment, negative_share,
     avg_title_len, unique_sources, kw_*.
 
@@ -118,12 +118,18 @@ def monthly_news_features(clean: DataFrame, lexicon: DataFrame,
     cleaned text is produced once. ``approx_sources=True`` swaps the exact
     distinct-source count (per-month set state) for ``approx_count_distinct``
     (HyperLogLog++, fixed-size state) when months hold very many sources.
+    ``make_scorer`` puts a user's scorer (``sentiment.score_with``) in the place of
+    the rules; the article's row then never leaves its task before the month
+    aggregate.
     """
     src = clean if id_col in clean.columns else clean.withColumn(id_col, article_id())
     src = src.where(F.col("month").isNotNull()).withColumns(keyword_flags("clean_text", keywords))
     kw_cols = [keyword_column_name(k) for k in keywords]
-    per_doc = S.score_all(src, "clean_text", id_col, lexicon,
-                          carry=["month", "title_len", "source", *kw_cols], **rules)
+    carry = ["month", "title_len", "source", *kw_cols]
+    if make_scorer is None:
+        per_doc = S.score_all(src, "clean_text", id_col, lexicon, carry=carry, **rules)
+    else:
+        per_doc = S.score_with(src, "clean_text", make_scorer).select(*carry, F.round("sentiment", 4).alias("sentiment"))
     n = F.count(F.lit(1))
     return per_doc.groupBy("month").agg(
         n.alias("article_count"),

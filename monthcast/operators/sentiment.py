@@ -26,8 +26,9 @@ The lexicon's words reach the driver, so its size is checked: more than
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,3 +173,28 @@ def score_texts(df: DataFrame, text_col: str, id_col: str, lexicon: DataFrame,
     """
     scores = text_sentiment(df, text_col, id_col, lexicon, **rules).withColumnRenamed("sentiment", out)
     return df.join(scores, id_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+
+
+def score_with(df: DataFrame, text_col: str, make_scorer: Callable[[], Callable[[list[str | None]], list[float]]],
+               out: str = "sentiment", batch: int = 1000) -> DataFrame:
+    """Attach the scores of a user's own scorer: the extension point for
+    models that have no expression form. The built-in rules don't use it.
+
+    ``make_scorer`` runs once in each Python worker's task (a model is loaded there, not
+    per batch) and gives a function from texts to as many scores; it gets
+    ``batch`` texts at most at once. NULL texts are passed as None.
+    """
+    @F.pandas_udf("double")
+    def run(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = make_scorer()
+        for texts in chunks:
+            found: list[float] = []
+            for i in range(0, len(texts), batch):
+                part = [None if t is None else str(t) for t in texts.iloc[i: i + batch]]
+                scores = list(scorer(part))
+                if len(scores) != len(part):
+                    raise ValueError(f"the scorer gave {len(scores)} scores for {len(part)} texts")
+                found += scores
+            yield pd.Series(found, dtype="float64")
+
+    return df.withColumn(out, run(F.col(text_col)))

@@ -53,9 +53,12 @@ def outer_join_all(frames: Sequence[DataFrame], on: Sequence[str] = ("month",))
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], order: str = "month",
-                 keys: Sequence[str] = ()) -> DataFrame:
-    """Carry the last non-null value forward (unbounded)."""
-    w = _window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                 keys: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """Carry the last non-null value forward, over at most ``limit`` rows
+    without one (default: any number)."""
+    if limit is not None and limit < 0:
+        raise ValueError("limit must not be negative")
+    w = _window(keys, order).rowsBetween(Window.unboundedPreceding if limit is None else -limit, Window.currentRow)
     return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
 
@@ -97,6 +100,43 @@ def series_features(df: DataFrame, value: str = "ppi_value", prefix: str = "ppi"
     })
 
 
+def month_number(month: str | Column) -> Column:
+    """Months since year 0: neighbouring calendar months differ by one."""
+    return F.year(month) * 12 + F.month(month)
+
+
+def dense_months(df: DataFrame, keys: Sequence[str] = (), order: str = "month") -> DataFrame:
+    """All rows of ``df`` and one more, with nulls, for every calendar month
+    without a row between a key's first and last. Rows without a month stay."""
+    ends = df.where(F.col(order).isNotNull()).groupBy(*keys).agg(F.min(order).alias("__from"), F.max(order).alias("__to"))
+    months = ends.select(*keys, F.explode(F.sequence(F.trunc("__from", "month"), F.trunc("__to", "month"), F.expr("INTERVAL 1 MONTH"))).alias("__month"))
+    same = month_number(order) == month_number("__month")
+    for k in keys:
+        same = same & df[k].eqNullSafe(months[k])
+    gaps = months.join(df, same, "left_anti").select(*keys, F.col("__month").cast(df.schema[order].dataType).alias(order))
+    return df.unionByName(gaps, allowMissingColumns=True)
+
+
+def calendar_series_features(df: DataFrame, value: str = "ppi_value", prefix: str = "ppi",
+                             keys: Sequence[str] = (), order: str = "month") -> DataFrame:
+    """``series_features`` by calendar: a lag is the month before, not the row
+    before, and the rolling figures are of the three months before; NULL where
+    one of those has no value. Of several rows of one month the largest value
+    counts. Range frames over the month's number, so gaps need no filling."""
+    w = Window.partitionBy(*keys).orderBy("__m")
+    before, three = w.rangeBetween(-1, -1), w.rangeBetween(-3, -1)
+    pct = f"{prefix}_pct_change"
+    out = df.withColumn("__m", month_number(order))
+    out = out.withColumn(f"{prefix}_lag_1", F.max(F.col(value)).over(before))
+    out = out.withColumn(pct, safe_pct_change(F.col(value), F.col(f"{prefix}_lag_1")))
+    n_prev = F.size(F.collect_set(F.when(F.col(value).isNotNull(), F.col("__m"))).over(three))
+    return out.withColumns({
+        f"{prefix}_pct_change_lag_1": F.max(F.col(pct)).over(before),
+        f"{prefix}_ma_3": F.when(n_prev == 3, F.avg(F.col(value)).over(three)),
+        f"{prefix}_std_3": F.when(n_prev == 3, F.stddev_samp(F.col(value)).over(three)),
+    }).drop("__m")
+
+
 def indicator_features(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (),
                        order: str = "month") -> DataFrame:
     """``<c>_pct_change``, ``<c>_lag_1``, ``<c>_pct_change_lag_1`` per indicator."""

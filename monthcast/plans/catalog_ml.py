@@ -16,7 +16,7 @@ from ..streaming.news_stream import (file_stream, stream_first_seen, stream_payl
 from . import oracle_sql as Q
 from . import standins as SI
 from .catalog import register
-from .catalog_sources import TEST_SIZE_MONTHS, ppi_model_table
+from .catalog_sources import PMT, TEST_SIZE_MONTHS, evaluated, ppi_model_table
 from .sizing import materialize
 
 FEATURES = ["ppi_value", "ppi_pct_change", "ppi_lag_1", "ppi_pct_change_lag_1", "ppi_ma_3", "ppi_std_3"]
@@ -52,6 +52,57 @@ def q_latest_prediction(spark, sf):
                          "proba_low", "proba_medium", "proba_high")
 
 
+# Fixed stand-in coefficients on scaled features, a row for each class.
+FIXED_CLASSES = ["high", "low", "medium"]
+FIXED_COEFFICIENTS = [[0.5, -0.25, 0.125, 0.75, -0.5, 0.25], [-0.5, 0.5, 0.25, -0.75, 0.375, -0.125], [0.0, -0.25, -0.375, 0.0, 0.125, -0.125]]
+FIXED_INTERCEPTS = [0.1, -0.2, 0.05]
+
+
+def _fixed_sql() -> str:
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS md_{c}" for c in FEATURES)
+    filled = ", ".join(f"coalesce(CAST({c} AS DOUBLE), md_{c}) AS {c}" for c in FEATURES)
+    moments = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in FEATURES)
+    scaled = [f"(({c} - mu_{c}) / (CASE WHEN sd_{c} = 0 THEN 1 ELSE sd_{c} END))" for c in FEATURES]
+    z = ", ".join(f"{b} + {' + '.join(f'{w} * {x}' for w, x in zip(row, scaled, strict=True))} AS z_{c}"
+                  for c, row, b in zip(FIXED_CLASSES, FIXED_COEFFICIENTS, FIXED_INTERCEPTS, strict=True))
+    top = "greatest(" + ", ".join(f"z_{c}" for c in FIXED_CLASSES) + ")"
+    total = " + ".join(f"exp(z_{c})" for c in FIXED_CLASSES)
+    return f"""
+WITH {PMT},
+med AS (SELECT {stats} FROM train),
+tfill AS (SELECT {filled} FROM train, med),
+mom AS (SELECT {moments} FROM tfill),
+rows AS (SELECT month, target_class, {filled} FROM pall, med),
+z AS (SELECT month, target_class, {z} FROM rows, mom)
+SELECT month, target_class, CASE {" ".join(f"WHEN z_{c} = {top} THEN '{c}'" for c in FIXED_CLASSES)} END AS predicted,
+       {", ".join(f"round(exp(z_{c}) / ({total}), 6) AS proba_{c}" for c in FIXED_CLASSES)}
+FROM z"""
+
+
+@register("saved_model_scores", _fixed_sql())
+def q_saved_model_scores(spark, sf):
+    """A model with fixed coefficients, saved, loaded and applied to every
+    month: those with missing features, and the newest, whose class isn't known."""
+    train = evaluated(spark, sf).where(~F.col("is_test"))
+    path = scratch_path(spark, "fixed-model")
+    ML.save_model(ML.logistic_from_coefficients(train, FEATURES, FIXED_CLASSES, FIXED_COEFFICIENTS, FIXED_INTERCEPTS), path)
+    scored = ML.score(ML.load_model(path), ppi_model_table(spark, sf, dropna=False))
+    return scored.select("month", "target_class", "predicted", *[F.round(f"proba_{c}", 6).alias(f"proba_{c}") for c in FIXED_CLASSES])
+
+
+@register("logistic_optimality", f"""
+WITH {PMT}
+SELECT DISTINCT target_class AS class, feature, CAST(0.0 AS DOUBLE) AS gradient
+FROM train, (VALUES {", ".join(f"('{f}')" for f in [*FEATURES, "(intercept)"])}) v(feature)
+""")
+def q_logistic_optimality(spark, sf):
+    """The gradient of the fitted logistic regression's objective over the
+    training months: zero in every coefficient."""
+    train = materialize(evaluated(spark, sf).where(~F.col("is_test")).drop("predicted"))
+    out = ML.logistic_gradient(ML.fit_logistic(train, FEATURES, scale=True), train)
+    return out.withColumn("gradient", F.abs(F.round("gradient", 2)))
+
+
 @register("stream_news_upsert", f"""
 WITH {Q.RAW_NEWS}
 SELECT url, doc_id, seen_date FROM raw_news WHERE url IS NOT NULL

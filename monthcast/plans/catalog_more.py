@@ -326,6 +326,24 @@ def q_recent_raw_articles(spark, sf):
     return R.recent_raw_articles(SI.raw_news(spark, sf), 50, tiebreak=("url", "doc_id"))
 
 
+@register("api_raw_articles", f"""
+WITH {Q.RAW_NEWS},
+shown AS (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'unknown' ELSE seen_date END AS seen_date,
+                            CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS source) FROM raw_news)
+SELECT provider, coalesce(strftime(try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d'), '') AS seen_date,
+       coalesce(title, '') AS title, coalesce(url, '') AS url, coalesce(source, '') AS source, coalesce(language, '') AS language,
+       coalesce(source_country, '') AS source_country
+FROM shown ORDER BY shown.seen_date DESC NULLS FIRST, shown.url DESC NULLS FIRST, doc_id DESC NULLS FIRST LIMIT 500
+""")
+def q_api_raw_articles(spark, sf):
+    """The listing of the raw table, with missing and unreadable dates."""
+    raw = SI.raw_news(spark, sf)
+    five, seven = F.col("doc_id") % 5 == 0, F.col("doc_id") % 7 == 0
+    raw = raw.withColumns({"seen_date": F.when(five, F.lit(None)).when(seven, "unknown").otherwise(F.col("seen_date")),
+                           "source": F.when(F.col("doc_id") % 3 == 0, F.lit(None)).otherwise(F.col("source"))})
+    return R.api_articles(None, raw, limit=500, cleaned=False, tiebreak=("url", "doc_id"))
+
+
 @register("news_signal_trend", f"""
 WITH {MODEL_TABLE_CTES},
 tail AS (SELECT month, CAST(coalesce(article_count, 0) AS INTEGER) AS article_count,
@@ -384,3 +402,61 @@ def q_stage_row_counts(spark, sf):
 
 
 from . import catalog_sources  # noqa: E402,F401  (registers the remaining entries)
+
+
+# ---------------------------------------------------------------------------
+# Options: calendar gaps, bounded fill, cuts from the training months
+# ---------------------------------------------------------------------------
+
+#: A stand-in series that is not published in these months.
+SILENT_MONTHS = [5, 10, 11]
+GAPPY = f"""
+gappy AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+                 CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / COUNT(l_quantity) AS ppi_value
+          FROM lineitem WHERE l_shipdate IS NOT NULL AND month(l_shipdate) NOT IN ({", ".join(map(str, SILENT_MONTHS))}) GROUP BY 1)"""
+
+
+def _gappy(spark, sf):
+    li = SI.table(spark, sf, "lineitem").where(~F.month("l_shipdate").isin(SILENT_MONTHS))
+    return S.monthly_mean(li, "l_shipdate", "l_quantity", "ppi_value", exact_scale=2)
+
+
+@register("dense_months", f"""
+WITH {GAPPY},
+ends AS (SELECT min(month) AS a, max(month) AS b FROM gappy),
+months AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS month FROM ends)
+SELECT months.month, ppi_value FROM months LEFT JOIN gappy ON gappy.month = months.month
+""")
+def q_dense_months(spark, sf):
+    return S.dense_months(_gappy(spark, sf)).select("month", "ppi_value")
+
+
+@register("calendar_series_features", f"""
+WITH {GAPPY},
+lagged AS (SELECT g.month, g.ppi_value, a.ppi_value AS l1, b.ppi_value AS l2, c.ppi_value AS l3
+           FROM gappy g LEFT JOIN gappy a ON a.month = g.month - INTERVAL 1 MONTH
+           LEFT JOIN gappy b ON b.month = g.month - INTERVAL 2 MONTH LEFT JOIN gappy c ON c.month = g.month - INTERVAL 3 MONTH)
+SELECT month, round(l1, 6) AS ppi_lag_1, round((ppi_value - l1) / NULLIF(l1, 0) * 100, 6) AS ppi_pct_change,
+       round((l1 - l2) / NULLIF(l2, 0) * 100, 6) AS ppi_pct_change_lag_1, round((l1 + l2 + l3) / 3, 6) AS ppi_ma_3,
+       CASE WHEN l1 + l2 + l3 IS NOT NULL THEN round(list_stddev_samp([l1, l2, l3]), 6) END AS ppi_std_3
+FROM lagged
+""")
+def q_calendar_series_features(spark, sf):
+    """A lag is a calendar month: rows after a silent month have none."""
+    cols = ["ppi_lag_1", "ppi_pct_change", "ppi_pct_change_lag_1", "ppi_ma_3", "ppi_std_3"]
+    return S.calendar_series_features(_gappy(spark, sf)).select("month", *[F.round(c, 6).alias(c) for c in cols])
+
+
+@register("bounded_forward_fill", f"""
+WITH {GAPPY},
+ends AS (SELECT min(month) AS a, max(month) AS b FROM gappy),
+months AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS DATE) AS month FROM ends),
+dense AS (SELECT months.month, ppi_value AS v FROM months LEFT JOIN gappy ON gappy.month = months.month)
+SELECT month, coalesce(v, lag(v, 1) OVER w) AS one, coalesce(v, lag(v, 1) OVER w, lag(v, 2) OVER w, lag(v, 3) OVER w) AS three
+FROM dense WINDOW w AS (ORDER BY month)
+""")
+def q_bounded_forward_fill(spark, sf):
+    """The two silent months in a row are filled by a limit of three, the
+    second of them not by a limit of one."""
+    dense = S.dense_months(_gappy(spark, sf)).select("month", F.col("ppi_value").alias("one"), F.col("ppi_value").alias("three"))
+    return S.forward_fill(S.forward_fill(dense, ["one"], limit=1), ["three"], limit=3)

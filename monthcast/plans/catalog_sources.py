@@ -91,6 +91,20 @@ def q_class_distribution(spark, sf):
     return M.class_distribution(ppi_model_table(spark, sf), "target_class")
 
 
+@register("target_class_train_fit", f"""
+WITH {Q.PPI},{Q.series_feature_ctes()},
+seen AS (SELECT *, count(target_pct_change_next_month) OVER (ORDER BY month DESC ROWS UNBOUNDED PRECEDING) AS from_here FROM feat2),
+tcuts AS (SELECT quantile_cont(target_pct_change_next_month, 0.33) AS low_cut, quantile_cont(target_pct_change_next_month, 0.67) AS high_cut
+          FROM seen WHERE from_here > {TEST_SIZE_MONTHS}),
+cut AS (SELECT seen.*, low_cut, high_cut FROM seen, tcuts)
+SELECT month, {Q.class_expr()} AS target_class, round(low_cut, 6) AS low_cut, round(high_cut, 6) AS high_cut FROM cut
+""")
+def q_target_class_train_fit(spark, sf):
+    """Class cuts from the training months only."""
+    df = L.add_target_class(S.target_lead(S.series_features(ppi_monthly(spark, sf))), holdout=TEST_SIZE_MONTHS, with_cuts=True)
+    return _r(df.select("month", "target_class", "low_cut", "high_cut"), ["low_cut", "high_cut"])
+
+
 @register("confusion_matrix", f"""
 WITH {PMT},
 grid AS (SELECT a.l AS actual, p.l AS predicted FROM (VALUES {", ".join(f"('{x}')" for x in CLASS_LABELS)}) a(l),

@@ -29,12 +29,15 @@ def build_feature_table(series: DataFrame, clean_news: DataFrame, lexicon: DataF
                         keywords: Sequence[str] = DEFAULT_KEYWORDS,
                         low_q: float = LOW_QUANTILE, high_q: float = HIGH_QUANTILE,
                         keep_unlabelled: bool = False, keys: Sequence[str] = (),
-                        **sentiment_rules) -> DataFrame:
+                        holdout: int = 0, fill_limit: int | None = None, **sentiment_rules) -> DataFrame:
     """One row per (series key, month) with 30-ish features, the next-month
     change and its class. Everything after the article aggregates is
     month-level; with ``keys`` (a panel of series) every window, forward fill
     and quantile cut runs per key, so the window stages partition by key.
-    The news and indicator months are shared by all series."""
+    The news and indicator months are shared by all series. ``holdout``: the
+    class cuts come from all but that many last months; ``fill_limit``: months
+    that an indicator's last value is carried over; ``keep_unlabelled``: the
+    newest month, whose class isn't known yet, stays."""
     keys = list(keys)
     ppi = monthly_series(series, keys=keys)
     news = N.monthly_news_features(clean_news, lexicon, keywords, **sentiment_rules)
@@ -42,13 +45,13 @@ def build_feature_table(series: DataFrame, clean_news: DataFrame, lexicon: DataF
     indicator_cols: list[str] = []
     if indicators is not None:
         indicator_cols = [c for c in indicators.columns if c != "month"]
-        df = S.forward_fill(df.join(indicators, "month", "left"), indicator_cols, keys=keys)
+        df = S.forward_fill(df.join(indicators, "month", "left"), indicator_cols, keys=keys, limit=fill_limit)
     news_cols = [c for c in df.columns if c not in {"month", "ppi_value", *indicator_cols, *keys}]
     df = df.fillna(0, subset=news_cols)
     df = S.series_features(df, "ppi_value", "ppi", keys=keys)
     df = S.indicator_features(df, indicator_cols, keys=keys)
     df = S.target_lead(df, "ppi_pct_change", keys=keys)
-    df = L.add_target_class(df, low_q=low_q, high_q=high_q, keys=keys)
+    df = L.add_target_class(df, low_q=low_q, high_q=high_q, keys=keys, holdout=holdout)
     required = [*PPI_FEATURES, *indicator_cols] + ([] if keep_unlabelled else ["target_class"])
     return df.dropna(subset=required)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT_KEYWORDS, MODEL_CANDIDATES, RAW_NEWS_KEYS, TEST_SIZE_MONTHS
@@ -39,7 +39,11 @@ class RunInputs:
     id_col: str | None = None
 
 
-def _write_read(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def _write_read(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), counted: Observation | None = None) -> DataFrame:
+    """The stage's table, written and read back; ``counted`` gets its rows from
+    the write itself."""
+    if counted is not None:
+        df = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     replace(df, path, partition_by=partition_by)
     return spark.read.parquet(path)
 
@@ -47,7 +51,8 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str, partition_by: Seq
 def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str,
             candidates: Sequence[str] = MODEL_CANDIDATES, test_size: int = TEST_SIZE_MONTHS) -> dict:
     out = out_root.rstrip("/")
-    series = _write_read(spark, inputs.series, f"{out}/fred_series")
+    rows = {stage: Observation(stage) for stage in ("fred_series", "raw_news", "clean_news", "model_table")}
+    series = _write_read(spark, inputs.series, f"{out}/fred_series", counted=rows["fred_series"])
     assert_guard(table_guard(series, "fred_series", min_rows=1, min_columns=2))
     indicators = None
     if inputs.indicators is not None:
@@ -57,17 +62,18 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
     raw_table = PartitionedUpsertTable(spark, f"{out}/raw_news", RAW_NEWS_KEYS, "load_month")
     load_month = F.coalesce(F.date_format(parse_timestamps("seen_date"), "yyyy-MM"), F.lit("unknown"))
     upsert = raw_table.upsert(inputs.raw_news_batch, batch_id, load_month, seq_col=list(inputs.news_seq))
-    raw = raw_table.read().drop("load_month")
+    # counted as it is read for the next stage
+    raw = raw_table.read().drop("load_month").observe(rows["raw_news"], F.count(F.lit(1)).alias("rows"))
 
-    clean = _write_read(spark, N.clean_news(raw), f"{out}/clean_news", partition_by=["month"])
+    clean = _write_read(spark, N.clean_news(raw), f"{out}/clean_news", partition_by=["month"], counted=rows["clean_news"])
     rules = dict(inputs.sentiment_rules)
     if inputs.id_col:
         rules["id_col"] = inputs.id_col
     model_table = _write_read(spark, build_feature_table(series, clean, inputs.lexicon, indicators,
                                                          keywords=list(inputs.keywords), **rules),
-                              f"{out}/model_table")
+                              f"{out}/model_table", counted=rows["model_table"])
     export_csv(model_table.orderBy("month"), f"{out}/exports/model_table_csv")
-    n_rows = model_table.count()
+    n_rows = rows["model_table"].get["rows"]
     if n_rows <= test_size + 6:
         raise ValueError(f"{n_rows} model rows are not enough to hold out {test_size} months")
 
@@ -99,8 +105,6 @@ def run_all(spark: SparkSession, inputs: RunInputs, out_root: str, batch_id: str
     export_json(R.recent_articles(clean), f"{out}/docs/news_articles")
     export_json(R.news_signal_trend(model_table), f"{out}/docs/news_signal_trend")
     export_json(R.external_indicator_trend(model_table), f"{out}/docs/external_indicators")
-    summary = R.stage_counts({"fred_series": series, "raw_news": raw, "clean_news": clean,
-                              "model_table": model_table})
-    counts = {r["stage"]: r["rows"] for r in summary.collect()}
+    counts = {stage: seen.get["rows"] for stage, seen in rows.items()}
     return {"best_model": best, "upsert": upsert, "rows": counts,
             "prediction": prediction.first().asDict()}

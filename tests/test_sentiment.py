@@ -97,3 +97,45 @@ def test_no_token_is_shuffled(spark):
         exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
         assert len(exchanges) <= 1 and all("hashpartitioning(id#" in x for x in exchanges), plan
         assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(tok" not in plan and "Generate" in plan
+
+
+def test_a_users_scorer_takes_the_place_of_the_rules(spark):
+    """The rules as a plain Python scorer give the built-in scores on every
+    row; it is made once a task and never gets more than a batch."""
+    from pyspark.sql import functions as F
+
+    texts = (TEXTS + [None]) * 40
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string").repartition(3)
+
+    def make():
+        made = []
+
+        def score(part):
+            assert len(part) <= 7 and not made or made[0] is score
+            made.append(score)
+            return [brute(t) for t in part]
+        return score
+
+    lex = spark.createDataFrame(list(LEX.items()), "token string, valence double")
+    want = {r.id: r.sentiment for r in S.score_all(df, "t", "id", lex, boosters_up=UP, boosters_down=DOWN, negators=NEG).collect()}
+    got = {r.id: r.sentiment for r in S.score_with(df, "t", make, batch=7).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=1e-4) for i in want)
+    with pytest.raises(Exception, match="scores for"):
+        S.score_with(df, "t", lambda: lambda part: [0.0]).agg(F.sum("sentiment")).collect()
+
+
+def test_monthly_features_with_a_users_scorer(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from monthcast.operators import news as N
+    rows = [(i, t or "", t, dt.date(2024, 1 + i % 2, 1), len(t or ""), "s") for i, t in enumerate(TEXTS)]
+    clean = spark.createDataFrame(rows, "id long, title string, clean_text string, month date, title_len int, source string")
+    lex = spark.createDataFrame(list(LEX.items()), "token string, valence double")
+    rules = dict(boosters_up=UP, boosters_down=DOWN, negators=NEG)
+    one = N.monthly_news_features(clean, lex, ["the"], id_col="id", **rules).orderBy("month").collect()
+    two = N.monthly_news_features(clean, lex, ["the"], id_col="id", make_scorer=lambda: lambda part: [brute(t) for t in part], **rules)
+    assert two.orderBy("month").collect() == one
+    approx = N.monthly_news_features(clean, lex, ["the"], id_col="id", approx_sources=True, **rules)
+    assert approx.select(F.sum("unique_sources")).first()[0] == 2

@@ -124,3 +124,40 @@ def test_no_nan_leaks(spark):
     from monthcast.functions.numeric import nan_to_null
     vals = col(df.withColumn("v", nan_to_null("v")), "v")
     assert vals[0] is None and not any(isinstance(v, float) and math.isnan(v) for v in vals)
+
+
+def test_gaps_limits_and_training_cuts(spark):
+    import datetime as dt
+
+    from monthcast.operators import labels as L
+    from monthcast.operators import series as S
+    month = lambda m: dt.date(2024, m, 1)
+    rows = [("a", month(m), float(m)) for m in (1, 2, 3, 4, 7)] + [("b", month(5), None), ("b", month(6), 2.0), (None, month(1), 1.0), ("a", None, 9.0)]
+    df = spark.createDataFrame(rows, "k string, month date, ppi_value double")
+    dense = S.dense_months(df, keys=["k"])
+    assert dense.count() == 11 and {(r.k, r.month.month) for r in dense.where("ppi_value is null").collect()} == {("a", 5), ("a", 6), ("b", 5)}
+    filled = {r.month.month: r.ppi_value for r in S.forward_fill(dense.where("k = 'a' and month is not null"), ["ppi_value"], limit=1).collect()}
+    assert filled == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: None, 7: 7}
+    out = {r.month.month: r for r in S.calendar_series_features(df.where("k = 'a' and month is not null"), keys=["k"]).collect()}
+    assert out[4].ppi_ma_3 == 2.0 and out[4].ppi_std_3 == 1.0 and out[4].ppi_lag_1 == 3.0
+    assert out[7].ppi_lag_1 is None and out[7].ppi_pct_change is None and out[7].ppi_ma_3 is None
+    cuts = [(f"{y}", dt.date(y, 1, 1), float(y - 2000)) for y in range(2000, 2010)] + [("x", dt.date(2010, 1, 1), None)]
+    vals = spark.createDataFrame(cuts, "n string, month date, v double")
+    both = {h: L.add_target_class(vals, "v", low_q=0.5, high_q=0.5, holdout=h, with_cuts=True).where("n = '2000'").first().low_cut for h in (0, 4)}
+    assert both == {0: 4.5, 4: 2.5}
+
+
+def test_fixed_decimals_beyond_a_trillion(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from monthcast.functions.formatting import format_fixed
+    rng = random.Random(6)
+    xs = [1e12 + 0.125, 999999999999.125, -1e12 - 0.375, 2.0 ** 52 + 0.5, 2.0 ** 52 + 1.5, 1e15 + 0.9995, 9e15, 2.0 ** 40 - 0.0005, 2.0 ** 62, 1099511627775.9999, 0.125, -0.0]
+    xs += [rng.uniform(1e12, 1e16) for _ in range(200)] + [rng.randrange(2 ** 40, 2 ** 44) + rng.randrange(1, 8192) / 8192 for _ in range(200)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for d in (0, 2, 3):
+        got = df.select(format_fixed(F.col("x"), d).alias("t")).collect()
+        bad = [(x, r.t, f"{x:.{d}f}") for x, r in zip(xs, got, strict=True) if r.t != f"{x:.{d}f}" and x != 0]
+        assert not bad, bad[:5]
