@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, row_key, written
+from .common import batches, row_key, text_buffers, written
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"     # after lower-casing A-Z
 MAX_BUCKETS = 1 << 20
@@ -52,7 +52,10 @@ SCORE_RANGE = 256
 def features(texts: pa.Array, max_n: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text index, bucket) of every feature of a block of texts, in no order
     among sizes, and the words of each text."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), pattern=SEPARATORS)
+    # a block is a slice of a batch, and ascii_lower misreads the offsets of a slice: begin at 0
+    offsets, data = text_buffers(texts)
+    whole = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(np.ascontiguousarray(data)))
+    lists = pc.split_pattern_regex(pc.ascii_lower(whole), pattern=SEPARATORS)
     flat, text_of = pc.list_flatten(lists), pc.list_parent_indices(lists)
     real = pc.not_equal(pc.binary_length(flat), 0)
     coded = pc.dictionary_encode(flat.filter(real))

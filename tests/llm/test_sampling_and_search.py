@@ -81,6 +81,15 @@ def test_features_of_runs_across_texts():
     assert Counter(zip(of.tolist(), bucket.tolist(), strict=True)) == want and words.tolist() == [4, 0, 0, 1, 2]
 
 
+def test_features_of_slices():
+    """A block of a batch starts anywhere in it, as blocks in tasks do."""
+    texts = pa.array([f"Wört {i} ¿Qué? " * (i % 7) if i % 11 else None for i in range(200)])
+    for a, n in ((0, 200), (3, 50), (190, 10), (77, 1), (200, 0)):
+        of, bucket, _ = importance.features(texts.slice(a, n), 1, 1 << 20)
+        want = [(i, zlib.crc32(f.encode()) % (1 << 20)) for i, t in enumerate(texts.slice(a, n).to_pylist()) for f in brute_features(t, 1)[1]]
+        assert list(zip(of.tolist(), bucket.tolist(), strict=True)) == want
+
+
 def near(a, b):
     if a == b or abs(len(a) - len(b)) > 1:
         return False
