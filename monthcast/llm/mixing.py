@@ -13,13 +13,20 @@ fixed in words, so the mix ends within one document of its target). ``weight``
 makes the expected copies unequal within a source: expected copies are
 ``r * weight / (mean weight by words)``, at most ``max_epochs``.
 
-Scale: the cut of each source is found from word counts per rank bin, then
+What is ranked are units: of equal rows (same id, text, source and weight) the
+first, second, ... copy each has a rank of its own, by a hash of the row and its
+number. So null ids and repeated rows, however many, are drawn one by one.
+
+Scale: equal rows are counted before anything else, and their numbers come from
+the count, so a row that is a third of the table meets in no task. The cut of each source is found from word counts per rank bin, then
 exactly within the one bin that holds it; no source meets in one task. The cut
 is a number per source, so applying it needs no shuffle of texts.
 
-Null text counts 0 words; null source is a source of its own (last by order);
-equal ranks (repeated rows) are taken or left together; an empty table gives an
-empty mix. Ranks hash the id and the seed, so reruns agree.
+Null text counts 0 words, and texts of any length are counted whole; null source
+is a source of its own (last by order); a null id is an id like another; an
+empty table gives an empty mix. Ranks hash the row and the seed, so reruns
+agree; which of equal rows that differ in further columns is taken follows a
+hash of all columns.
 """
 
 from __future__ import annotations
@@ -27,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import SALTS, fresh, written
 
 BINS = 4096
 
@@ -63,39 +70,49 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0
                     .otherwise(F.least(F.col("cap"), F.col("free.level") * F.col("w"))).alias("target"))
 
 
-def _uniform(key: Column, seed: int) -> Column:
-    """Uniform in (0, 1) from a hash of the key."""
-    return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+def _uniform(row: Column, number: Column, seed: int) -> Column:
+    """Uniform in (0, 1) from a hash of a row and the number of its copy."""
+    return (F.pmod(F.xxhash64(row, number.cast("long"), F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+
+
+def _row(id_col: str, text_col: str, source_col: str, weight: Column) -> Column:
+    nulls = F.concat(*[F.col(c).isNull().cast("string") for c in (id_col, text_col, source_col)])
+    return F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col), weight, nulls)
+
+
+def _copies(target: Column, weighted: Column, weight: Column, epochs: float, u: Column) -> tuple[Column, Column]:
+    """(whole copies, Pareto rank for one more or null) of a unit."""
+    expected = F.when(weighted > 0, F.least(F.lit(epochs), target * weight / weighted)).otherwise(0.0)
+    # an expectation of exactly n copies may come out a rounding error off
+    expected = F.when(F.abs(expected - F.round(expected)) < 1e-9, F.round(expected)).otherwise(expected)
+    whole = F.floor(expected).cast("long")
+    p = expected - whole
+    return whole, F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weight: Column | None = None, weights: tuple[float, ...] = (1.0, 2.0, 3.0), share: float = 1.0,
              max_epochs: float = 3.0, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """(per-row table, per-source table).
+    """(per-unit table, per-source table).
 
-    The per-row table has doc_id, source, size, rank and whole copies ``whole``
-    (written once); the per-source table has source, source_size, target and
-    the rank ``cut`` up to which one copy more is taken.
+    The per-unit table has doc_id, source, size, rank and whole copies ``whole``;
+    the per-source table has source, source_size, target and the rank ``cut`` up
+    to which one copy more is taken.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(F.col(text_col)).alias("size"),
-                       (weight if weight is not None else F.lit(1.0)).cast("double").alias("weight"))
-    rows = written(rows, "mix-rows")
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                      F.sum(F.col("size") * F.col("weight")).alias("weighted"))
+    weight = (weight if weight is not None else F.lit(1.0)).cast("double")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+                       weight.alias("weight"), _row(id_col, text_col, source_col, weight).alias("row"))
+    rows = written(rows.groupBy(*rows.columns).agg(F.count("*").alias("equal")), "mix-rows")
+    sums = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("equal")).alias("source_size"),
+                                      F.sum(F.col("size") * F.col("weight") * F.col("equal")).alias("weighted"))
     targets = source_targets(sums.select("source", "source_size"), weights, share, max_epochs)
     sources = written(targets.join(sums.withColumnRenamed("source", "s").drop("source_size"),
                                    F.col("source").eqNullSafe(F.col("s")))
                       .select("source", "source_size", "target", "weighted"), "mix-sources")
-    j = rows.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    expected = F.when(F.col("weighted") > 0, F.least(F.lit(float(max_epochs)),
-                                                     F.col("target") * F.col("weight") / F.col("weighted"))).otherwise(0.0)
-    # an expectation of exactly n copies may come out a rounding error off
-    expected = F.when(F.abs(expected - F.round(expected)) < 1e-9, F.round(expected)).otherwise(expected)
-    u = _uniform(F.col("doc_id"), seed)
-    p = F.col("expected") - F.col("whole")
-    ranked = (j.withColumn("expected", expected).withColumn("whole", F.floor("expected").cast("long"))
-              .withColumn("rank", F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))))
+    units = rows.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("equal") - 1)))
+    j = units.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    whole, rank = _copies(F.col("target"), F.col("weighted"), F.col("weight"), float(max_epochs), _uniform(F.col("row"), F.col("number"), seed))
+    ranked = j.withColumn("whole", whole).withColumn("rank", rank)
     # bins even in rank / (1 + rank), which lies in 0..1
     ranked = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int"))
     ranked = ranked.select("doc_id", "source", "size", "source_size", "target", "whole", "rank", "bin")
@@ -142,22 +159,39 @@ def mix(docs: DataFrame, **options) -> DataFrame:
                     (F.col("size") * F.col("copies")).alias("taken")))
 
 
+def _numbered(rows: DataFrame, columns: list[str], row: str, number: str) -> DataFrame:
+    """Repeated rows with the numbers 0, 1, ... among those of equal ``row``. Rows
+    that are equal in all columns are counted; the others of one ``row`` are
+    numbered in ``SALTS`` lots, whose first numbers come from the lots' counts."""
+    every = F.xxhash64(*[F.to_json(c) if t.startswith("map") else F.col(c) for c, t in rows.dtypes])
+    one = rows.groupBy(F.col(row).alias("_row"), every.alias("_every")).agg(F.any_value(F.struct(*columns)).alias("_one"), F.count("*").alias("_n"))
+    one = one.withColumn("_lot", F.pmod("_every", F.lit(SALTS)).cast("int"))
+    lots = one.groupBy("_row", "_lot").agg(F.sum("_n").alias("_in"))
+    before = F.sum("_in").over(Window.partitionBy("_row").orderBy("_lot").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in")
+    upto = F.sum("_n").over(Window.partitionBy("_row", "_lot").orderBy("_every").rowsBetween(Window.unboundedPreceding, 0))
+    one = (one.withColumn("_first", upto - F.col("_n"))
+           .join(lots.select("_row", "_lot", before.alias("_before")), ["_row", "_lot"]))
+    first = F.col("_before") + F.col("_first")
+    return (one.select("_row", F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("_number"), "_one")
+            .select("_one.*", F.col("_row").alias(row), F.col("_number").alias(number)))
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` themselves, each repeated as often as the mix
     takes it. The choice is applied per row from the per-source cuts."""
     seed, epochs = options.get("seed", 7), float(options.get("max_epochs", 3.0))
-    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
+    id_col, text_col, source_col = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("source_col", "source")
     weight = options.get("weight")
     weight = (weight if weight is not None else F.lit(1.0)).cast("double")
     _, sources = mix_plan(docs, **options)
-    own, n, each = (fresh(docs, x) for x in ("mix", "copies", "copy"))
+    own, n, each, row, number = (fresh(docs, x) for x in ("mix", "copies", "copy", "row", "number"))
+    keyed = docs.withColumn(row, _row(id_col, text_col, source_col, weight))
+    again = written(keyed.groupBy(row).count().where("count > 1").select(F.col(row).alias("_again")), "mix-repeated")
+    once = keyed.join(again, F.col(row) == F.col("_again"), "left_anti").withColumn(number, F.lit(0).cast("long"))
+    more = _numbered(keyed.join(again, F.col(row) == F.col("_again"), "left_semi"), docs.columns, row, number)
     s = sources.select(F.struct(F.col("source").alias("s"), "target", "weighted", "cut").alias(own))
-    j = docs.join(s, F.col(source_col).eqNullSafe(F.col(f"{own}.s")))
-    e = F.when(F.col(f"{own}.weighted") > 0, F.least(F.lit(epochs), F.col(f"{own}.target") * weight / F.col(f"{own}.weighted"))
-               ).otherwise(0.0)
-    e = F.when(F.abs(e - F.round(e)) < 1e-9, F.round(e)).otherwise(e)
-    u, p = _uniform(F.col(id_col), seed), e - F.floor(e)
-    rank = F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
-    copies = F.floor(e).cast("int") + F.coalesce((rank <= F.col(f"{own}.cut")).cast("int"), F.lit(0))
+    j = once.unionByName(more.select(*once.columns)).join(s, F.col(source_col).eqNullSafe(F.col(f"{own}.s")))
+    whole, rank = _copies(F.col(f"{own}.target"), F.col(f"{own}.weighted"), weight, epochs, _uniform(F.col(row), F.col(number), seed))
+    copies = whole.cast("int") + F.coalesce((rank <= F.col(f"{own}.cut")).cast("int"), F.lit(0))
     return (j.withColumn(n, copies).where(F.col(n) > 0)
             .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns))

@@ -343,3 +343,75 @@ def test_weights_make_unequal_inclusion(spark):
         by[r.doc_id % 4 < 2].append(r.copies)
     assert 3.5 < np.mean(by[True]) / np.mean(by[False]) < 6.5
     assert abs(sum(r.taken for r in out) - 8000) <= 20
+
+
+def brute_choice(spark, rows, seed=7, epochs=3.0):
+    """doc words taken per source by the definition: whole copies, then the
+    units of smallest Pareto rank until the target is nearest."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double")
+    key = mixing._row("doc_id", "text", "source", mixing.F.col("weight"))
+    w = mixing.Window.partitionBy("row").orderBy(mixing.F.lit(0))
+    units = (df.withColumn("row", key).withColumn("number", mixing.F.row_number().over(w) - 1)
+             .select("doc_id", "source", "weight", mixing.word_count(mixing.F.col("text")).alias("size"),
+                     mixing._uniform(mixing.F.col("row"), mixing.F.col("number"), seed).alias("u")).collect())
+    sizes = defaultdict(int)
+    for r in units:
+        sizes[r.source] += r.size
+    targets = brute_targets(sizes)
+    out = defaultdict(list)
+    for source, target in targets.items():
+        mine = [r for r in units if r.source == source]
+        weighted = sum(r.size * r.weight for r in mine)
+        some, certain = [], 0
+        for r in mine:
+            e = min(epochs, target * r.weight / weighted) if weighted else 0.0
+            e = round(e) if abs(e - round(e)) < 1e-9 else e
+            whole, p = int(e), e - int(e)
+            certain += whole * r.size
+            some.append([(r.u / (1 - r.u)) / (p / (1 - p)) if p > 0 else None, r, whole])
+        running, cut = certain, -1.0
+        for rank, r, _ in sorted((x for x in some if x[0] is not None), key=lambda x: x[0]):
+            running += r.size
+            if running - r.size / 2 <= target:
+                cut = rank
+        for rank, r, whole in some:
+            out[r.doc_id].append(r.size * (whole + (rank is not None and rank <= cut)))
+    return {k: sorted(v) for k, v in out.items()}, targets
+
+
+def test_the_whole_choice_and_hot_equal_rows(spark):
+    """A third of the rows have null ids, and a fifth are one row; the choice
+    is that of the definition, targets are met, and ``mixed`` agrees."""
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randint(1, 30), f"s{i % 3}", 1.0 + i % 2) for i in range(500)]
+    rows += [(None, "v " * rng.randint(1, 30), f"s{i % 2}", 1.0) for i in range(300)]
+    rows += [(7, "one hot row here", "s1", 1.0)] * 200 + [(None, None, None, 1.0)] * 3
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, weight double").repartition(5)
+    for options in ({}, {"weight": mixing.F.col("weight")}):
+        want, targets = brute_choice(spark, rows if options else [(*r[:3], 1.0) for r in rows])
+        got = defaultdict(list)
+        for r in mixing.mix(docs, **options).collect():
+            got[r.doc_id].append(r.taken)
+            assert r.taken <= 3 * r.size
+        if not options:
+            assert {k: sorted(v) for k, v in got.items()} == want
+            taken = defaultdict(int)
+            for r in mixing.mixed(docs).collect():
+                taken[r.source] += len((r.text or "").split())
+            assert all(abs(taken[s] - t) <= 30 for s, t in targets.items())
+            assert sum(taken.values()) == sum(map(sum, got.values()))
+        else:
+            assert sum(map(len, got.values())) == len(rows)
+
+
+def test_mixed_copies_of_rows_that_differ_elsewhere(spark):
+    rows = [(1, "a b c", "s", i, {"k": i % 2}) for i in range(40)] + [(2, "d e f", "t", 0, {"k": 0})] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row int, number map<string,int>")
+    out = mixing.mixed(docs, share=0.5).collect()
+    by = {r.doc_id: r.copies for r in []}
+    for i in (1, 2):
+        copies = sorted(r.copies for r in mixing.mix(docs, share=0.5).collect() if r.doc_id == i)
+        assert sum(copies) == sum(r.doc_id == i for r in out)
+        by[i] = sum(copies)
+    assert len({r.row for r in out if r.doc_id == 1}) == min(40, by[1]) and by[1] + by[2] in range(38, 43)
