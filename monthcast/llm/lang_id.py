@@ -40,33 +40,29 @@ def _letters_words(text: Column) -> Column:
 
 
 class Model:
-    """Log frequencies per language of words and of n-grams."""
+    """Log frequencies per language of words and of n-grams: each unit's row
+    in one flat table (of the words, and of each n-gram length)."""
 
     def __init__(self, languages: list[str], words: list[tuple], grams: list[tuple]):
         self.languages = languages
         at = {x: i for i, x in enumerate(languages)}
-        self.words = self._table(words, at)
-        self.grams = self._table(grams, at)
-
-    def _table(self, rows: list[tuple], at: dict[str, int]) -> dict:
-        """rows: (unit, language, count); log shares by unit, n-grams in one
-        table per length. A share has a floor that is the same for all
-        languages, however many words each was learned from."""
-        counts: dict[str, np.ndarray] = {}
+        self.words, self.word_logs = self._table([(w, lang, n) for w, lang, n in words], at)
+        self.grams: dict[int, dict[str, int]] = {}
+        self.gram_logs: dict[int, np.ndarray] = {}
+        for size in sorted({unit[0] for unit, _, _ in grams}):
+            self.grams[size], self.gram_logs[size] = self._table([(u[1], lang, n) for u, lang, n in grams if u[0] == size], at)
+
+    def _table(self, rows: list[tuple], at: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
+        """rows: (unit, language, count); the log shares of each unit. A share
+        has a floor that is the same for all languages, however many words
+        each was learned from."""
+        place: dict[str, int] = {}
+        for unit, _, _ in rows:
+            place.setdefault(unit, len(place))
+        counts = np.zeros((len(place), len(at)))
         for unit, lang, n in rows:
-            counts.setdefault(unit, np.zeros(len(at)))[at[lang]] += n
-        groups: dict[int, dict] = {}
-        for unit, c in counts.items():
-            groups.setdefault(unit[0] if isinstance(unit, tuple) else 0, {})[unit] = c
-        out: dict = {}
-        for size, members in groups.items():
-            total = np.sum(list(members.values()), axis=0)
-            logs = {u: np.log(c / np.maximum(total, 1) + 1e-6) for u, c in members.items()}
-            if size:
-                out[size] = {u[1]: v for u, v in logs.items()}
-            else:
-                out = logs
-        return out
+            counts[place[unit], at[lang]] += n
+        return place, np.log(counts / np.maximum(counts.sum(axis=0), 1) + 1e-6)
 
     def score_unseen(self, word: str) -> np.ndarray:
         """Cover the word by its longest known n-grams, shorter ones where
@@ -74,9 +70,9 @@ class Model:
         w, at, parts = f"\u0002{word}\u0003", 0, []
         while at < len(w):
             for n in GRAM_SIZES:
-                v = self.grams.get(n, {}).get(w[at: at + n]) if at + n <= len(w) else None
-                if v is not None:
-                    parts.append(v)
+                row = self.grams.get(n, {}).get(w[at: at + n]) if at + n <= len(w) else None
+                if row is not None:
+                    parts.append(self.gram_logs[n][row])
                     at += max(1, n - 1)
                     break
             else:
@@ -125,10 +121,8 @@ class Scorer:
     """Predictions of a block of texts; scores of unseen words are kept for
     the next blocks (``max_cached`` words at most)."""
 
-    def __init__(self, model: Model, max_cached: int = 200_000):
+    def __init__(self, model: Model, max_cached: int = 100_000):
         self.model, self.max_cached = model, max_cached
-        self.at = {w: i for i, w in enumerate(model.words)}
-        self.table = np.array(list(model.words.values())) if model.words else np.zeros((0, len(model.languages)))
         self.seen: dict[str, int] = {}
         self.store = np.zeros((1024, len(model.languages)))
 
@@ -150,9 +144,9 @@ class Scorer:
         words = _WORD.findall(text.lower()) if text else []
         if not words or not self.model.languages:
             return "und", 0.0
-        get = self.at.get
+        get = self.model.words.get
         ids = np.array([get(w, -1) for w in words])
-        total = self.table[ids[ids >= 0]].sum(axis=0)
+        total = self.model.word_logs[ids[ids >= 0]].sum(axis=0)
         rest = np.flatnonzero(ids < 0).tolist()
         if rest:
             total = total + self._unseen([words[i] for i in rest])
@@ -166,7 +160,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(sent.value)
-        for b in batches(it):
+        for b in batches(it, 4 << 20):
             found = [score(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([x for x, _ in found], pa.string()),
                                               pa.array([x for _, x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
@@ -182,7 +176,7 @@ def in_known_language(docs: DataFrame, model: Model, least_score: float, text_co
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = Scorer(sent.value)
-        for b in batches(it):
+        for b in batches(it, 4 << 20):
             found = [score(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([x != "und" and p >= least_score for x, p in found], pa.bool_()))
 
