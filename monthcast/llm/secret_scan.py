@@ -11,14 +11,16 @@ that rule alone.
 Only DataFrame functions: places of matches come from the pieces between them
 (``split`` keeps every piece), lengths in code points.
 
-Null text is the empty blob. Empty and secret-free texts have no spans.
-Repeated rows share one blob; a hot blob's rows are pre-aggregated on the map
-side and salted on the way back. The ledger may be shared by many tables.
+Null text is the empty blob. Empty and secret-free texts have no spans. Texts
+of any length are scanned whole, in time linear in their matches; null ids are
+ids like others. Repeated rows share one blob; a hot blob's rows are
+pre-aggregated on the map side and salted, by all other columns, on the way back. The ledger may be shared by many tables.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -54,10 +56,17 @@ MORE_RULES = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 27),
 )
 RULES = BASE_RULES + MORE_RULES
+#: Matches whose places are summed at once.
+LOT = 128
 _FOUND = "array<struct<start:int,end:int,version:string>>"
 _SPANS = "array<struct<start:int,order:int,kind:string,end:int>>"
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def match_spans(text: Column, rule: Rule) -> Column:
     """Spans of a rule's leftmost non-overlapping matches that pass its length
     test, as (start, end, rule version), in code points."""
@@ -66,7 +75,15 @@ def match_spans(text: Column, rule: Rule) -> Column:
     sized = F.arrays_zip(F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x)).alias("gap"),
                          F.transform(whole, lambda x: F.length(x)).alias("size"),
                          F.transform(tested, lambda x: F.length(x)).alias("tested"))
-    start = F.struct(F.lit(0).alias("at"), F.lit([]).cast(_FOUND).alias("spans"))
+    # an array grows by copying, so places are summed in lots: first the lots' lengths, then inside each
+    def length(m: Column) -> Column:
+        return m["gap"] + F.coalesce(m["size"], F.lit(0))
+
+    def starts(lots: Column) -> Column:
+        lengths = F.transform(lots, lambda lot: F.aggregate(lot, F.lit(0), lambda n, m: n + length(m)))
+        return F.aggregate(lengths, F.struct(F.lit(0).alias("at"), F.lit([]).cast("array<int>").alias("all")),
+                           lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")),
+                           lambda acc: acc["all"])
 
     def step(acc: Column, m: Column) -> Column:
         lo = acc["at"] + m["gap"]
@@ -75,7 +92,14 @@ def match_spans(text: Column, rule: Rule) -> Column:
         return F.struct(hi.alias("at"), F.when(m["tested"] >= rule.least, F.concat(acc["spans"], F.array(span)))
                         .otherwise(acc["spans"]).alias("spans"))
 
-    found = F.aggregate(sized, start, step, lambda a: a["spans"])
+    def spans(lots: Column) -> Column:
+        return F.flatten(F.transform(F.arrays_zip(lots.alias("lot"), starts(lots).alias("at")), lambda x: F.aggregate(
+            x["lot"], F.struct(x["at"].alias("at"), F.lit([]).cast(_FOUND).alias("spans")), step, lambda acc: acc["spans"])))
+
+    def cut(all_: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / LOT).cast("int")), lambda i: F.slice(all_, i * LOT + 1, LOT))
+
+    found = _let(sized, lambda all_: _let(cut(all_), spans))
     return F.when(text.rlike(rule.pattern), found).otherwise(F.lit([]).cast(_FOUND))
 
 
@@ -126,18 +150,18 @@ def secret_scan(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, i
                 .select("blob", F.array_sort(F.array_distinct(F.transform("found", lambda s: F.struct(
                     s["start"].alias("start"), order[s["version"]].alias("order"), kind[s["version"]].alias("kind"),
                     s["end"].alias("end"))))).alias("found")))
-    rows = docs.select(F.col(id_col).alias("doc_id"),
+    spread = F.xxhash64(F.lit(0), *[F.col(c) for c, t in docs.dtypes if c != text_col and not t.startswith("map")])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.pmod(spread, F.lit(64)).cast("int").alias("salt"),
                        F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob"))
     return with_findings(rows, findings)
 
 
 def with_findings(rows: DataFrame, findings: DataFrame) -> DataFrame:
-    """Findings to every row of their blob. A blob's findings go only to the
+    """Findings to every row (doc_id, salt, blob) of their blob. A blob's findings go only to the
     salts its rows have, so a hot blob is spread."""
-    hit = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(64)).cast("int"))
-    salts = hit.groupBy("blob", "salt").count().select("blob", "salt")
+    salts = rows.groupBy("blob", "salt").count().select("blob", "salt")
     back = salts.join(findings, "blob")
-    return (hit.join(back, ["blob", "salt"], "left")
+    return (rows.join(back, ["blob", "salt"], "left")
             .select("doc_id", "blob", F.coalesce("found", F.lit([]).cast(_SPANS)).alias("spans")))
 
 

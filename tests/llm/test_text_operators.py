@@ -415,3 +415,17 @@ def test_mixed_copies_of_rows_that_differ_elsewhere(spark):
         assert sum(copies) == sum(r.doc_id == i for r in out)
         by[i] = sum(copies)
     assert len({r.row for r in out if r.doc_id == 1}) == min(40, by[1]) and by[1] + by[2] in range(38, 43)
+
+
+def test_many_matches_in_one_text(spark):
+    """Places run on over the lots; time is linear in the matches."""
+    import time
+    text = "".join(f"é token=abcdefgh{i} x={'ab12' * 9} secret=short " for i in range(20_000))
+    df = spark.createDataFrame([(text,), ("token=abcdefgh" * 1,), ("",)], "t string")
+    rule = secret_scan.BASE_RULES[0]
+    began = time.time()
+    got = df.select(secret_scan.match_spans(mixing.F.col("t"), rule).alias("s")).collect()
+    assert time.time() - began < 30
+    want = [(m.start(), m.end()) for m in re.finditer(rule.pattern, text) if len(m.group(2)) >= 8]
+    assert [(x.start, x.end) for x in got[0].s] == want and len(want) == 20_000
+    assert [(x.start, x.end) for x in got[1].s] == [(0, 14)] and got[2].s == []
