@@ -51,9 +51,10 @@ OP4 = r"""
 WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
      w AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
                                         lambda x: x <> '') AS w FROM t),
-     s AS MATERIALIZED (
-         SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS shingle
-         FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+     size AS (SELECT DISTINCT least(len(w), 5) AS k FROM w WHERE kind = 'i' AND len(w) > 0),
+     runs AS (SELECT kind, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, size WHERE kind = 'd' AND len(w) >= k
+              UNION ALL SELECT kind, id, w, least(len(w), 5), unnest(range(1, len(w) - least(len(w), 5) + 2)) FROM w WHERE kind = 'i' AND len(w) > 0),
+     s AS MATERIALIZED (SELECT DISTINCT kind, id, array_to_string(w[i:i + k - 1], ' ') AS shingle FROM runs),
      n AS (SELECT id, count(*) AS n_item FROM s WHERE kind = 'i' GROUP BY id),
      hit AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
              FROM s d JOIN s i ON d.shingle = i.shingle WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY 1, 2)
