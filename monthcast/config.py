@@ -72,3 +72,11 @@ TIMESTAMP_FORMATS = [
     "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
     "yyyy-MM-dd",
 ]
+
+# The columns of the article extracts, in their order.
+ARTICLE_COLUMNS = ["published_at", "provider", "source", "title", "url", "language"]
+API_COLUMNS = ["provider", "published_at", "seen_date", "month", "title", "url", "source", "language",
+               "source_country", "clean_text"]
+
+# Columns of the model table that are no features.
+NOT_FEATURES = ["month", "date", "target_class", "target_pct_change_next_month"]

@@ -8,14 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import API_ARTICLES_DEFAULT_LIMIT, API_ARTICLES_MAX_LIMIT, RECENT_ARTICLES_LIMIT, TREND_MONTHS
+from ..config import (API_ARTICLES_DEFAULT_LIMIT, API_ARTICLES_MAX_LIMIT, API_COLUMNS, ARTICLE_COLUMNS,
+                      RECENT_ARTICLES_LIMIT, TREND_MONTHS)
 from ..functions.dates import parse_timestamps
 from ..functions.formatting import format_fixed
 
-ARTICLE_COLUMNS = ["published_at", "provider", "source", "title", "url", "language"]
-API_COLUMNS = ["provider", "published_at", "seen_date", "month", "title", "url", "source", "language",
-               "source_country", "clean_text"]
-
 
 def recent_articles(clean: DataFrame, n: int = RECENT_ARTICLES_LIMIT,
                     columns: Sequence[str] = ARTICLE_COLUMNS, tiebreak: Sequence[str] = ("url", "title")) -> DataFrame:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..config import CLASS_LABELS, TEST_SIZE_MONTHS
+from ..config import HIGH_QUANTILE, LOW_QUANTILE, CLASS_LABELS, TEST_SIZE_MONTHS
 from ..functions.dates import format_compact_datetime, parse_timestamps, try_date
 from ..functions.formatting import capitalize, format_fixed, format_percent
 from ..functions.numeric import coerce_double, falsy_coalesce, nan_to_null
@@ -105,6 +105,23 @@ def q_target_class_train_fit(spark, sf):
     return _r(df.select("month", "target_class", "low_cut", "high_cut"), ["low_cut", "high_cut"])
 
 
+@register("quantile_sketch_cuts", """
+SELECT l_returnflag, COUNT(*) AS n, TRUE AS low_within, TRUE AS high_within FROM lineitem
+WHERE l_extendedprice IS NOT NULL GROUP BY l_returnflag
+""")
+def q_quantile_sketch_cuts(spark, sf):
+    """Cuts of each flag's prices from sketches of its shipping months, merged;
+    whether their true ranks lie within 1 % of those asked for."""
+    li = SI.table(spark, sf, "lineitem").select("l_returnflag", F.trunc("l_shipdate", "month").alias("month"), "l_extendedprice")
+    monthly = L.quantile_sketches(li, "l_extendedprice", ["l_returnflag", "month"])
+    merged = L.merged_sketches(monthly, ["l_returnflag"])
+    cuts = L.sketch_cuts(merged, keys=["l_returnflag"])
+    ranks = li.where(F.col("l_extendedprice").isNotNull()).join(cuts, "l_returnflag").groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), *[F.avg((F.col("l_extendedprice") <= F.col(c)).cast("double")).alias(c) for c in ("low_cut", "high_cut")])
+    return ranks.select("l_returnflag", "n", (F.abs(F.col("low_cut") - LOW_QUANTILE) <= 0.01).alias("low_within"),
+                        (F.abs(F.col("high_cut") - HIGH_QUANTILE) <= 0.01).alias("high_within"))
+
+
 @register("confusion_matrix", f"""
 WITH {PMT},
 grid AS (SELECT a.l AS actual, p.l AS predicted FROM (VALUES {", ".join(f"('{x}')" for x in CLASS_LABELS)}) a(l),

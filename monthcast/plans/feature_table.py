@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT_KEYWORDS, HIGH_QUANTILE, LOW_QUANTILE
+from ..config import DEFAULT_KEYWORDS, HIGH_QUANTILE, LOW_QUANTILE, NOT_FEATURES
 from ..operators import labels as L
 from ..operators import news as N
 from ..operators import series as S
@@ -58,6 +58,5 @@ def build_feature_table(series: DataFrame, clean_news: DataFrame, lexicon: DataF
 
 def feature_columns(model_table: DataFrame) -> list[str]:
     """Model inputs: every column except the key and the targets."""
-    skip = {"month", "date", "target_class", "target_pct_change_next_month"}
-    skip |= {f.name for f in model_table.schema.fields if f.dataType.simpleString() == "string"}
+    skip = {*NOT_FEATURES} | {f.name for f in model_table.schema.fields if f.dataType.simpleString() == "string"}
     return [c for c in model_table.columns if c not in skip]
