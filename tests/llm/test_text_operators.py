@@ -429,3 +429,54 @@ def test_many_matches_in_one_text(spark):
     want = [(m.start(), m.end()) for m in re.finditer(rule.pattern, text) if len(m.group(2)) >= 8]
     assert [(x.start, x.end) for x in got[0].s] == want and len(want) == 20_000
     assert [(x.start, x.end) for x in got[1].s] == [(0, 14)] and got[2].s == []
+
+
+def brute_anchors(spark, texts):
+    """(text number, words of the k-mer, place) of all closed syncmers."""
+    out = []
+    for n, t in texts.items():
+        words = [w for w in re.split("[\x20\x09-\x0d]+", t or "") if w]
+        df = spark.createDataFrame([(a, b) for a, b in zip(words, words[1:], strict=False)], "a string, b string") if len(words) > 1 else None
+        s = [] if df is None else [r.s for r in df.select(mixing.F.xxhash64(mixing.F.xxhash64("a"), mixing.F.xxhash64("b")).alias("s")).coalesce(1).collect()]
+        for i in range(len(words) - 4):
+            inner = s[i: i + 4]
+            if min(inner[0], inner[3]) <= min(inner[1:3]):
+                out.append((n, tuple(words[i: i + 5]), i))
+    return out
+
+
+def test_every_anchor_has_its_place(spark):
+    from monthcast.llm import passages
+    rng = random.Random(12)
+    texts = {i: " ".join(rng.choice("abcdef") for _ in range(n)) for i, n in enumerate((0, 4, 5, 6, 40, 90))} | {6: None, 7: " \n "}
+    docs = spark.createDataFrame([(i, t, 1) for i, t in texts.items()], "doc_id long, text string, place int")
+    got = passages.anchor_places(docs).collect()
+    want = brute_anchors(spark, texts)
+    assert sorted((r.doc_id, r.place) for r in got) == sorted((n, i) for n, _, i in want)
+    by = defaultdict(set)
+    for r in got:
+        by[r.anchor].add(r.doc_id)
+    kmers = {(n, i): k for n, k, i in want}
+    same = defaultdict(set)
+    for r in got:
+        same[r.anchor].add(kmers[(r.doc_id, r.place)])
+    assert all(len(v) == 1 for v in same.values()) and len(same) == len(set(kmers.values()))
+
+
+def test_shared_passages_are_placed(spark, nothing):
+    from monthcast.llm import passages
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    passage = [word() for _ in range(60)]
+    rows = [(0, " ".join([word() for _ in range(7)] + passage + [word() for _ in range(900)] + passage[:30]), "x")]
+    rows += [(i, " ".join([word() for _ in range(i * 10)] + passage + [word()] * 3), "x") for i in range(1, 5)]
+    rows += [(None, " ".join(passage), "y"), (9, " ".join(word() for _ in range(500)), "x"), (10, None, "x"), (11, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_key string")
+    out = passages.find_passages(docs, mixing.F.col("doc_id") == 0).collect()
+    found = {(r.doc_id, r.doc_start - r.query_start): (r.query_start, r.n_words) for r in out}
+    assert {k[0] for k in found} == {1, 2, 3, 4, None}
+    for i in (1, 2, 3, 4, None):
+        at, n = found[(i, (i or 0) * 10 - 7)]
+        assert 7 <= at <= 14 and n >= 45 and at + n <= 67
+        assert (i, (i or 0) * 10 - 967) in found      # the copy at the end of the query
+    assert passages.find_passages(nothing, mixing.F.lit(True)).count() == 0
