@@ -10,7 +10,6 @@ from tests.conftest import SF
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
-SLOW = {"stream_window_counts", "stream_payload_upsert", "stream_monthly_counts", "stream_distinct_sources", "stream_news_upsert"}  # covered by streaming tests
 
 
 def _norm(v):
@@ -39,7 +38,7 @@ def duck():
 
 def _names():
     import __spark_entry__ as E
-    return sorted(k for k in E.oracle_sql() if k not in SLOW)
+    return sorted(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())
