@@ -13,12 +13,23 @@ from monthcast.session import scratch_path
 
 LEAST_SCORE = 0.5
 
+#: Rows of whole texts that Spark sends a Python worker at once, and the bytes of them.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """The first two stages run one after the other in the same Python
+    workers, which keep the memory of their largest batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: null texts, texts without letters, and texts between
     languages (the best one's posterior is under ``LEAST_SCORE``) go. The
     posterior is over the learned languages alone, so a text in another
     language or of letter junk is not told from them and mostly stays."""
+    bounded_batches(spark)
     learn = F.when(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull(), F.col("lang"))
     return lang_id.in_known_language(docs, lang_id.fit(docs, learn), LEAST_SCORE)
 
@@ -26,6 +37,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: one document of each group of near duplicates stays, that
     of the smallest id."""
+    bounded_batches(spark)
     return ngram_join.one_of_each(docs)
 
 
