@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,24 +45,37 @@ class Model:
     in one flat table (of the words, and of each n-gram length)."""
 
     def __init__(self, languages: list[str], words: list[tuple], grams: list[tuple]):
+        """From (word, language, count) and ((size, n-gram), language, count)."""
+        table = lambda rows: pa.table({"unit": [r[0] for r in rows], "label": [r[1] for r in rows], "n": [r[2] for r in rows]})
+        sizes = sorted({unit[0] for unit, _, _ in grams})
+        self._set(languages, table(words) if words else None,
+                  {k: table([(u[1], lang, n) for u, lang, n in grams if u[0] == k]) for k in sizes})
+
+    @classmethod
+    def of_tables(cls, languages: list[str], words: pa.Table, grams: dict[int, pa.Table]) -> Model:
+        """From tables of (unit, label, n), n-grams by their size."""
+        model = cls.__new__(cls)
+        model._set(languages, words, grams)
+        return model
+
+    def _set(self, languages: list[str], words: pa.Table | None, grams: dict[int, pa.Table]) -> None:
         self.languages = languages
-        at = {x: i for i, x in enumerate(languages)}
-        self.words, self.word_logs = self._table([(w, lang, n) for w, lang, n in words], at)
+        self.words, self.word_logs = self._table(words)
         self.grams: dict[int, dict[str, int]] = {}
         self.gram_logs: dict[int, np.ndarray] = {}
-        for size in sorted({unit[0] for unit, _, _ in grams}):
-            self.grams[size], self.gram_logs[size] = self._table([(u[1], lang, n) for u, lang, n in grams if u[0] == size], at)
-
-    def _table(self, rows: list[tuple], at: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-        """rows: (unit, language, count); the log shares of each unit. A share
-        has a floor that is the same for all languages, however many words
-        each was learned from."""
-        place: dict[str, int] = {}
-        for unit, _, _ in rows:
-            place.setdefault(unit, len(place))
-        counts = np.zeros((len(place), len(at)))
-        for unit, lang, n in rows:
-            counts[place[unit], at[lang]] += n
+        for size, rows in grams.items():
+            self.grams[size], self.gram_logs[size] = self._table(rows)
+
+    def _table(self, rows: pa.Table | None) -> tuple[dict[str, int], np.ndarray]:
+        """The log shares of each unit. A share has a floor that is the same
+        for all languages, however many words each was learned from."""
+        if rows is None or not rows.num_rows:
+            return {}, np.zeros((0, len(self.languages)))
+        units = rows.column("unit").combine_chunks().dictionary_encode()
+        label = pc.index_in(rows.column("label").combine_chunks(), pa.array(self.languages, rows.schema.field("label").type))
+        counts = np.zeros((len(units.dictionary), len(self.languages)))
+        np.add.at(counts, (units.indices.to_numpy(), label.to_numpy()), rows.column("n").to_numpy())
+        place = {u: i for i, u in enumerate(units.dictionary.to_pylist())}
         return place, np.log(counts / np.maximum(counts.sum(axis=0), 1) + 1e-6)
 
     def score_unseen(self, word: str) -> np.ndarray:
@@ -100,10 +114,11 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
     words = words.persist()
     kept = (words.where(F.length("word") <= max_letters).groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") >= min_count)
             .orderBy(F.desc("all"), "word").limit(max_words).select("word"))
-    known = [(r.word, r.label, r.n) for r in words.join(kept, "word").collect()]
+    # as Arrow tables: a row object of the driver's would take several times a word's own size
+    known = words.join(kept, "word").select(F.col("word").alias("unit"), "label", "n").toArrow()
     # letters as an array: substrings of a long word would cost the square of its length
     marked = words.select("label", "n", F.split(F.concat(F.lit("\u0002"), F.col("word"), F.lit("\u0003")), "").alias("marked"))
-    grams = []
+    grams = {}
     for size in GRAM_SIZES:
         here = (marked.where(F.size("marked") >= size)
                 .select("label", "n", F.explode(F.transform(
@@ -112,9 +127,11 @@ def fit(docs: DataFrame, label: Column, id_col: str = "doc_id", text_col: str =
                 .groupBy("gram", "label").agg(F.sum("n").alias("n")))
         top = (here.groupBy("gram").agg(F.sum("n").alias("all")).where(F.col("all") >= min_count)
                .orderBy(F.desc("all"), "gram").limit(max_grams // len(GRAM_SIZES)).select("gram"))
-        grams += [((size, r.gram), r.label, r.n) for r in here.join(top, "gram").collect()]
+        found = here.join(top, "gram").select(F.col("gram").alias("unit"), "label", "n").toArrow()
+        if found.num_rows:
+            grams[size] = found
     words.unpersist()
-    return Model(sorted(sizes), known, grams)
+    return Model.of_tables(sorted(sizes), known, grams)
 
 
 class Scorer:

@@ -83,7 +83,7 @@ def _sets(docs: DataFrame, frequent, whole: bool) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = frequent.value
-        for b in batches(it, 8 << 20):
+        for b in batches(it, 4 << 20):
             sets = shingle_sets(b.column(2))
             digests = [_digest(s) for s in sets]
             kept = []
@@ -114,8 +114,8 @@ def frequent_hashes(docs: DataFrame, sample_docs: int, share: float, least: int)
     taken = docs.where(F.pmod(F.xxhash64("row_key"), F.lit(max(1, n // sample_docs))) == 0)
     empty = docs.sparkSession.sparkContext.broadcast(np.zeros(0, np.uint64))
     counts = (_sets(taken, empty, whole=True).select(F.explode("hashes").alias("h")).groupBy("h").count()
-              .where(F.col("count") >= max(least, int(share * min(n, sample_docs)))).select("h").collect())
-    return np.sort(np.array([r[0] for r in counts], np.int64).view(np.uint64))
+              .where(F.col("count") >= max(least, int(share * min(n, sample_docs)))).select("h").toArrow())
+    return np.sort(counts.column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def _link_block(queries: list[tuple], members: list[tuple]) -> tuple[list[tuple[int, int]], dict[int, int]]:
