@@ -22,7 +22,8 @@ log_ratio(2^63) links and a fixed number of pointer doublings reaches the root.
 
 Null and empty words and null counts are left out of the table first; a word
 given in several rows counts once, with the sum of its counts. Words of any
-length are compared whole (the distance is banded, so linear in the length). An
+length are compared whole (Spark walks to the band of its banded distance, so a
+pair of very long words takes time by the square of their length). An
 empty table gives no rows; columns of other names are ignored.
 """
 
