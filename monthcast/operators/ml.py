@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
@@ -19,11 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLASS_LABELS, RANDOM_STATE
+from ..plans.sizing import materialize
 from . import metrics as M
 
 # Columns that the saved pipeline adds for its own use.
 PREPARED = "__x_"
 
+# Rows that a partition of training rows holds before there is another one.
+ROWS_PER_PARTITION = 50_000
+
 
 def median_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row of exact medians (linear interpolation), one column per input."""
@@ -78,15 +82,24 @@ def prepare_stage(train: DataFrame, features: Sequence[str], scale: bool) -> SQL
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"), kept
 
 
+def few_partitions(train: DataFrame) -> DataFrame:
+    """``train`` in no more partitions than its rows fill. A fit runs hundreds
+    of short jobs with a task for every partition, so empty ones are dear."""
+    return train.coalesce(max(1, -(-train.count() // ROWS_PER_PARTITION)))
+
+
 def _fit(train: DataFrame, features: Sequence[str], label: str, scale: bool, classifier) -> PipelineModel:
     """Fit on the labelled rows. The pipeline itself needs no label, so it
-    scores unlabelled rows too; the class names are part of its last stage."""
+    scores unlabelled rows too; the class names are part of its last stage.
+    The prepared rows are computed once: every job of the fit reads them."""
     labelled = train.where(F.col(label).isNotNull())
     index = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc").fit(labelled)
     prepare, kept = prepare_stage(labelled, features, scale)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=list(index.labels))
     assemble = VectorAssembler(inputCols=[f"{PREPARED}{c}" for c in kept], outputCol="features")
-    return Pipeline(stages=[prepare, assemble, classifier, names]).fit(index.transform(labelled))
+    ready = PipelineModel([prepare, assemble]).transform(index.transform(labelled))
+    ready = materialize(ready.select(*[c for c in ("features", "label_idx", "weight") if c in ready.columns]))
+    return PipelineModel([prepare, assemble, classifier.fit(few_partitions(ready)), names])
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str = "target_class",

@@ -70,3 +70,22 @@ def test_sketches_of_parts_merge_with_bounded_rank_error(spark):
     assert all(abs(r.a - 0.1) <= 0.01 and abs(r.b - 0.9) <= 0.01 for r in ranks.collect())
     nothing = df.withColumnRenamed("v", "target_pct_change_next_month").limit(0)
     assert L.quantile_cuts(nothing, approx=True).collect() == L.quantile_cuts(nothing).collect()
+
+
+def test_fits_run_on_as_many_partitions_as_rows_fill(spark, monkeypatch):
+    """Few rows in many partitions are fitted in one, prepared once; the same
+    models come out of more partitions, which more rows fill."""
+    rows = [(float(i), float(i % 7), ["low", "medium", "high"][i // 10 % 3]) for i in range(30)]
+    df = spark.createDataFrame(rows, "f1 double, f2 double, target_class string").repartition(9, "f1").cache()
+    seen, fits = [], {}
+    for name, fit in (("gbt", ML.OneVsRest.fit), ("logistic", ML.LogisticRegression.fit)):
+        cls = ML.OneVsRest if name == "gbt" else ML.LogisticRegression
+        monkeypatch.setattr(cls, "fit", lambda self, data, *a, f=fit: (seen.append((data.rdd.getNumPartitions(), sorted(data.columns))), f(self, data, *a))[1])
+    for most in (50_000, 5):
+        monkeypatch.setattr(ML, "ROWS_PER_PARTITION", most)
+        for name, model in (("gbt", ML.fit_gbt(df, ["f1", "f2"], max_iter=2)), ("logistic", ML.fit_logistic(df, ["f1", "f2"], max_iter=50))):
+            fits[name, most] = [tuple(r) for r in ML.score(model, df).select("predicted", "proba_low", "proba_medium", "proba_high").orderBy("f1").collect()]
+    assert seen == [(n, c) for n in (1, 6) for c in (["features", "label_idx"], ["features", "label_idx", "weight"])]
+    for name in ("gbt", "logistic"):
+        for a, b in zip(fits[name, 50_000], fits[name, 5], strict=True):
+            assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-6)
