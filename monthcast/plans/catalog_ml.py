@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sinks.tables import PartitionedUpsertTable
 from .. import schemas
 from ..sources import payloads as P
-from ..streaming.news_stream import (file_stream, stream_first_seen, stream_payload_upsert, stream_period_counts,
+from ..streaming.news_stream import (file_stream, land, stream_first_seen, stream_payload_upsert, stream_period_counts,
                                      stream_upsert)
 from . import oracle_sql as Q
 from . import standins as SI
@@ -218,8 +218,8 @@ def q_stream_first_seen(spark, sf):
     from ..functions.dates import parse_timestamps
     raw = SI.raw_news(spark, sf).fillna("", subset=["title", "source", "language"])
     landing = scratch_path(spark, "first-seen-landing")
-    raw.unionByName(raw).repartitionByRange(4, "seen_date").write.parquet(landing)
-    stream = file_stream(spark, landing, raw.schema).withColumn("published_at", parse_timestamps("seen_date"))
+    files = land(raw.unionByName(raw), landing, ["seen_date", "doc_id"], ordered=True)
+    stream = file_stream(spark, landing, raw.schema, files_per_trigger=files).withColumn("published_at", parse_timestamps("seen_date"))
     out = scratch_path(spark, "first-seen")
     # files are listed in no order of their rows' times: the delay spans the landed years
     late = stream_first_seen(stream, ["title", "url", "published_at"], "published_at", "3650 days", out, scratch_path(spark, "first-seen-ckpt"))

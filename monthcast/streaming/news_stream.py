@@ -22,6 +22,22 @@ from pyspark.sql import types as T
 from ..sinks.tables import PartitionedUpsertTable, PeriodCounts
 
 
+#: Micro-batches that landed rows are streamed in, and the rows of a landed file.
+BATCHES, FILE_ROWS = 4, 20_000
+
+
+def land(df: DataFrame, path: str, by: Sequence[str], ordered: bool = False, fmt: str = "parquet", batches: int = BATCHES) -> int:
+    """Write ``df`` as files for a stream, dealt by the columns ``by`` (with
+    ``ordered``, in ranges of them); returns how many files a trigger takes.
+
+    The files grow in number, not in size, with the rows, so no task gathers a
+    whole micro-batch; there are about ``batches`` of those however many files."""
+    files = max(batches, -(-df.count() // FILE_ROWS))
+    dealt = df.repartitionByRange(files, *by) if ordered else df.repartition(files, *by)
+    dealt.write.format(fmt).save(path)
+    return -(-files // batches)
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).format(fmt)
@@ -55,11 +71,11 @@ def payload_stream(spark: SparkSession, path: str, schema: T.StructType, files_p
 
 def stream_payload_upsert(spark: SparkSession, landing: str, schema: T.StructType, flatten, table_root: str, checkpoint: str,
                           part_value: Column, keys: Sequence[str] = ("url",), seq_cols: Sequence[str] = ("seen_date",),
-                          partition_col: str = "load_month", query_name: str = "payload_upsert") -> list[dict]:
+                          partition_col: str = "load_month", query_name: str = "payload_upsert", files_per_trigger: int = 1) -> list[dict]:
     """Payload files -> provider flattener (explode, nested fields) -> keyed
     upsert per micro-batch. ``flatten`` is one of ``sources.payloads.flatten_*``
     and runs on the parsed struct columns of each batch."""
-    return stream_upsert(flatten(payload_stream(spark, landing, schema)), table_root, list(keys), list(seq_cols),
+    return stream_upsert(flatten(payload_stream(spark, landing, schema, files_per_trigger)), table_root, list(keys), list(seq_cols),
                          checkpoint, partition_col, part_value, query_name=query_name)
 
 

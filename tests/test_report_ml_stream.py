@@ -158,3 +158,42 @@ def test_stream_into_partitioned_table(spark):
                   checkpoint=scratch_path(spark, "pstream-ckpt"), partition_col="month", part_value=F.col("m"))
     got = PartitionedUpsertTable(spark, root, ["url"], "month").read()
     assert got.count() == 6 and got.groupBy("url").count().where(F.col("count") > 1).count() == 0
+
+
+def test_landed_files_grow_in_number_not_in_size(spark, monkeypatch):
+    from monthcast.streaming import news_stream as N
+    monkeypatch.setattr(N, "FILE_ROWS", 10)
+    df = spark.range(95).select(F.col("id"), (F.col("id") % 5).cast("string").alias("url"))
+    path = scratch_path(spark, "land-test")
+    per_trigger = N.land(df, path, ["url", "id"], ordered=True)
+    files = [r.n for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(files) == 95 and len(files) == 10 and max(files) < 30 and per_trigger == 3
+    log = stream_upsert(file_stream(spark, path, df.schema, files_per_trigger=per_trigger), scratch_path(spark, "land-table"), ["url"], ["id"],
+                        checkpoint=scratch_path(spark, "land-ckpt"), partition_col="part", part_value=F.lit("x"))
+    assert len(log) == 4
+    assert N.land(df.limit(3), scratch_path(spark, "land-few"), ["id"]) == 1
+
+
+class _Landed(Exception):
+    pass
+
+
+def _landing_files(spark, monkeypatch, query):
+    """(rows, files, files a trigger takes) of what a stream query lands."""
+    from monthcast.plans import catalog, catalog_ml
+    from monthcast.streaming import news_stream as N
+    monkeypatch.setattr(N, "FILE_ROWS", 20)
+
+    def landed(df, path, *args, **options):
+        per_trigger = N.land(df, path, *args, **options)
+        raise _Landed(df.count(), len(spark.read.format(options.get("fmt", "parquet")).load(path).inputFiles()), per_trigger)
+
+    monkeypatch.setattr(catalog_ml, "land", landed)
+    with pytest.raises(_Landed) as e:
+        catalog.queries()[query](spark, "/root/testdata/sf0.001")
+    return e.value.args
+
+
+def test_first_seen_lands_more_files_for_more_rows(spark, monkeypatch):
+    rows, files, per_trigger = _landing_files(spark, monkeypatch, "stream_first_seen")
+    assert rows > 80 and files >= 0.7 * rows / 20 and per_trigger == -(-(-(-rows // 20)) // 4)
