@@ -134,9 +134,9 @@ def q_stream_window_counts(spark, sf):
     to the months it touches, in whatever order the files come."""
     ev = SI.table(spark, sf, "events")
     landing = scratch_path(spark, "events-landing")
-    ev.repartition(4, "event_id").write.parquet(landing)
+    files = land(ev, landing, ["event_id"])
     root = scratch_path(spark, "event-counts")
-    table = stream_period_counts(file_stream(spark, landing, ev.schema), "ts", ["event_type"], "value", root,
+    table = stream_period_counts(file_stream(spark, landing, ev.schema, files_per_trigger=files), "ts", ["event_type"], "value", root,
                                  checkpoint=scratch_path(spark, "events-ckpt"), query_name="event_counts")
     start = F.col("window_start").cast("timestamp_ntz")
     return table.read().select(start.alias("window_start"), (start + F.expr("INTERVAL 1 DAY")).alias("window_end"),
@@ -170,14 +170,14 @@ SELECT CAST(date_trunc('month', try_strptime(seen_date, '%Y-%m-%dT%H:%M:%SZ')) A
 FROM raw_news GROUP BY ALL
 """)
 def q_stream_monthly_counts(spark, sf):
-    """Landed raw articles, streamed one file per micro-batch; article count
+    """Landed raw articles, streamed in four micro-batches; article count
     and total title length per calendar month and language, each batch
     merging only the months it touched."""
     from ..functions.dates import parse_timestamps
     raw = SI.raw_news(spark, sf)
     landing = scratch_path(spark, "monthly-landing")
-    raw.repartition(4, "doc_id").write.parquet(landing)
-    stream = file_stream(spark, landing, raw.schema).select(
+    files = land(raw, landing, ["doc_id"])
+    stream = file_stream(spark, landing, raw.schema, files_per_trigger=files).select(
         parse_timestamps("seen_date").alias("published_at"), "language",
         F.length("title").cast("long").alias("title_len"))
     table = stream_period_counts(stream, "published_at", ["language"], "title_len",
@@ -199,8 +199,8 @@ def q_stream_distinct_sources(spark, sf):
     from ..functions.dates import parse_timestamps
     raw = SI.raw_news(spark, sf)
     landing = scratch_path(spark, "sources-landing")
-    raw.select("seen_date", "source").repartition(3, "seen_date", "source").write.parquet(landing)
-    stream = file_stream(spark, landing, raw.select("seen_date", "source").schema).select(
+    files = land(raw.select("seen_date", "source"), landing, ["seen_date", "source"], batches=3)
+    stream = file_stream(spark, landing, raw.select("seen_date", "source").schema, files_per_trigger=files).select(
         parse_timestamps("seen_date").alias("published_at"), "source", F.lit(1).cast("long").alias("one"))
     table = stream_period_counts(stream, "published_at", [], "one", scratch_path(spark, "source-sketches"),
                                  checkpoint=scratch_path(spark, "sources-ckpt"), period="month", distinct_col="source",

@@ -197,3 +197,10 @@ def _landing_files(spark, monkeypatch, query):
 def test_first_seen_lands_more_files_for_more_rows(spark, monkeypatch):
     rows, files, per_trigger = _landing_files(spark, monkeypatch, "stream_first_seen")
     assert rows > 80 and files >= 0.7 * rows / 20 and per_trigger == -(-(-(-rows // 20)) // 4)
+
+
+@pytest.mark.parametrize("query", ["stream_monthly_counts", "stream_window_counts", "stream_distinct_sources"])
+def test_counting_streams_land_more_files_for_more_rows(spark, monkeypatch, query):
+    rows, files, per_trigger = _landing_files(spark, monkeypatch, query)
+    batches = 3 if query == "stream_distinct_sources" else 4
+    assert rows > 80 and files >= 0.6 * rows / 20 and per_trigger == -(-(-(-rows // 20)) // batches)
