@@ -154,11 +154,12 @@ def q_stream_payload_upsert(spark, sf):
     files, streamed with the declared schema, flattened and upserted by url."""
     from .catalog_sources import _gdelt_payloads
     landing = scratch_path(spark, "payload-landing")
-    _gdelt_payloads(spark, sf).repartition(4, "payload").write.text(landing)
+    files = land(_gdelt_payloads(spark, sf), landing, ["payload"], fmt="text")
     root = scratch_path(spark, "payload-table")
     stream_payload_upsert(spark, landing, schemas.GDELT_PAYLOAD, P.flatten_gdelt, root,
                           checkpoint=scratch_path(spark, "payload-ckpt"), seq_cols=["seen_date", "title"],
-                          part_value=F.substring("seen_date", 1, 6), query_name="gdelt_payload_upsert")
+                          part_value=F.substring("seen_date", 1, 6), query_name="gdelt_payload_upsert",
+                          files_per_trigger=files)
     return PartitionedUpsertTable(spark, root, ["url"], "load_month").read().select("url", "title", "source", "seen_date", "social_image")
 
 

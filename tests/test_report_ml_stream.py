@@ -204,3 +204,8 @@ def test_counting_streams_land_more_files_for_more_rows(spark, monkeypatch, quer
     rows, files, per_trigger = _landing_files(spark, monkeypatch, query)
     batches = 3 if query == "stream_distinct_sources" else 4
     assert rows > 80 and files >= 0.6 * rows / 20 and per_trigger == -(-(-(-rows // 20)) // batches)
+
+
+def test_payload_stream_lands_more_files_for_more_rows(spark, monkeypatch):
+    rows, files, per_trigger = _landing_files(spark, monkeypatch, "stream_payload_upsert")
+    assert rows > 80 and files >= 0.6 * rows / 20 and per_trigger == -(-(-(-rows // 20)) // 4)
