@@ -109,16 +109,16 @@ SELECT url, doc_id, seen_date FROM raw_news WHERE url IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY seen_date DESC NULLS LAST, doc_id DESC NULLS LAST) = 1
 """)
 def q_stream_news_upsert(spark, sf):
-    """Raw news landed as time-ordered files, loaded one file per micro-batch
+    """Raw news landed as time-ordered files, loaded in four micro-batches
     with a keyed upsert into a month-partitioned table (each batch rewrites
     only the months it touches)."""
     from ..functions.dates import parse_timestamps
     raw = SI.raw_news(spark, sf)
     landing = scratch_path(spark, "news-landing")
-    raw.repartitionByRange(4, "seen_date").write.parquet(landing)
+    files = land(raw, landing, ["seen_date", "doc_id"], ordered=True)
     root = scratch_path(spark, "raw-news-table")
     month = F.coalesce(F.date_format(parse_timestamps("seen_date"), "yyyy-MM"), F.lit("unknown"))
-    stream_upsert(file_stream(spark, landing, raw.schema), root, ["url"], ["seen_date", "doc_id"],
+    stream_upsert(file_stream(spark, landing, raw.schema, files_per_trigger=files), root, ["url"], ["seen_date", "doc_id"],
                   checkpoint=scratch_path(spark, "news-ckpt"), query_name="raw_news_upsert",
                   partition_col="load_month", part_value=month)
     return PartitionedUpsertTable(spark, root, ["url"], "load_month").read().select("url", "doc_id", "seen_date")

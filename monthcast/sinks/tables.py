@@ -19,6 +19,10 @@ from pyspark.errors import AnalysisException
 from ..operators import upsert as U
 
 
+#: Codec of the keyed tables: their rows are written three times a batch.
+CODEC = "zstd"
+
+
 def replace(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
     """Full replace. Never call with ``path`` feeding ``df``; use a
     keyed table for read-modify-write."""
@@ -109,22 +113,23 @@ class PartitionedTable:
         return None if row is None else row[0]
 
     def rows_of(self, touched: DataFrame) -> DataFrame:
-        """The stored rows in the ``touched`` folders; only those are scanned."""
-        return self.stored().where(~F.col("__gone")).join(touched, self.folder, "left_semi").drop("__gone", self.folder)
+        """The stored rows in the ``touched`` folders; only those are scanned,
+        and folder names, no more than the table has, are sent to the rows."""
+        return self.stored().where(~F.col("__gone")).join(F.broadcast(touched), self.folder, "left_semi").drop("__gone", self.folder)
 
     def rewrite(self, touched: DataFrame, rows: DataFrame, batch_id: str) -> None:
         """Put ``rows`` (all rows of the ``touched`` folders) in place."""
         marks = touched.select(self.folder, F.lit(True).alias("__gone"))
         (rows.withColumn(self.folder, self.folder_of(F.col(self.part_col))).withColumn("__gone", F.lit(False))
          .unionByName(marks, allowMissingColumns=True).withColumn("__batch", F.lit(str(batch_id)))
-         .write.mode("overwrite").partitionBy(self.folder).parquet(self.staging))
+         .write.mode("overwrite").option("compression", CODEC).partitionBy(self.folder).parquet(self.staging))
         self.swap()
 
     def swap(self) -> None:
         """Replace the staged folders. Doing it again gives the same table.
         The rows that arrive are counted, and their keys must be unique."""
         staged = self._staged()
-        (staged.drop("__batch", "__change").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (staged.drop("__batch", "__change").write.mode("overwrite").option("compression", CODEC).option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.folder).parquet(self.path))
         want = staged.where(~F.col("__gone")).count()
         there = (self.rows_of(staged.select(self.folder).distinct()).groupBy(*self.keys).count()
@@ -150,7 +155,7 @@ class PartitionedUpsertTable(PartitionedTable):
             return {"skipped": True, "changed": 0}
         incoming = U.dedup_keep_last(batch, self.keys, seq_col) if seq_col else batch
         others = [c for c in incoming.columns if c != self.part_col]
-        replace(incoming.select(*others, part_value.alias(self.part_col)), self.batch_path)
+        incoming.select(*others, part_value.alias(self.part_col)).write.mode("overwrite").option("compression", CODEC).parquet(self.batch_path)
         placed = self.spark.read.parquet(self.batch_path)
         if placed.limit(1).count() == 0:
             return {"skipped": False, "inserted": 0, "modified": 0, "unchanged": 0, "untouched": 0, "changed": 0, "partitions_rewritten": 0}

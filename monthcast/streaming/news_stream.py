@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.tables import PartitionedUpsertTable, PeriodCounts
+from ..sinks.tables import CODEC, PartitionedUpsertTable, PeriodCounts
 
 
 #: Micro-batches that landed rows are streamed in, and the rows of a landed file.
@@ -34,7 +34,8 @@ def land(df: DataFrame, path: str, by: Sequence[str], ordered: bool = False, fmt
     whole micro-batch; there are about ``batches`` of those however many files."""
     files = max(batches, -(-df.count() // FILE_ROWS))
     dealt = df.repartitionByRange(files, *by) if ordered else df.repartition(files, *by)
-    dealt.write.format(fmt).save(path)
+    writer = dealt.write.option("compression", CODEC) if fmt == "parquet" else dealt.write
+    writer.format(fmt).save(path)
     return -(-files // batches)
 
 

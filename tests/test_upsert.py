@@ -140,3 +140,23 @@ def test_later_row_stays_whatever_order_batches_come(spark):
     out = {r.url: (r.seq, r.v, r.extra, r["__change"]) for r in U.merge_with_changes(t, b, ["url"], "seq", newer_by="seq").collect()}
     assert out == {"a": (5, "t", None, U.UNTOUCHED), "b": (2, "b", 1, U.MODIFIED), "c": (0, "b", 1, U.MODIFIED),
                    "d": (3, "b", 1, U.MODIFIED), "e": (None, "b", 1, U.INSERTED)}
+
+
+def test_stored_rows_stay_in_place_until_the_merge(spark):
+    """Folder names are sent to the stored rows, which are not shuffled by
+    folder first; staging, batch and table are written with the table's codec."""
+    import glob
+    t = PartitionedUpsertTable(spark, scratch_path(spark, "in-place"), ["url"], "part")
+    t.upsert(spark.createDataFrame([("a", "1", "x", 1), ("b", "2", "y", 1)], SCHEMA), "b1", F.col("extra"), seq_col="seq")
+    touched = t.stored().where(F.col("url") == "a").select(t.folder).distinct()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = t.rows_of(touched)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert [r.url for r in t.rows_of(touched).collect()] == ["a"]
+    for path in (t.path, t.staging, t.batch_path):
+        files = glob.glob(f"{path}/**/*.parquet", recursive=True)
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
