@@ -3,8 +3,9 @@ deterministic range boundaries and written intermediate tables."""
 
 from __future__ import annotations
 
+import ctypes
 from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -242,6 +243,22 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
         return mix(out)
 
 
+def given_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which the Python worker returns the memory it has freed:
+    workers live on, and what one task took at most would stay theirs."""
+
+    def wrapped(it: Iterator) -> Iterator:
+        try:
+            yield from run(it)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of glibc only
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def batches(it: Iterator[pa.RecordBatch], max_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in blocks of about ``max_bytes`` at most (one row at least)."""
     for b in it:

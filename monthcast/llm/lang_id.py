@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, given_back
 
 GRAM_SIZES = (4, 3, 2, 1)
 _WORD = regex.compile(r"\p{L}+")
@@ -182,7 +182,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([x for x, _ in found], pa.string()),
                                               pa.array([x for _, x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, SCHEMA)
+    return docs.select(id_col, text_col).mapInArrow(given_back(run), SCHEMA)
 
 
 def in_known_language(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
@@ -197,4 +197,4 @@ def in_known_language(docs: DataFrame, model: Model, least_score: float, text_co
             found = [score(t) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([x != "und" and p >= least_score for x, p in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(given_back(run), docs.schema)

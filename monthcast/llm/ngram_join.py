@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_WORDS, batches, fresh, gram_hashes, mix, packed_texts, per_key_back, row_key, unpack, words_of, written
+from .common import LOWER_WORDS, batches, fresh, given_back, gram_hashes, mix, packed_texts, per_key_back, row_key, unpack, words_of, written
 from .components import components
 
 SIZE = 5
@@ -104,7 +104,7 @@ def _sets(docs: DataFrame, frequent, whole: bool) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
                 names=["doc_id", "row_key", "n_shingles", "set_a", "set_b", "least", "hashes"])
 
-    return docs.mapInArrow(run, SETS)
+    return docs.mapInArrow(given_back(run), SETS)
 
 
 def frequent_hashes(docs: DataFrame, sample_docs: int, share: float, least: int) -> np.ndarray:
@@ -257,7 +257,7 @@ def with_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield found()
 
     linked = written(meet.select("group", "part", "node", "member", "copies", "packed").repartition("group", "part")
-                     .sortWithinPartitions("group", "part").mapInArrow(link, "u long, v long, n long"), "ngram-links")
+                     .sortWithinPartitions("group", "part").mapInArrow(given_back(link), "u long, v long, n long"), "ngram-links")
     comps = components(linked.where(F.col("v").isNotNull()).select("u", "v"))
     counts = linked.where(F.col("v").isNull()).groupBy("u").agg(F.sum("n").alias("n_links"))
 

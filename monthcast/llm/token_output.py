@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, range_bounds, range_index, written
+from .common import batches, given_back, range_bounds, range_index, written
 from .files import committed, open_root
 
 END_ID = 2
@@ -238,7 +238,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_
             ids = [x + end for x in enc.encode(part.column(1))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    encoded = rows.mapInArrow(encode, "doc_id long, ids binary").withColumn("shard", range_index(F.col("doc_id"), bounds))
+    encoded = rows.mapInArrow(given_back(encode), "doc_id long, ids binary").withColumn("shard", range_index(F.col("doc_id"), bounds))
     dealt = encoded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "doc_id", "ids")
 
     def write(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +267,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
                                           names=["shard", "key", "offset", "length", "repeated"])
 
-    listed = written(dealt.mapInArrow(write, DIRECTORY), "token-directory")
+    listed = written(dealt.mapInArrow(given_back(write), DIRECTORY), "token-directory")
     buckets = min(max_buckets, max(min_shards, n // bucket_keys + 1))
     entries = (listed.where(~F.col("repeated"))
                .select(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"), "key", "shard", "offset", "length")

@@ -176,3 +176,27 @@ def test_words_encode_as_whole_texts_do():
     encoder = Encoder(tokenizer_path(), max_cached=500)
     whole = encoder._packed(texts)
     assert [x for i in range(0, len(texts), 1000) for x in encoder.encode(texts[i: i + 1000])] == whole
+
+
+def test_workers_give_back_what_a_task_has_freed():
+    """Freed blocks under one that is kept would stay with the process."""
+    import gc
+    import os
+
+    from monthcast.llm.common import given_back
+
+    held = lambda: int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+    kept = []
+
+    def task(it):
+        for x in it:
+            blocks = [bytearray(b"x") * 60_000 for _ in range(3000)]
+            kept.append(blocks[-1])
+            yield x
+            del blocks
+            gc.collect()
+
+    before = held()
+    assert list(given_back(task)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 60e6
+    assert len(kept) == 2
