@@ -8,6 +8,7 @@ expressions, so scoring any number of rows is a narrow projection.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel, OneVsRest
@@ -17,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix, DenseVector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..config import CLASS_LABELS, RANDOM_STATE
 from ..plans.sizing import materialize
@@ -211,24 +213,33 @@ def train_candidates(model_table: DataFrame, features: Sequence[str], test_size:
                      candidates: Sequence[str] = ("logistic_regression", "gradient_boosting"),
                      label: str = "target_class", max_iter: int | None = None):
     """Fit each candidate on the chronological train split, score the test
-    split, return (results DataFrame, models dict, scored test rows)."""
+    split, return (results DataFrame, models dict, scored test rows). The
+    candidates are fitted side by side: a fit is a row of short jobs that
+    leaves most of the slots idle."""
     split = M.chronological_split(model_table, test_size).cache()
     train = split.where(~F.col("is_test"))
     test = split.where(F.col("is_test"))
-    rows, models, scored_all = [], {}, None
-    for pos, name in enumerate(candidates):
-        options = {"max_iter": max_iter} if max_iter else {}
-        if name == "logistic_regression":
-            model = fit_logistic(train, features, label, scale=True, **options)
-        elif name == "gradient_boosting":
-            model = fit_gbt(train, features, label, **options)
-        else:
+    options = {"max_iter": max_iter} if max_iter else {}
+    fits = {"logistic_regression": lambda: fit_logistic(train, features, label, scale=True, **options),
+            "gradient_boosting": lambda: fit_gbt(train, features, label, **options)}
+    for name in candidates:
+        if name not in fits:
             raise ValueError(f"no such candidate: {name!r}")
+
+    def fit_and_evaluate(name: str):
+        model = fits[name]()
         scored = score(model, test).withColumn("model", F.lit(name))
-        m = evaluate(scored, label)
+        return model, scored, evaluate(scored, label)
+
+    spark = model_table.sparkSession
+    with ThreadPoolExecutor(max(1, len(candidates))) as pool:
+        # one wrapper a candidate: each takes its own copy of the caller's local properties
+        running = [pool.submit(inheritable_thread_target(spark)(fit_and_evaluate), name) for name in candidates]
+        done = [r.result() for r in running]
+    rows, models, scored_all = [], {}, None
+    for pos, (name, (model, scored, m)) in enumerate(zip(candidates, done, strict=True)):
         rows.append((name, pos, m["accuracy"], m["macro_f1"]))
         models[name] = model
         scored_all = scored if scored_all is None else scored_all.unionByName(scored)
-    spark = model_table.sparkSession
     results = spark.createDataFrame(rows, "model string, position int, accuracy double, macro_f1 double")
     return results, models, scored_all

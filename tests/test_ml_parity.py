@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 
@@ -89,3 +91,36 @@ def test_fits_run_on_as_many_partitions_as_rows_fill(spark, monkeypatch):
     for name in ("gbt", "logistic"):
         for a, b in zip(fits[name, 50_000], fits[name, 5], strict=True):
             assert a[0] == b[0] and a[1:] == pytest.approx(b[1:], abs=1e-6)
+
+
+def test_candidates_are_fitted_side_by_side(spark, monkeypatch):
+    """Each fit waits for the other to begin. Results, models and scored rows
+    are those of each candidate alone, in the order asked for; the caller's
+    local properties hold in both fits."""
+    rows = [(i, float(i), float(i % 7), ["low", "medium", "high"][i // 4 % 3]) for i in range(40)]
+    df = spark.createDataFrame(rows, "month int, f1 double, f2 double, target_class string")
+    names, features = ["gradient_boosting", "logistic_regression"], ["f1", "f2"]
+    cols = ["model", "month", "predicted", "proba_low", "proba_medium", "proba_high"]
+
+    def scores(scored):
+        return [tuple(r) for r in scored.select(*cols).orderBy("model", "month").collect()]
+
+    alone = {n: ML.train_candidates(df, features, 8, candidates=[n], max_iter=3) for n in names}
+    begun, seen = threading.Barrier(2, timeout=60), []
+    for name in ("fit_gbt", "fit_logistic"):
+        def waiting(*a, fit=getattr(ML, name), **k):
+            seen.append(spark.sparkContext.getLocalProperty("monthcast.test"))
+            begun.wait()
+            return fit(*a, **k)
+        monkeypatch.setattr(ML, name, waiting)
+    spark.sparkContext.setLocalProperty("monthcast.test", "own")
+    try:
+        results, models, scored = ML.train_candidates(df, features, 8, candidates=names, max_iter=3)
+    finally:
+        spark.sparkContext.setLocalProperty("monthcast.test", None)
+    assert seen == ["own", "own"] and list(models) == names
+    assert [tuple(r)[0:2] for r in results.collect()] == [(n, i) for i, n in enumerate(names)]
+    assert [tuple(r)[2:] for r in results.collect()] == [tuple(alone[n][0].first())[2:] for n in names]
+    assert scores(scored) == [r for n in names for r in scores(alone[n][2])]
+    with pytest.raises(ValueError, match="no such candidate"):
+        ML.train_candidates(df, features, 8, candidates=["other"])
